@@ -42,4 +42,4 @@ def batch(schema: T.StructType, *columns: object) -> pa.RecordBatch:
 
 def words(text: Column) -> Column:
     """The text's words: maximal runs of letters and digits, lower-cased; no words for null."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridframe.llm import secret_scan, token_counts, url_filter
+from gridframe.llm import decontaminate, language_id, near_dedup, packing, secret_scan, token_counts, url_filter
 from gridframe.llm.common import table
 
 
@@ -16,10 +16,26 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), with_ids=False)
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.classes(table(spark, sf_dir, "documents"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
@@ -28,6 +44,6 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_token_counts, op9_secret_scan, op10_url_filter)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op3_token_counts, op4_decontamination, op6_near_dedup, op8_language_id, op9_secret_scan, op10_url_filter)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_decontamination": decontaminate.ORACLE}
