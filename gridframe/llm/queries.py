@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridframe.llm import decontaminate, language_id, near_dedup, packing, secret_scan, token_counts, url_filter
+from gridframe.llm import chat_format, decontaminate, fingerprints, language_id, near_dedup, packing, secret_scan, token_counts, url_filter
 from gridframe.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), with_ids=False)
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare(table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
@@ -32,6 +36,10 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.formatted(table(spark, sf_dir, "conversations"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
@@ -44,6 +52,6 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op3_token_counts, op4_decontamination, op6_near_dedup, op8_language_id, op9_secret_scan, op10_url_filter)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_fingerprints, op3_token_counts, op4_decontamination, op6_near_dedup, op7_chat_format, op8_language_id, op9_secret_scan, op10_url_filter)}
 
-ORACLE_SQL: dict[str, str] = {"op4_decontamination": decontaminate.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op4_decontamination": decontaminate.ORACLE, "op7_chat_format": chat_format.ORACLE}
