@@ -29,6 +29,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -156,11 +157,11 @@ def stretched(docs: DataFrame) -> DataFrame:
     n = len(bounds)
 
     @F.pandas_udf("array<int>")
-    def places(ids):
+    def places(ids: pd.Series) -> pd.Series:
         """The stretch of each id, and for a stretch's first id the one before it."""
         at = np.searchsorted(bounds, ids.to_numpy(), side="right") - 1
         first = bounds[at] == ids.to_numpy()
-        return ids.__class__([[k, (k - 1) % n] if f else [k] for k, f in zip(at.tolist(), first.tolist(), strict=True)])
+        return pd.Series([[k, (k - 1) % n] if f else [k] for k, f in zip(at.tolist(), first.tolist(), strict=True)])
 
     placed = docs.select("doc_id", "text", F.posexplode(places("doc_id")).alias("guest", "part"))
     placed = placed.select("part", "guest", "doc_id", F.coalesce("text", F.lit("")).alias("text"))

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridframe.llm import chat_format, decontaminate, fingerprints, language_id, near_dedup, packing, secret_scan, token_counts, url_filter
+from gridframe.llm import chat_format, decontaminate, fingerprints, language_id, near_dedup, packing, secret_scan, token_counts, token_files, url_filter
 from gridframe.llm.common import table
+from gridframe.shared import new_path
 
 
 def tokenizer_file(name: str) -> str:
@@ -32,6 +33,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), new_path(spark, "token-files"))
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.classes(table(spark, sf_dir, "documents"))
 
@@ -52,6 +57,6 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_fingerprints, op3_token_counts, op4_decontamination, op6_near_dedup, op7_chat_format, op8_language_id, op9_secret_scan, op10_url_filter)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_fingerprints, op3_token_counts, op4_decontamination, op5_token_files, op6_near_dedup, op7_chat_format, op8_language_id, op9_secret_scan, op10_url_filter)}
 
-ORACLE_SQL: dict[str, str] = {"op4_decontamination": decontaminate.ORACLE, "op7_chat_format": chat_format.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op4_decontamination": decontaminate.ORACLE, "op7_chat_format": chat_format.ORACLE, "op10_url_filter": url_filter.ORACLE}

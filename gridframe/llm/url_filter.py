@@ -132,3 +132,27 @@ def judge(urls: DataFrame, rules: tuple[Rule, ...] = DEFAULT_RULES, id_col: str
             yield batch(schema, b.column(0), *(list(zip(*rows, strict=True)) or [[]] * 5))
 
     return mapped(urls, apply, schema)
+
+
+def _oracle() -> str:
+    """The same by SQL: every default rule tried on every URL."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    sites = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in SITES)
+    words = " OR ".join(f"regexp_full_match(host, '(.*[^a-z0-9])?{re.escape(w)}([^a-z0-9].*)?', 's')" for w in HOST_WORDS)
+    listed = " || ".join(f"CASE WHEN regexp_full_match(host, '(.*[^a-z0-9])?{re.escape(w)}([^a-z0-9].*)?', 's') THEN '{w},' ELSE '' END" for w in HOST_WORDS)
+    return f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN url LIKE '%://%' THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^?#]*') ELSE '' END AS rest FROM pages
+), part AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/]*'), '{upper}', '{lower}') AS host, substr(rest, length(regexp_extract(rest, '^[^/]*')) + 1) AS path FROM cut
+), rules(rule_host, rule_path, rule_verdict) AS (VALUES {sites}
+), best AS (
+  SELECT page_id, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(rule_verdict, length(rule_host || rule_path)) AS rule_verdict
+  FROM part JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY page_id
+)
+SELECT part.page_id, host, path, rule, coalesce(rule_verdict, CASE WHEN {words} THEN 'block' ELSE 'allow' END) AS verdict, rtrim({listed}, ',') AS pattern_rules
+FROM part LEFT JOIN best ON part.page_id = best.page_id
+"""
+
+
+ORACLE = _oracle()
