@@ -7,13 +7,17 @@ after each edit, so their embeddings differ in few places: edit distance becomes
 Hamming distance. As a character stays for a random run of steps, the walk is
 followed character by character, with the run's length from a shared table.
 
-The fingerprint samples the embedding at shared places: all of the first 64 steps,
-then 64 random ones of each following octave [2^k, 2^(k+1)), each as one
+The fingerprint samples the embedding at shared places: all of the first 32 steps,
+then 32 random ones of each following octave [2^k, 2^(k+1)), each as one
 hexadecimal digit that hashes the character there. It ends where the embedding
 ends, so its size grows with the logarithm of the text's length, while every character
 takes part in the walk. Likeness is the share of equal samples, each weighted by
 the steps that it stands for, less the agreement that unrelated texts have by chance.
 
+How soon two texts fall back into step is a matter of luck, and now and then it takes
+very long. So there are three independent walks, a fingerprint has a part for each
+(joined by points), and the likeness is that of the walk in which the texts agree best.
+
 `near_pairs` finds like texts by bit-sampled bands: a band key is a few digits at
 shared places of the last two whole octaves; texts that share a key are paired with
 the key's least id (as many pairs as rows), then verified by likeness.
@@ -41,20 +45,21 @@ from gridframe.shipping import ship
 
 SEED = 20_240_607
 PERIOD = 4096
-OCTAVE = 64
+OCTAVE = 32
+WALKS = 3
 #: The share of samples that agree in unrelated texts: equal characters, or unequal ones with equal digits.
 CHANCE = 0.13
 #: Texts are walked side by side in groups of about so many characters; the last few go one by one.
 GROUP, FEW = 4_000_000, 40
 
 _random = np.random.default_rng(SEED)
-#: Steps that a character of each of 256 classes stays, by the step at which it is reached.
-STAY = _random.geometric(0.5, (256, PERIOD)).clip(max=30).astype(np.uint8)
+#: Steps that a character of each of 256 classes stays in each walk, by the step at which it is reached.
+STAY = _random.geometric(0.5, (WALKS, 256, PERIOD)).clip(max=30).astype(np.uint8)
 _FLAT = STAY.ravel()
-_LISTS: list[list[int]] = []
+_LISTS: list[list[list[int]]] = []
 DIGIT = _random.integers(0, 16, 256, dtype=np.uint8)
-PLACES = np.concatenate([np.arange(OCTAVE), *(np.sort(_random.choice(2**k, OCTAVE, replace=False)) + 2**k for k in range(6, 40))]).astype(np.int64)
-WEIGHTS = np.concatenate([np.ones(OCTAVE), *(np.full(OCTAVE, 2**k / OCTAVE) for k in range(6, 40))])
+PLACES = np.concatenate([np.arange(OCTAVE), *(np.sort(_random.choice(2**k, OCTAVE, replace=False)) + 2**k for k in range(5, 24)), *(np.sort(_random.integers(0, 2**k, OCTAVE)) + 2**k for k in range(24, 40))]).astype(np.int64)
+WEIGHTS = np.concatenate([np.ones(OCTAVE), *(np.full(OCTAVE, 2**k / OCTAVE) for k in range(5, 40))])
 _HEX = np.frombuffer(b"0123456789abcdef", np.uint8)
 
 
@@ -63,20 +68,20 @@ def char_classes(text: str) -> np.ndarray:
     return ((points * np.uint32(2654435761)) >> np.uint32(24)).astype(np.uint8)
 
 
-def _walk_alone(classes: np.ndarray, reached: np.ndarray, start: int, step: int) -> int:
+def _walk_alone(walk: int, classes: np.ndarray, reached: np.ndarray, start: int, step: int) -> int:
     """One text's walk from its character `start`, reached at `step`; gives the step after the last."""
     if not _LISTS:
-        _LISTS.extend(row.tolist() for row in STAY)
-    steps, mask = [], PERIOD - 1
+        _LISTS.extend([row.tolist() for row in one] for one in STAY)
+    stay, steps, mask = _LISTS[walk], [], PERIOD - 1
     for c in classes[start:].tolist():
         steps.append(step)
-        step += _LISTS[c][step & mask]
+        step += stay[c][step & mask]
     reached[start:] = steps
     return step
 
 
-def walks(parts: list[np.ndarray]) -> list[np.ndarray]:
-    """For each text, the step at which each character is reached, and at last the number of steps."""
+def walks(parts: list[np.ndarray]) -> list[list[np.ndarray]]:
+    """For each text and walk, the step at which each character is reached, and at last the number of steps."""
     lengths = np.array([len(p) for p in parts], np.int64)
     order = np.argsort(-lengths, kind="stable")
     sizes = lengths[order]
@@ -84,30 +89,37 @@ def walks(parts: list[np.ndarray]) -> list[np.ndarray]:
     classes = np.zeros(int(starts[-1]), np.uint8)
     for k, i in enumerate(order):
         classes[starts[k] : starts[k] + sizes[k]] = parts[i]
-    reached = np.zeros(len(classes), np.int32)
     common = int(sizes[FEW]) if len(sizes) > FEW else 0
-    at = starts[:-1].copy()
-    step = np.zeros(len(sizes), np.int32)
-    base = np.arange(256, dtype=np.int64) * PERIOD
-    n = len(sizes)
-    for i in range(common):
-        while sizes[n - 1] <= i:
-            n -= 1
-        here, now = at[:n], step[:n]
-        reached[here] = now
-        now += _FLAT[base[classes[here]] + (now & (PERIOD - 1))]
-        here += 1
-    for k in range(len(sizes)):
-        s, size = int(starts[k]), int(sizes[k])
-        if size > common:
-            step[k] = _walk_alone(classes[s : s + size], reached[s : s + size], common, int(step[k]))
-        reached[s + size] = step[k]
-    out: list[np.ndarray] = [reached[:0]] * len(parts)
-    for k, i in enumerate(order):
-        out[i] = reached[starts[k] : starts[k + 1]]
+    out: list[list[np.ndarray]] = [[] for _ in parts]
+    for walk in range(WALKS):
+        reached = np.zeros(len(classes), np.int64)
+        at = starts[:-1].copy()
+        step = np.zeros(len(sizes), np.int64)
+        base = (np.arange(256, dtype=np.int64) + 256 * walk) * PERIOD
+        n = len(sizes)
+        for i in range(common):
+            while sizes[n - 1] <= i:
+                n -= 1
+            here, now = at[:n], step[:n]
+            reached[here] = now
+            now += _FLAT.take(base.take(classes.take(here)) + (now & (PERIOD - 1)))
+            here += 1
+        for k in range(len(sizes)):
+            s, size = int(starts[k]), int(sizes[k])
+            if size > common:
+                step[k] = _walk_alone(walk, classes[s : s + size], reached[s : s + size], common, int(step[k]))
+            reached[s + size] = step[k]
+        for k, i in enumerate(order):
+            out[i].append(reached[starts[k] : starts[k + 1]])
     return out
 
 
+def _samples(classes: np.ndarray, reached: np.ndarray) -> str:
+    places = PLACES[: np.searchsorted(PLACES, reached[-1])]
+    at = np.searchsorted(reached, places, side="right") - 1
+    return _HEX[DIGIT[classes[at]]].tobytes().decode()
+
+
 def fingerprints(values: list[str]) -> list[str]:
     out: list[str] = []
     group: list[np.ndarray] = []
@@ -116,26 +128,25 @@ def fingerprints(values: list[str]) -> list[str]:
         group.append(char_classes(text))
         held += len(text)
         if held >= GROUP or k == len(values) - 1:
-            for classes, reached in zip(group, walks(group), strict=True):
-                places = PLACES[: np.searchsorted(PLACES, reached[-1])]
-                at = np.searchsorted(reached, places, side="right") - 1
-                out.append(_HEX[DIGIT[classes[at]]].tobytes().decode())
+            out += [".".join(_samples(classes, r) for r in own) if len(classes) else "" for classes, own in zip(group, walks(group), strict=True)]
             group, held = [], 0
     return out
 
 
-def likeness(a: str, b: str) -> float:
-    """0 to 1; 1 for equal fingerprints."""
-    if a == b:
-        return 1.0
+def _walk_likeness(a: str, b: str) -> float:
     n, m = min(len(a), len(b)), max(len(a), len(b))
-    if not n:
-        return 0.0
     same = np.frombuffer(a[:n].encode(), np.uint8) == np.frombuffer(b[:n].encode(), np.uint8)
     share = float(WEIGHTS[:n][same].sum() / WEIGHTS[:m].sum())
     return max(0.0, (share - CHANCE) / (1 - CHANCE))
 
 
+def likeness(a: str, b: str) -> float:
+    """0 to 1; 1 for equal fingerprints."""
+    if a == b:
+        return 1.0
+    return max(_walk_likeness(x, y) for x, y in zip(a.split("."), b.split("."), strict=True)) if a and b else 0.0
+
+
 def edited(text: str, following: str) -> str:
     """The text with its last half replaced by as many of the first characters of the following one."""
     half = len(text) // 2
@@ -204,17 +215,21 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return mapped(stretched(docs), apply, schema)
 
 
-#: Bands of a fingerprint: so many keys, each of so many digits.
-BANDS, DIGITS = 24, 6
+#: Bands of each walk's part of a fingerprint: so many keys, each of so many digits.
+BANDS, DIGITS = 12, 6
 _BAND_PLACES = np.stack([np.sort(np.random.default_rng(SEED + 1 + k).choice(OCTAVE, DIGITS, replace=False)) for k in range(BANDS)])
 
 
 def band_keys(mark: str) -> list[str]:
-    """Keys of bit samples from the last two whole octaves; of the whole, if there aren't so many."""
-    whole = len(mark) // OCTAVE
-    if whole < 2:
-        return [f"s:{mark}"] if mark else []
-    return [f"{octave}:{k}:" + "".join(mark[OCTAVE * octave + i] for i in places) for octave in (whole - 1, whole - 2) for k, places in enumerate(_BAND_PLACES.tolist())]
+    """Keys of samples from each walk's last two whole octaves; the walk's whole part, if there aren't so many."""
+    out: list[str] = []
+    for walk, part in enumerate(mark.split(".") if mark else []):
+        whole = len(part) // OCTAVE
+        if whole < 2:
+            out.append(f"{walk}:{part}")
+        for octave in (whole - 1, whole - 2) if whole > 1 else ():
+            out += [f"{walk}:{octave}:{k}:" + "".join(part[OCTAVE * octave + i] for i in places) for k, places in enumerate(_BAND_PLACES.tolist())]
+    return out
 
 
 def near_pairs(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

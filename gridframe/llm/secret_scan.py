@@ -65,7 +65,7 @@ ALLOW = (
     re.compile(r"(sha1|sha256|sha512|md5)[-_=].*"),
     re.compile(r"(.)\1*"),
 )
-_TERMS = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
+_TERMS = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]
 
 
 def base_spans(text: str) -> list[Span]:
