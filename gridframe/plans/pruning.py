@@ -18,9 +18,20 @@ from gridframe.functions.dtypes import literal
 Intervals = tuple[tuple[int, int], ...]
 
 
+def united(spans: Iterable[tuple[int, int]]) -> Intervals:
+    """The same coordinates in disjoint intervals, ascending."""
+    out: list[list[int]] = []
+    for low, high in sorted(s for s in spans if s[0] <= s[1]):
+        if out and low <= out[-1][1] + 1:
+            out[-1][1] = max(out[-1][1], high)
+        else:
+            out.append([low, high])
+    return tuple((p, q) for p, q in out)
+
+
 def intersected(a: Intervals, b: Iterable[tuple[int, int]]) -> Intervals:
-    found = [(max(p, r), min(q, s)) for p, q in a for r, s in b]
-    return tuple(sorted({(p, q) for p, q in found if p <= q}))
+    other = list(b)
+    return united((max(p, r), min(q, s)) for p, q in a for r, s in other)
 
 
 def admitted(op: str, value: object, last: int) -> list[tuple[int, int]] | None:

@@ -50,7 +50,7 @@ from pyspark.sql.datasource import (
 from gridframe.functions import dtypes
 from gridframe.plans import layout
 from gridframe.plans.metadata import StoreError
-from gridframe.plans.pruning import Intervals, Selection
+from gridframe.plans.pruning import Selection, united
 from gridframe.sources import scan
 from gridframe.sources.discovery import Listing, discover
 
@@ -86,22 +86,12 @@ class Pushed:
             f.seek(0)
             known = json.loads(f.read() or "null")
             spans = [list(map(tuple, s)) for s in known] if known else [() for _ in new.shape]
-            both = Selection(new.shape, tuple(_united(tuple(a), b) for a, b in zip(spans, new.intervals, strict=True)))
+            both = Selection(new.shape, tuple(united([*a, *b]) for a, b in zip(spans, new.intervals, strict=True)))
             f.truncate(0)
             json.dump(both.intervals, f)
         return both
 
 
-def _united(a: Intervals, b: Intervals) -> Intervals:
-    out: list[list[int]] = []
-    for low, high in sorted((*a, *b)):
-        if out and low <= out[-1][1] + 1:
-            out[-1][1] = max(out[-1][1], high)
-        else:
-            out.append([low, high])
-    return tuple((p, q) for p, q in out)
-
-
 class GridframeSource(DataSource):
     def __init__(self, options: dict[str, str]) -> None:
         super().__init__(options)
