@@ -18,8 +18,8 @@ orders / min_share n-grams a language reach the driver, however large the corpus
 
 N-grams are of 1 to 4 code points within words: runs of letters in lower case with
 a blank on both sides. A text without letters, or null, is `und` with score 0; so is
-any text when nothing was learned, or when no n-gram was found. Ties go to the
-language that sorts first. Repeated rows give repeated results; other columns are
+any text when nothing was learned. A text with letters always gets a learned language,
+with score 0 if it has no n-gram of any. Ties go to the language that sorts first. Repeated rows give repeated results; other columns are
 ignored by `predict` and kept by `speaking`.
 """
 
@@ -54,7 +54,7 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 def letters(text: str) -> str:
     """The text's words in lower case, with single blanks around; empty without letters."""
     found = _OTHER.sub(" ", text.lower()).strip()
-    return f" {found} " if found else ""
+    return f" {found} " if any(map(str.isalpha, found)) else ""
 
 
 def grams(joined: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -120,7 +120,7 @@ class Model:
         corrected = np.clip((hits - self.rates * total[:, None]) / (1 - self.rates), 0, total[:, None])
         best = corrected.argmax(axis=1)
         top = corrected[np.arange(len(group)), best]
-        return [(self.languages[b], float(t / n)) if t > 0 else (UNKNOWN, 0.0) for b, t, n in zip(best.tolist(), top.tolist(), total.tolist(), strict=True)]
+        return [(self.languages[b], float(t / max(n, 1))) if w else (UNKNOWN, 0.0) for b, t, n, w in zip(best.tolist(), top.tolist(), total.tolist(), group, strict=True)]
 
 
 def _report(counts: dict[tuple[str, int], dict[int, int]]) -> pa.RecordBatch:
