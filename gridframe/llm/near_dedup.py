@@ -15,15 +15,17 @@ change nothing, so processes stop there.
 2. Exact copies are one representative: the least id. Later steps see only those.
 3. Each band key that several texts share gets a leader (a different choice in each
    band); texts are paired with their leaders: as many pairs as rows, however large a
-   group. Pairs are verified by their exact similarity, links give components.
+   group. Links give components.
 4. Band keys whose texts lie in several components: texts outside the key's largest
    component are paired with those of other components there, and verified too. Pairs
    within a component are left out, for they can't change the groups. So every pair
    of different components that shares a key has been verified: none is lost.
 5. The class of a document is the least id of its component.
 
-With 36 bands of 6 registers a pair of similarity 0.8 shares no key with probability
-2e-5.
+Verification first compares sketches (one byte of each register): pairs that agree in
+fewer than `threshold` - 0.15 of them go; a pair of similarity 0.8 does with probability
+1e-7. The texts of the others are read again, and their exact similarity decides. With 36
+bands of 6 registers a pair of similarity 0.8 shares no key with probability 2e-5.
 
 Null text counts as empty; texts without words are duplicates only of equal texts.
 Rows that repeat an id are in one class (links hold between ids); rows with a null
@@ -50,6 +52,8 @@ from gridframe.shared import written
 SHINGLE = 5
 BANDS, ROWS = 36, 6
 REGISTERS = BANDS * ROWS
+#: How far under the threshold sketches may agree. 0.15 is 5.5 standard deviations of 216 registers at 0.8.
+MARGIN = 0.15
 _WORD = re.compile(r"[^\W_]+")
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 _WORDS = Cache(48 << 20)
@@ -129,30 +133,47 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def _digests(docs: DataFrame) -> DataFrame:
-    """doc_id, copy (a digest of the text), keys (a list of band keys; empty without words)."""
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("copy", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+    """doc_id, copy (a digest of the text), keys (a list of band keys; empty without words), sketch (a byte of each register)."""
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("copy", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         multiply = np.arange(1, ROWS + 1, dtype=np.uint64)[None, :] * _GOLD
         band = np.arange(BANDS, dtype=np.uint64)
         for b in batches:
-            copies, keys = [], []
+            copies, keys, sketches = [], [], []
             for text in texts(b.column(1)):
                 copies.append(xxhash.xxh3_128_digest(text.encode()))
                 found = shingles(text)
                 if not len(found[0]):
                     keys.append([])
+                    sketches.append(b"")
                     continue
                 owners = registers(*found).reshape(BANDS, ROWS)
+                sketches.append((owners >> np.uint64(56)).astype(np.uint8).tobytes())
                 keys.append((_mixed(np.add.reduce(_mixed(owners ^ multiply) * multiply, axis=1)) + band).view(np.int64))
-            yield batch(schema, b.column(0), copies, keys)
+            yield batch(schema, b.column(0), copies, keys, sketches)
 
     return mapped(docs, apply, schema)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """Of pairs (a, b), those whose texts are similar enough. Only these texts are read again."""
-    pairs = written(pairs.distinct(), "pairs")
+def _alike(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """Of pairs (a, b), those whose sketches (rep, sketch) agree in about as many registers."""
+    schema = T.StructType([pairs.schema["a"], pairs.schema["b"]])
+    joined = pairs.join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b")), "b")
+    joined = joined.join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a")), "a")
+
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(-1, REGISTERS) for k in (2, 3))
+            alike = (x == y).mean(axis=1) >= threshold - MARGIN
+            yield batch(schema, b.column(0), b.column(1)).filter(pa.array(alike))
+
+    return mapped(joined.select("a", "b", "sketch_a", "sketch_b"), apply, schema)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """Of pairs (a, b), those whose texts are similar enough. Only texts with like sketches are read again."""
+    pairs = written(_alike(pairs.distinct(), sketches, threshold).distinct(), "pairs")
     needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     held = written(docs.join(needed, "doc_id", "left_semi"), "pair-texts")
     schema = T.StructType([pairs.schema["a"], pairs.schema["b"]])
@@ -189,14 +210,15 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     """One row per document: doc_id, class_id (the least id of its group), copy_of (the least id with the same text)."""
     docs = keyed(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
     digests = written(_digests(docs), "digests")
-    firsts = digests.groupBy("copy").agg(F.min(F.struct("doc_id", "keys")).alias("first")).select("copy", F.col("first.doc_id").alias("rep"), F.col("first.keys").alias("keys"))
+    firsts = digests.groupBy("copy").agg(F.min(F.struct("doc_id", "keys", "sketch")).alias("first")).select("copy", F.col("first.doc_id").alias("rep"), "first.keys", "first.sketch")
     copies = written(firsts, "copies")
+    sketches = copies.where(F.size("keys") > 0).groupBy("rep").agg(F.min("sketch").alias("sketch"))
     banded = copies.select("rep", F.explode("keys").alias("key"))
     rank = F.struct(F.xxhash64("rep", "key"), F.col("rep"))
     leaders = banded.groupBy("key").agg(F.min(rank).alias("r"), F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("key", F.col("r.rep").alias("leader"))
     members = written(banded.join(leaders, "key"), "members")
     stars = members.where(F.col("rep") != F.col("leader")).select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
-    links = _verified(stars, docs, threshold)
+    links = _verified(stars, docs, sketches, threshold)
     groups = components(links)
     labelled = members.join(groups, members["rep"] == groups["v"], "left").select("key", "rep", F.coalesce("c", "rep").alias("c"))
     sizes = labelled.groupBy("key", "c").agg(F.count("*").alias("n"))
@@ -206,7 +228,7 @@ def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", tex
     rest = mixed.join(others, "key").where("c != cx").select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct()
     rest = rest.join(stars.distinct(), ["a", "b"], "left_anti")
     if mixed.limit(1).count():
-        more = _verified(rest, docs, threshold)
+        more = _verified(rest, docs, sketches, threshold)
         if more.limit(1).count():
             groups = components(links.unionByName(more))
     per_copy = copies.join(groups, copies["rep"] == groups["v"], "left").select("copy", F.col("rep").alias("copy_of"), F.coalesce("c", "rep").alias("class_id"))

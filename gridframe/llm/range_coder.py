@@ -20,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 
 #: Ids of a block, and blocks that are coded side by side.
-BLOCK, LANES = 4096, 1024
+BLOCK, LANES = 4096, 1536
 
 _U = np.uint64
 _TOP, _BOTTOM = _U(1 << 56), _U(1 << 48)
@@ -60,16 +60,6 @@ class _Coder:
                 self.code = self.code << _U(8) | self.bytes[:, k]
             self.at += 8
 
-    def target(self, u, total: np.ndarray) -> np.ndarray:
-        """Where in 0..total - 1 each lane's code lies."""
-        return np.minimum((self.code[u] - self.low[u]) // (self.range[u] // total), total - _U(1)).astype(np.int64)
-
-    def narrow(self, u, start: np.ndarray, size: np.ndarray, total: np.ndarray) -> None:
-        """Leaves `size` of `total` parts of the lanes' ranges, from `start` on."""
-        part = self.range[u] // total
-        self.low[u] += start * part
-        self.range[u] = part * size
-
     def settle(self, n: int) -> None:
         """Moves the first n lanes' settled bytes out (or in)."""
         low, wide = self.low[:n], self.range[:n]
@@ -95,28 +85,40 @@ class _Coder:
         return [self.bytes[k, :n].tobytes() + int(self.low[k]).to_bytes(8, "big") for k, n in enumerate(self.at.tolist())]
 
 
+def _place(code: np.ndarray, low: np.ndarray, part: np.ndarray, total: int | np.ndarray) -> np.ndarray:
+    """In which of `total` parts of a range, each `part` long, the code lies."""
+    return np.minimum((code - low) // part, total - _U(1))
+
+
 def _digits(coder: _Coder, counts: np.ndarray, u: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
     """Codes ids as four digits with order-0 counts."""
     value = np.zeros(len(u), np.int64)
     base = u * _ROWS
     pick = np.arange(0, 16 * len(u), 16)
     flat = counts.reshape(-1)
+    low, wide = coder.low.take(u), coder.range.take(u)
+    code = coder.code.take(u) if ids is None else None
     for level in range(4):
         at = base + (value if level == 0 else value + _FIRST_ROW[level] if level < 3 else _FIRST_ROW[3] + ((value * 40503 >> 6) & (_LAST_ROWS - 1)))
         upto = np.cumsum(counts.take(at, axis=0), axis=1, dtype=np.uint16)
         total = upto[:, 15].astype(_U)
+        wide //= total
         if ids is None:
-            digit = np.add.reduce(upto <= coder.target(u, total)[:, None], axis=1, dtype=np.int64)
+            target = _place(code, low, wide, total).astype(np.uint16)
+            passed = np.bitwise_count((upto <= target[:, None]).view(_U))
+            digit = (passed[:, 0] + passed[:, 1]).astype(np.int64)
         else:
             digit = ids >> (12 - 4 * level) & 15
         place = at * 16 + digit
         size = flat.take(place)
-        coder.narrow(u, (upto.reshape(-1).take(pick + digit) - size).astype(_U), size.astype(_U), total)
+        low += (upto.reshape(-1).take(pick + digit) - size) * wide
+        wide *= size
         flat[place] = size + np.uint16(_STEP)
         full = np.flatnonzero(total > _U(_MOST))
         if full.size:
             counts[at[full]] = (counts[at[full]] >> 1) | 1
         value = value << 4 | digit
+    coder.low[u], coder.range[u] = low, wide
     return value
 
 
@@ -134,7 +136,6 @@ def _run(lengths: np.ndarray, ids: np.ndarray | None, data: list[bytes] | None)
     before, last = np.zeros(n, np.int64), np.zeros(n, np.int64)
     lanes = np.arange(n)
     base2, base1, base16, base32, base0 = (lanes * k for k in (_SLOTS2, _SLOTS1, 16, 32, _ORDER0))
-    whole = np.full(n, _U(4096))
     for t in range(steps):
         while lengths[n - 1] <= t:
             n -= 1
@@ -153,9 +154,11 @@ def _run(lengths: np.ndarray, ids: np.ndarray | None, data: list[bytes] | None)
         v2, v1, v0 = w2[:n], w1[:n], w0[:n]
         mixed = ((v2 >> 4) * t2 + (v1 >> 4) * t1 + (v0 >> 4) * t0) >> 12
         p = SQUASH.take(np.maximum(np.minimum(mixed, 2047), -2047) + 2047)
-        u = slice(0, n)
-        hit = out[t, :n] == guess if ids is not None else coder.target(u, whole[:n]) < p
-        coder.narrow(u, np.where(hit, 0, p).astype(_U), np.where(hit, p, 4096 - p).astype(_U), whole[:n])
+        low, wide = coder.low[:n], coder.range[:n]
+        wide >>= _U(12)
+        hit = out[t, :n] == guess if ids is not None else _place(coder.code[:n], low, wide, _U(4096)) < p.astype(_U)
+        low += np.where(hit, 0, p).astype(_U) * wide
+        wide *= np.where(hit, p, 4096 - p).astype(_U)
         aim = hit * np.int32(4095)
         error = aim - p
         for probs, x, q, v, s in ((p2, x2, q2, v2, t2), (p1, x1, q1, v1, t1), (p0, x0, q0, v0, t0)):
@@ -178,12 +181,17 @@ def _run(lengths: np.ndarray, ids: np.ndarray | None, data: list[bytes] | None)
     return coder, out
 
 
+def _groups(order: list[int]) -> list[list[int]]:
+    """At most LANES numbers each, and about as many in each."""
+    n = -(-len(order) // LANES)
+    return [order[len(order) * k // n : len(order) * (k + 1) // n] for k in range(n)]
+
+
 def encode(blocks: list[np.ndarray]) -> list[bytes]:
     """Each block's ids (below 65536) as bytes."""
     out: list[bytes] = [b""] * len(blocks)
     order = sorted(range(len(blocks)), key=lambda k: -len(blocks[k]))
-    for at in range(0, len(order), LANES):
-        part = order[at : at + LANES]
+    for part in _groups(order):
         lengths = np.array([len(blocks[k]) for k in part], np.int64)
         ids = np.zeros((int(lengths[0]), len(part)), np.int64)
         for i, k in enumerate(part):
@@ -197,8 +205,7 @@ def decode(streams: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     """The ids of blocks of the given sizes."""
     out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(streams)
     order = sorted(range(len(streams)), key=lambda k: -sizes[k])
-    for at in range(0, len(order), LANES):
-        part = order[at : at + LANES]
+    for part in _groups(order):
         lengths = np.array([sizes[k] for k in part], np.int64)
         _, ids = _run(lengths, None, [streams[k] for k in part])
         for i, k in enumerate(part):

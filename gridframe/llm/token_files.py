@@ -129,27 +129,36 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     return mapped(stored.select("part", "data", "docs"), apply, schema)
 
 
+def _moved(rows: list[int], v: int) -> int:
+    """The 32-bit number v times a matrix of bits, given by rows."""
+    out = 0
+    while v:
+        low = v & -v
+        out ^= rows[low.bit_length() - 1]
+        v ^= low
+    return out
+
+
+_ZEROS: list[list[int]] = []
+
+
 def _zeros(crc: int, n: int) -> int:
-    """What crc32's state `crc` becomes by n bytes of zero, by squaring the matrix of one bit's step."""
-    rows = [0xEDB88320] + [1 << k for k in range(31)]  # the step x -> x >> 1, with the polynomial for a lost bit
-    apply = lambda m, v: _xor(m[k] for k in range(32) if v >> k & 1)
-    for _ in range(3):
-        rows = [apply(rows, r) for r in rows]
-    while n:
+    """What crc32's state `crc` becomes by n bytes of zero: by matrices for 1, 2, 4, ... bytes, each the square of the one before."""
+    if not _ZEROS:
+        rows = [0xEDB88320] + [1 << k for k in range(31)]  # one bit's step: x >> 1, and the polynomial for a lost bit
+        for _ in range(3):
+            rows = [_moved(rows, r) for r in rows]
+        _ZEROS.append(rows)
+        for _ in range(47):
+            _ZEROS.append([_moved(_ZEROS[-1], r) for r in _ZEROS[-1]])
+    k = 0
+    while n and crc:
         if n & 1:
-            crc = apply(rows, crc)
-        rows = [apply(rows, r) for r in rows]
-        n >>= 1
+            crc = _moved(_ZEROS[k], crc)
+        n, k = n >> 1, k + 1
     return crc
 
 
-def _xor(values: Iterator[int]) -> int:
-    out = 0
-    for v in values:
-        out ^= v
-    return out
-
-
 def joined_crc(parts: list[tuple[int, int]]) -> int:
     """The crc32 of joined byte strings, from each one's (crc32, number of bytes)."""
     crc = 0

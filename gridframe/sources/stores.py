@@ -178,6 +178,8 @@ def open_store(path: str) -> Store:
     scheme = path.partition("://")[0] if "://" in path else ""
     if scheme in ("http", "https"):
         return HttpStore(path)
+    if scheme in ("s3", "s3a", "s3n"):
+        return ArrowStore("s3://" + path.partition("://")[2], lists=False)
     if scheme:
-        return ArrowStore(path, lists=scheme not in ("s3", "s3a", "s3n"))
+        return ArrowStore(path, lists=True)
     return LocalStore(path)
