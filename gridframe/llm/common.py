@@ -40,6 +40,15 @@ def batch(schema: T.StructType, *columns: object) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, f.type) for x, f in zip(columns, arrow, strict=True)], schema=arrow)
 
 
+#: Rows of ids, hashes or the like that are broadcast at most.
+MAX_BROADCAST = 1_000_000
+
+
+def small(df: DataFrame, most: int = MAX_BROADCAST) -> DataFrame:
+    """`df` to be broadcast if it has at most `most` rows, which are counted first; else it is joined by shuffles."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def words(text: Column) -> Column:
     """The text's words: maximal runs of letters and digits, lower-cased; no words for null."""
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")

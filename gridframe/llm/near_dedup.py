@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridframe.llm.common import batch, keyed, mapped, texts
+from gridframe.llm.common import batch, keyed, mapped, small, texts
 from gridframe.llm.tokens import Cache
 from gridframe.shared import written
 
@@ -174,8 +174,8 @@ def _alike(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame
 def _verified(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
     """Of pairs (a, b), those whose texts are similar enough. Only texts with like sketches are read again."""
     pairs = written(_alike(pairs.distinct(), sketches, threshold).distinct(), "pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    held = written(docs.join(needed, "doc_id", "left_semi"), "pair-texts")
+    needed = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
+    held = written(docs.join(small(needed), "doc_id", "left_semi"), "pair-texts")
     schema = T.StructType([pairs.schema["a"], pairs.schema["b"]])
     joined = pairs.join(held.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
     joined = joined.join(held.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
