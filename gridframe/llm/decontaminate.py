@@ -24,7 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridframe.llm.common import keyed, small, words
+from gridframe.llm.common import keyed, words
+from gridframe.llm.common import small as _small
 from gridframe.shared import written
 
 SHINGLE = 5
@@ -58,11 +59,11 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_col:
     items = items.select(items[item_col].alias("item_id"), words(items[item_text]).alias("w")).where(F.col("item_id").isNotNull())
     sought = written(signatures(items, threshold), "signatures")
     hashed = docs.select("doc_id", words(F.col("text")).alias("w")).select("doc_id", F.explode(shingle_hashes(F.col("w"))).alias("h"))
-    pairs = written(hashed.join(small(sought), "h").select("doc_id", "item_id").distinct(), "candidates")
-    texts = docs.join(small(pairs.select("doc_id").distinct()), "doc_id", "left_semi")
+    pairs = written(hashed.join(_small(sought), "h").select("doc_id", "item_id").distinct(), "candidates")
+    texts = docs.join(_small(pairs.select("doc_id").distinct()), "doc_id", "left_semi")
     texts = texts.select("doc_id", words(F.col("text")).alias("w")).select("doc_id", shingle_texts(F.col("w")).alias("has"))
     wanted = items.select("item_id", shingle_texts(F.col("w")).alias("wants"))
-    found = pairs.join(texts, "doc_id").join(small(wanted, 20_000), "item_id")
+    found = pairs.join(texts, "doc_id").join(_small(wanted, 20_000), "item_id")
     found = found.select("doc_id", "item_id", F.size("wants").cast("long").alias("n_shingles"), F.size(F.array_intersect("wants", "has")).cast("long").alias("n_found"))
     found = found.withColumn("containment", F.col("n_found") / F.col("n_shingles")).where(F.col("containment") >= threshold)
     best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("containment", "n_found", "n_shingles")).alias("best"))
@@ -72,7 +73,7 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_col:
 def without(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
     """`docs` without the documents that contain an item; all columns kept."""
     hits = written(contained(docs, items, threshold).select(F.col("doc_id").alias("__hit")).distinct(), "hits")
-    return docs.join(small(hits), docs["doc_id"] == hits["__hit"], "left_anti")
+    return docs.join(_small(hits), docs["doc_id"] == hits["__hit"], "left_anti")
 
 
 #: The same by SQL: exact containment of every item in every document.
