@@ -21,6 +21,13 @@ def texts(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most so many rows, as Python strings of a whole batch may take much memory."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text, as `doc_id` and `text`: no other column's name can clash."""
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))

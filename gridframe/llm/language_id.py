@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridframe.llm.common import batch, mapped, texts
+from gridframe.llm.common import batch, mapped, slices, texts
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3, 4)
@@ -178,7 +178,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     schema = T.StructType([docs.schema["doc_id"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             found = shared.value.predict(texts(b.column(1)))
             yield batch(schema, b.column(0), [x for x, _ in found], [s for _, s in found])
 
@@ -197,7 +197,7 @@ def speaking(docs: DataFrame, model: Model, least: float = 0.25, text_col: str =
     at = docs.columns.index(text_col)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             found = shared.value.predict(texts(b.column(at)))
             yield b.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
 

@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridframe.llm.common import batch, keyed, mapped, small, texts
+from gridframe.llm.common import batch, keyed, mapped, slices, small, texts
 from gridframe.llm.tokens import Cache
 from gridframe.shared import written
 
@@ -56,7 +56,7 @@ REGISTERS = BANDS * ROWS
 MARGIN = 0.15
 _WORD = re.compile(r"[^\W_]+")
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
-_WORDS = Cache(48 << 20)
+_WORDS = Cache(24 << 20)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -139,7 +139,7 @@ def _digests(docs: DataFrame) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         multiply = np.arange(1, ROWS + 1, dtype=np.uint64)[None, :] * _GOLD
         band = np.arange(BANDS, dtype=np.uint64)
-        for b in batches:
+        for b in slices(batches):
             copies, keys, sketches = [], [], []
             for text in texts(b.column(1)):
                 copies.append(xxhash.xxh3_128_digest(text.encode()))
@@ -181,8 +181,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, threshold:
     joined = joined.join(held.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            similar = [similarity(shingles(x), shingles(y)) >= threshold - 1e-9 for x, y in zip(texts(b.column(2)), texts(b.column(3)), strict=True)]
+        last, held = None, None  # rows come sorted by a, so a leader's shingles serve many rows
+        for b in slices(batches):
+            similar = []
+            for x, y in zip(texts(b.column(2)), texts(b.column(3)), strict=True):
+                if x != last:
+                    last, held = x, shingles(x)
+                similar.append(similarity(held, shingles(y)) >= threshold - 1e-9)
             yield batch(schema, b.column(0), b.column(1)).filter(pa.array(similar, pa.bool_()))
 
     return written(mapped(joined.select("a", "b", "text_a", "text_b"), apply, schema), "links")
