@@ -59,7 +59,7 @@ CLASSES = (
 WINDOW = 20
 ALLOW = (
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),
-    re.compile(r"[A-Za-z]+([-_/+=]+[A-Za-z]*)*"),
+    re.compile(r"[A-Za-z][A-Za-z_/+=-]*"),
     re.compile(r"[0-9+/_=-]+"),
     re.compile(r"/?([a-z]+|[0-9]+)([-_/]([a-z]+|[0-9]+))*/?"),
     re.compile(r"(sha1|sha256|sha512|md5)[-_=].*"),

@@ -3,7 +3,10 @@
 import hashlib
 import math
 import re
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import pytest
 
@@ -98,6 +101,18 @@ def test_secrets(make):
     assert found[at + 6].spans == "entropy:0:27" and all(found[at + k].n_entropy == 0 for k in (7, 8, 9, 10)) and found[at].n_entropy == 0
 
 
+@pytest.mark.parametrize("rule", range(len(secret_scan.ALLOW)))
+def test_allow_rules_take_time_in_proportion(rule):
+    heads = ["Name", "name-a", "12", "/a1", "sha1-", "550e8400-e29b-"]
+    script = f"from gridframe.llm.secret_scan import ALLOW\nfor head in {heads}:\n for mark in '_-/=+': ALLOW[{rule}].fullmatch(head + mark * 10_000 + '1')"
+    subprocess.run([sys.executable, "-c", script], check=True, timeout=20, cwd=Path(secret_scan.__file__).parents[2])
+
+
+def test_allowed_words():
+    rule = secret_scan.ALLOW[1]
+    assert all(rule.fullmatch(x) for x in ("Name", "a_", "some-Long/name", "a==b++c", "x" * 40)) and not any(rule.fullmatch(x) for x in ("", "_a", "a1", "Name__1", "1a"))
+
+
 def test_entropy_by_counting_anew():
     run = "kJ8dn2Xq9Lm4Zp7Rt5Vw1Yb3Gh6aaaaaaaaaaaaaaaaaaaaaaaaaaQ8dn2Xq9Lm4Zp7Rt5Vw"
     hot = set()
