@@ -7,8 +7,10 @@ characters) and for each character class, a window slides over the runs of that
 class; its entropy follows from character counts that change by one in and one
 out, and a window over the class' threshold is part of a secret. Windows that
 overlap become one span. Candidates on the allow list (words, numbers, UUIDs,
-paths, names, digests said to be such) are suppressed, and so are entropy spans
-that touch a span of the three patterns.
+paths, names, digests said to be such) are suppressed. What a span of the three
+patterns covers is taken out of entropy spans, and the rest stays, however short it
+is; only a rest before an assignment, which may be the head of the assigned name,
+has to hold a hot window of its own.
 
 Null text counts as empty and has no spans; repeated rows give repeated results;
 other columns are ignored by `scan` and kept by `redact`. Positions are code
@@ -99,25 +101,45 @@ def hot_windows(run: str, least: float) -> list[tuple[int, int]]:
     return found
 
 
-def entropy_spans(text: str, taken: list[Span]) -> list[Span]:
-    """Spans of high entropy in candidate strings that no allow rule covers and no span in `taken` touches."""
+def _hot(part: str, at: int) -> list[tuple[int, int]]:
+    """Places of the hot windows of all classes in a run of key-like characters that begins at `at`."""
     found: list[tuple[int, int]] = []
-    for m in CANDIDATE.finditer(text):
-        if any(rule.fullmatch(m[0]) for rule in ALLOW):
-            continue
-        for kind in CLASSES:
-            for run in kind.chars.finditer(m[0]):
-                if run.end() - run.start() < WINDOW or not all(re.search(x, run[0]) for x in kind.mixed):
-                    continue
-                at = m.start() + run.start()
-                found += [(at + a, at + b) for a, b in hot_windows(run[0], kind.least)]
-    merged: list[list[int]] = []
+    for kind in CLASSES:
+        for run in kind.chars.finditer(part):
+            if run.end() - run.start() >= WINDOW and all(re.search(x, run[0]) for x in kind.mixed):
+                found += [(at + run.start() + a, at + run.start() + b) for a, b in hot_windows(run[0], kind.least)]
+    return found
+
+
+def _merged(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    merged: list[tuple[int, int]] = []
     for a, b in sorted(found):
         if merged and a <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], b)
+            merged[-1] = (merged[-1][0], max(merged[-1][1], b))
         else:
-            merged.append([a, b])
-    return [(a, b, "entropy") for a, b in merged if not any(a < end and start < b for start, end, _ in taken)]
+            merged.append((a, b))
+    return merged
+
+
+def entropy_spans(text: str, taken: list[Span]) -> list[Span]:
+    """Spans of high entropy in candidate strings that no allow rule covers, without what spans in `taken` cover."""
+    found: list[tuple[int, int]] = []
+    for m in CANDIDATE.finditer(text):
+        if not any(rule.fullmatch(m[0]) for rule in ALLOW):
+            found += _hot(m[0], m.start())
+    covered = _merged([(a, b) for a, b, _ in taken])
+    names = {a for a, _, kind in taken if kind == "assign"}
+    left: list[tuple[int, int]] = []
+    for a, b in _merged(found):
+        for start, end in covered:
+            if start < b and a < end:
+                if a < start:
+                    # What precedes an assignment may be the head of its name, hot by the value alone.
+                    left += _hot(text[a:start], a) if start in names else [(a, start)]
+                a = max(a, end)
+        if a < b:
+            left.append((a, b))
+    return [(a, b, "entropy") for a, b in _merged(left)]
 
 
 def find_secrets(text: str) -> tuple[list[Span], list[Span]]:
@@ -149,7 +171,7 @@ def masked(text: str, mask: str) -> str:
     """The text with `mask` in place of each secret; touching spans are one."""
     out, at = [], 0
     for start, end, _ in find_secrets(text)[1]:
-        if start >= at:
+        if start > at or not out:
             out += [text[at:start], mask]
         at = max(at, end)
     return "".join([*out, text[at:]]) if out else text
