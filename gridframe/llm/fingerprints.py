@@ -19,8 +19,12 @@ very long. So there are three independent walks, a fingerprint has a part for ea
 (joined by points), and the likeness is that of the walk in which the texts agree best.
 
 `near_pairs` finds like texts by bit-sampled bands: a band key is a few digits at
-shared places of the last two whole octaves; texts that share a key are paired with
-the key's least id (as many pairs as rows), then verified by likeness.
+shared places of the last two whole octaves (blocks of digits in short texts). Equal
+texts are one; texts that share a key are paired with the key's least id (as many
+pairs as rows), then verified by likeness, and by edit distance, as unlike texts may
+have like fingerprints. Where a key's texts are then in several components, those of
+different ones are paired and verified too, so no near pair that shares a key is
+left unjoined; such pairs can be as many as the square of the key's unlike texts.
 
 Null text counts as empty: its fingerprint is empty, like that of other empty texts,
 and unlike all others. Rows that repeat an id are ordered by text. Other columns are
@@ -35,11 +39,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridframe.llm.common import batch, keyed, mapped, texts
+from gridframe.llm.common import batch, keyed, mapped, slices, small, texts
+from gridframe.llm.near_dedup import components
 from gridframe.shared import written
 from gridframe.shipping import ship
 
@@ -220,37 +226,136 @@ BANDS, DIGITS = 12, 6
 _BAND_PLACES = np.stack([np.sort(np.random.default_rng(SEED + 1 + k).choice(OCTAVE, DIGITS, replace=False)) for k in range(BANDS)])
 
 
+#: Samples in a key of a short text: of all places, and of the first few.
+BLOCK, FIRST = 4, 2
+
+
 def band_keys(mark: str) -> list[str]:
-    """Keys of samples from each walk's last two whole octaves; the walk's whole part, if there aren't so many."""
+    """Keys of samples from each walk's last two whole octaves.
+
+    A walk's part of under two octaves has every step's sample. Its keys are the
+    whole part, its successive blocks of 4 samples (of 2, up to 8 samples) and, from
+    one octave on, that octave's bands, which longer texts have too. Parts of likeness
+    0.8 differ in at most 0.174 of their samples, which are fewer than their blocks:
+    two such short parts always share a key.
+    """
     out: list[str] = []
     for walk, part in enumerate(mark.split(".") if mark else []):
         whole = len(part) // OCTAVE
         if whole < 2:
             out.append(f"{walk}:{part}")
-        for octave in (whole - 1, whole - 2) if whole > 1 else ():
+            for size in (BLOCK, FIRST) if len(part) <= 2 * BLOCK else (BLOCK,):
+                out += [f"{walk}:at:{i}:{part[i : i + size]}" for i in range(0, len(part) - size + 1, size)]
+        for octave in range(max(0, whole - 2), whole):
             out += [f"{walk}:{octave}:{k}:" + "".join(part[OCTAVE * octave + i] for i in places) for k, places in enumerate(_BAND_PLACES.tolist())]
     return out
 
 
-def near_pairs(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(a, b, near): documents paired with the least id among those that share a band key, if their fingerprints are so like."""
-    docs = keyed(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("fingerprint", T.StringType()), T.StructField("keys", T.ArrayType(T.StringType()))])
+def edit_distance(a: str, b: str, most: int) -> int:
+    """Insertions, deletions and replacements between the texts; some number over `most` if there are more than that.
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Bit-parallel: a whole column of the table of distances is a few long integers.
+    """
+    n = min(len(a), len(b))
+    if abs(len(a) - len(b)) > most:
+        return most + 1
+    start = next((k for k in range(n) if a[k] != b[k]), n)
+    end = next((k for k in range(n - start) if a[-1 - k] != b[-1 - k]), n - start)
+    a, b = sorted((a[start : len(a) - end], b[start : len(b) - end]), key=len)
+    if not a:
+        return len(b)
+    at: dict[str, int] = {}
+    for c in set(a):
+        at[c] = int("".join("1" if x == c else "0" for x in reversed(a)), 2) if len(a) < 64 else int.from_bytes(np.packbits(np.frombuffer(a.encode("utf-32-le", "surrogatepass"), "<u4") == ord(c), bitorder="little").tobytes(), "little")
+    full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    up, down, found = full, 0, len(a)
+    for k, c in enumerate(b):
+        same = at.get(c, 0)
+        across = (((same & up) + up) ^ up) | same
+        rise, fall = down | (full & ~(across | up)), up & across
+        found += 1 if rise & top else -1 if fall & top else 0
+        if found - (len(b) - 1 - k) > most:
+            return most + 1
+        rise, fall = (rise << 1) | 1, fall << 1
+        upright = same | down
+        up, down = (fall | (full & ~(upright | rise))) & full, rise & upright & full
+    return found
+
+
+def near_texts(a: str, b: str, least: float) -> bool:
+    """Whether all but a share of 1 - `least` of the longer text's characters stay in the shortest edit."""
+    most = int((1 - least) * max(len(a), len(b)) + 1e-9)
+    return a == b or edit_distance(a, b, most) <= most
+
+
+def _digest(text: str) -> bytes:
+    return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+
+
+def _verified(pairs: DataFrame, copies: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+    """(a, b, near) of those pairs (a, b) whose fingerprints are so like, and whose texts are. Only texts of like fingerprints are read again."""
+    kind = pairs.schema["a"].dataType
+    fields = [T.StructField("a", kind), T.StructField("b", kind), T.StructField("near", T.DoubleType())]
+    like = T.StructType([*fields, T.StructField("copy_a", T.BinaryType()), T.StructField("copy_b", T.BinaryType())])
+    for side in "ab":
+        pairs = pairs.join(copies.select(F.col("rep").alias(side), F.col("copy").alias(f"copy_{side}"), F.col("fingerprint").alias(f"f{side}")), side)
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = fingerprints(texts(b.column(1)))
-            yield batch(schema, b.column(0), found, [band_keys(x) for x in found])
+            near = [likeness(x, y) for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True)]
+            yield batch(like, b.column(0), b.column(1), near, b.column(2), b.column(3)).filter(pa.array([x >= least for x in near], pa.bool_()))
 
-    marked = written(mapped(docs, mark, schema), "fingerprints")
-    keys = marked.select("doc_id", F.explode("keys").alias("key"))
-    leaders = keys.groupBy("key").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("last")).where("a < last").select("key", "a")
-    pairs = keys.join(leaders, "key").where("a < doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    pairs = pairs.join(marked.select(F.col("doc_id").alias("a"), F.col("fingerprint").alias("fa")), "a").join(marked.select(F.col("doc_id").alias("b"), F.col("fingerprint").alias("fb")), "b")
-    verified = T.StructType([pairs.schema["a"], pairs.schema["b"], T.StructField("near", T.DoubleType())])
+    pairs = written(mapped(pairs.select("a", "b", "copy_a", "copy_b", "fa", "fb"), compared, like), "like")
+    needed = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "like-ids")
+    held = written(docs.join(small(needed), "doc_id", "left_semi").distinct(), "like-texts")
+    for side in "ab":
+        pairs = pairs.join(held.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")), side)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield batch(verified, b.column(0), b.column(1), [likeness(x, y) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)])
+        for b in slices(batches):
+            rows = zip(b.column(3).to_pylist(), b.column(4).to_pylist(), texts(b.column(5)), texts(b.column(6)), strict=True)
+            good = [_digest(x) == p and _digest(y) == q and near_texts(x, y, least) for p, q, x, y in rows]
+            yield batch(T.StructType(fields), b.column(0), b.column(1), b.column(2)).filter(pa.array(good, pa.bool_()))
 
-    return mapped(pairs.select("a", "b", "fa", "fb"), verify, verified).where(F.col("near") >= least)
+    found = mapped(pairs.select("a", "b", "near", "copy_a", "copy_b", "text_a", "text_b"), verify, T.StructType(fields))
+    return written(found.groupBy("a", "b").agg(F.max("near").alias("near")), "near")
+
+
+def near_pairs(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(a, b, near), a < b: pairs of near documents, that join all near documents in chains.
+
+    Documents are near if they share a band key, their fingerprints are so like and so
+    are their texts, or if they have the same text. Rows that repeat an id are one
+    document, near another one if any of its texts is.
+    """
+    docs = keyed(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
+    fields = [T.StructField("copy", T.BinaryType()), T.StructField("fingerprint", T.StringType()), T.StructField("keys", T.ArrayType(T.LongType()))]
+    schema = T.StructType([docs.schema["doc_id"], *fields])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 1000):
+            values = texts(b.column(1))
+            found = fingerprints(values)
+            # Keys that clash by their hashes only make more pairs to verify.
+            keys = [np.array([xxhash.xxh3_64_intdigest(k) for k in band_keys(x)], np.uint64).view(np.int64) for x in found]
+            yield batch(schema, b.column(0), [_digest(x) for x in values], found, keys)
+
+    marked = written(mapped(docs, mark, schema), "fingerprints")
+    first = marked.groupBy("copy").agg(F.min(F.struct("doc_id", "fingerprint", "keys")).alias("first"))
+    copies = written(first.select("copy", F.col("first.doc_id").alias("rep"), "first.fingerprint", "first.keys"), "copies")
+    equal = marked.join(copies.select("copy", "rep"), "copy").where("rep < doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"), F.lit(1.0).alias("near"))
+    banded = copies.select("rep", F.explode("keys").alias("key")).distinct()
+    leaders = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last").select("key", "leader")
+    members = written(banded.join(leaders, "key"), "members")
+    stars = written(members.where("leader < rep").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
+    links = _verified(stars, copies, docs, least)
+    # Rows that a key's leader leaves in other components are paired with each of those there: chains need no more pairs.
+    groups = components(links.unionByName(equal).select("a", "b"))
+    labelled = members.join(groups, members["rep"] == groups["v"], "left").select("key", "rep", F.coalesce("c", "rep").alias("c"))
+    sizes = labelled.groupBy("key", "c").agg(F.count("*").alias("n"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("top"), F.count("*").alias("k")).where("k > 1").select("key", F.col("top.c").alias("main"))
+    mixed = written(labelled.join(largest, "key"), "mixed")
+    others = mixed.where("c != main").select("key", F.col("rep").alias("x"), F.col("c").alias("cx"))
+    rest = mixed.join(others, "key").where("c != cx").select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct()
+    more = _verified(rest.join(stars, ["a", "b"], "left_anti"), copies, docs, least)
+    return links.unionByName(more).unionByName(equal).groupBy("a", "b").agg(F.max("near").alias("near"))

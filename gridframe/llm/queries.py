@@ -59,4 +59,12 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_fingerprints, op3_token_counts, op4_decontamination, op5_token_files, op6_near_dedup, op7_chat_format, op8_language_id, op9_secret_scan, op10_url_filter)}
 
+
+def fingerprint_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.near_pairs(table(spark, sf_dir, "documents"))
+
+
+#: Second halves of operators, whose results aren't the operator's query.
+MORE: dict[str, Callable[[SparkSession, str], DataFrame]] = {"fingerprint_pairs": fingerprint_pairs}
+
 ORACLE_SQL: dict[str, str] = {"op4_decontamination": decontaminate.ORACLE, "op7_chat_format": chat_format.ORACLE, "op10_url_filter": url_filter.ORACLE}

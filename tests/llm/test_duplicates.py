@@ -159,6 +159,86 @@ def test_near_pairs(make):
     assert found == {(k, k + 6) for k in range(6)}
 
 
+def joined(pairs, n):
+    label = list(range(n))
+    for a, b in pairs:
+        low, high = sorted((label[a], label[b]))
+        label = [low if x == high else x for x in label]
+    return label
+
+
+def brute_pairs(texts, least=0.8):
+    marks = fingerprints.fingerprints([t or "" for t in texts])
+    keys = [set(fingerprints.band_keys(m)) for m in marks]
+    for a, b in combinations(range(len(texts)), 2):
+        x, y = texts[a] or "", texts[b] or ""
+        if x == y or keys[a] & keys[b] and fingerprints.likeness(marks[a], marks[b]) >= least and slow_distance(x, y) <= (1 - least) * max(len(x), len(y)) + 1e-9:
+            yield a, b
+
+
+def slow_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        last, row[0] = row[0], i + 1
+        for j, y in enumerate(b):
+            last, row[j + 1] = row[j + 1], min(row[j + 1] + 1, row[j] + 1, last + (x != y))
+    return row[-1]
+
+
+def test_near_pairs_of_a_hot_key_and_of_short_texts(make, monkeypatch):
+    # All texts share a key, whose least id is unlike the rest.
+    plain = fingerprints.band_keys
+    monkeypatch.setattr(fingerprints, "band_keys", lambda mark: [*plain(mark), "hot"])
+    texts = ["unlike all the others, and first", None, "", *(prose(k, 40, WORDS) for k in range(5))]
+    texts += [t[:60] + "x" + t[61:] for t in texts[3:]] + [texts[4]]
+    short = ["call me at noon tomorrow", "see you", "abcdefghij klm"]
+    texts += [*short, *(t[:-1] + "!" for t in short), *(t + "." for t in short), "ab", "ac", "x"]
+    found = {(r.a, r.b): r.near for r in fingerprints.near_pairs(make(texts)).collect()}
+    wanted = set(brute_pairs(texts))
+    assert set(found) <= wanted and joined(found, len(texts)) == joined(wanted, len(texts))
+    assert {(k, k + 5) for k in range(3, 8)} <= wanted and (4, 13) in wanted
+
+
+def test_short_texts_share_keys_if_near():
+    rng, met = random.Random(3), 0
+    for n in (2, 3, 4, 5, 6, 7, 8, 9, 10, 12, 15, 18, 22, 26, 30) * 30:
+        a = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+        k = rng.randrange(n)
+        b = a[:k] + rng.choice(["", "Q", a[k] + "Q"]) + a[k + 1 :]
+        x, y = fingerprints.fingerprints([a, b])
+        if max(len(p) for p in f"{x}.{y}".split(".")) < 64 and fingerprints.likeness(x, y) >= 0.8:
+            met += x != y
+            assert set(fingerprints.band_keys(x)) & set(fingerprints.band_keys(y)), (a, b)
+    assert met > 50
+
+
+def test_edit_distance():
+    rng = random.Random(4)
+    for n in (0, 1, 5, 30, 63, 64, 65, 150) * 6:
+        a = "".join(rng.choice("abé日") for _ in range(n))
+        b = "".join(rng.choice([c, c, c, c, "", "z" + c, "b"]) for c in a)
+        want = slow_distance(a, b)
+        assert fingerprints.edit_distance(a, b, 10**6) == fingerprints.edit_distance(b, a, want) == want
+        assert want == 0 or fingerprints.edit_distance(a, b, want - 1) > want - 1
+
+
+def test_equal_fingerprints_of_unlike_texts_are_no_pair(make):
+    a = "the same digits"
+    other = {}
+    for c in map(chr, range(0x4E00, 0x9000)):
+        other.setdefault(int(fingerprints.char_classes(c)[0]), c)
+    b = "".join(other[int(x)] for x in fingerprints.char_classes(a))
+    assert len(set(fingerprints.fingerprints([a, b]))) == 1
+    assert fingerprints.near_pairs(make([a, b])).count() == 0
+
+
+def test_near_pairs_odd_tables(make, clashing, spark):
+    assert fingerprints.near_pairs(make([])).count() == 0
+    assert [tuple(r) for r in fingerprints.near_pairs(clashing(["a b", "c d", "a b"])).collect()] == [(0, 2, 1.0)]
+    repeated = spark.createDataFrame([(5, "a b"), (5, "a b"), (5, "zz"), (9, "zz"), (9, None), (None, "zz"), (12, "")], "doc_id long, text string")
+    assert sorted(tuple(r) for r in fingerprints.near_pairs(repeated).collect()) == [(5, 9, 1.0), (9, 12, 1.0)]
+
+
 def slow_containment(docs, items):
     def grams(t):
         w = [x for x in "".join(c.lower() if c.isalnum() else " " for c in t or "").split()]
