@@ -192,12 +192,19 @@ def identify(docs: DataFrame) -> DataFrame:
 
 
 def speaking(docs: DataFrame, model: Model, least: float = 0.25, text_col: str = "text") -> DataFrame:
-    """The documents in a learned language, with all columns: neither `und` nor with a score under `least`."""
+    """The documents in a learned language, with all columns: neither `und` nor with a score under `least`.
+
+    When nothing was learned, no text can be told to be in another language: only texts without letters go.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    learned = bool(model.slots.any())
     at = docs.columns.index(text_col)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
+            if not learned:
+                yield b.filter(pa.array([bool(letters(x)) for x in texts(b.column(at))], pa.bool_()))
+                continue
             found = shared.value.predict(texts(b.column(at)))
             yield b.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
 

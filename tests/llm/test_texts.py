@@ -71,6 +71,14 @@ def test_language_odd_tables(spark, make, clashing):
     assert [r.doc_id for r in kept.collect()] == [0] and kept.first().words == "clash"
 
 
+@pytest.mark.parametrize("lang", ["CAST(NULL AS STRING)", "IF(text = '!!! 123', 'en', NULL)"])
+def test_corpus_without_learned_languages_is_kept(spark, lang):
+    docs = labelled(spark).selectExpr("doc_id", "text", f"{lang} AS lang")
+    kept = language_id.speaking(docs, language_id.train(docs))
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect() if any(map(str.isalpha, r.text or ""))}
+
+
 def slow_spans(text):
     found = []
     for kind, pattern, least in (("assign", r"""(?P<k>(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?(?P<v>[A-Za-z0-9+/_.=-]+)""", 6), ("access", "AKIA[A-Z0-9]+", 20), ("hex", "[0-9a-f]+", 24)):
