@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,11 +23,45 @@ def texts(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
-    """The batches in parts of at most so many rows, as Python strings of a whole batch may take much memory."""
+#: Bytes of text, and rows, that tasks hold as Python strings at a time; a longer text is held alone.
+SLICE_BYTES, SLICE_ROWS = 2 << 20, 1000
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str | int = "text") -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about `SLICE_BYTES` of text, as Python strings of a whole batch may take much memory."""
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < b.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, min(at + SLICE_ROWS, int(np.searchsorted(ends, before + SLICE_BYTES, side="right"))))
+            yield b.slice(at, stop - at)
+            at = stop
+
+
+def released(*clear: Callable[[], None]) -> Callable:
+    """A function over batches, after which worker-wide caches are cleared and unused memory goes back.
+
+    Spark keeps Python workers for later stages: what a stage leaves in them counts for all that follow.
+    """
+
+    def wrap(fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            try:
+                yield from fn(batches)
+            finally:
+                for f in clear:
+                    f()
+                pa.default_memory_pool().release_unused()
+
+        return run
+
+    return wrap
+
+
+def digest(text: str | Column) -> Column:
+    """128 bits that tell a text, null as the empty one, from others."""
+    return F.unhex(F.md5(F.coalesce(text if isinstance(text, Column) else F.col(text), F.lit(""))))
 
 
 def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -52,8 +88,8 @@ MAX_BROADCAST = 1_000_000
 
 
 def small(df: DataFrame, most: int = MAX_BROADCAST) -> DataFrame:
-    """`df` to be broadcast if it has at most `most` rows, which are counted first; else it is joined by shuffles."""
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+    """`df`, a written table, to be broadcast if it has at most `most` rows, which are counted first; else it is joined by shuffles."""
+    return F.broadcast(df) if df.count() <= most else df
 
 
 def words(text: Column) -> Column:

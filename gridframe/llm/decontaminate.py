@@ -16,7 +16,9 @@ then the candidates' texts alone are read again, and shingles are compared as te
 Words are runs of letters and digits in lower case. Items and documents of fewer
 than five words have no shingle and match nothing; so do null texts. Rows that
 repeat an id count as one document (its best row) or one item. Rows with a null id
-are not reported. Other columns are ignored by `contained` and kept by `without`.
+are not reported. Other columns are ignored by `contained`. `without` keeps them, and
+decides by row: of rows with one id those go whose own text contains an item, and a
+row without an id goes as any other.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridframe.llm.common import keyed, words
+from gridframe.llm.common import digest, keyed, words
 from gridframe.llm.common import small as _small
 from gridframe.shared import written
 
@@ -60,7 +62,8 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_col:
     sought = written(signatures(items, threshold), "signatures")
     hashed = docs.select("doc_id", words(F.col("text")).alias("w")).select("doc_id", F.explode(shingle_hashes(F.col("w"))).alias("h"))
     pairs = written(hashed.join(_small(sought), "h").select("doc_id", "item_id").distinct(), "candidates")
-    texts = docs.join(_small(pairs.select("doc_id").distinct()), "doc_id", "left_semi")
+    candidates = written(pairs.select("doc_id").distinct(), "candidate-ids")
+    texts = docs.join(_small(candidates), "doc_id", "left_semi")
     texts = texts.select("doc_id", words(F.col("text")).alias("w")).select("doc_id", shingle_texts(F.col("w")).alias("has"))
     wanted = items.select("item_id", shingle_texts(F.col("w")).alias("wants"))
     found = pairs.join(texts, "doc_id").join(_small(wanted, 20_000), "item_id")
@@ -70,10 +73,12 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_col:
     return best.select("doc_id", "item_id", "best.n_shingles", "best.n_found", "best.containment")
 
 
-def without(docs: DataFrame, items: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """`docs` without the documents that contain an item; all columns kept."""
-    hits = written(contained(docs, items, threshold).select(F.col("doc_id").alias("__hit")).distinct(), "hits")
-    return docs.join(_small(hits), docs["doc_id"] == hits["__hit"], "left_anti")
+def without(docs: DataFrame, items: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`docs` without the rows whose text contains an item; all columns kept."""
+    row = digest(F.concat_ws("\n", F.coalesce(docs[id_col].cast("string"), F.lit("")), docs[text_col]))
+    hits = contained(docs.select(row.alias("doc_id"), docs[text_col].alias("text")), items, threshold)
+    hits = written(hits.select(F.col("doc_id").alias("__hit")).distinct(), "hits")
+    return docs.join(_small(hits), row == hits["__hit"], "left_anti")
 
 
 #: The same by SQL: exact containment of every item in every document.

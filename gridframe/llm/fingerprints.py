@@ -312,7 +312,7 @@ def _verified(pairs: DataFrame, copies: DataFrame, docs: DataFrame, least: float
         pairs = pairs.join(held.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")), side)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, "text_a"):
             rows = zip(b.column(3).to_pylist(), b.column(4).to_pylist(), texts(b.column(5)), texts(b.column(6)), strict=True)
             good = [_digest(x) == p and _digest(y) == q and near_texts(x, y, least) for p, q, x, y in rows]
             yield batch(T.StructType(fields), b.column(0), b.column(1), b.column(2)).filter(pa.array(good, pa.bool_()))
@@ -333,7 +333,7 @@ def near_pairs(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text
     schema = T.StructType([docs.schema["doc_id"], *fields])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 1000):
+        for b in slices(batches):
             values = texts(b.column(1))
             found = fingerprints(values)
             # Keys that clash by their hashes only make more pairs to verify.

@@ -201,7 +201,7 @@ def speaking(docs: DataFrame, model: Model, least: float = 0.25, text_col: str =
     at = docs.columns.index(text_col)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, at):
             if not learned:
                 yield b.filter(pa.array([bool(letters(x)) for x in texts(b.column(at))], pa.bool_()))
                 continue

@@ -11,41 +11,55 @@ register keeps the shingle that arrives first. Two texts agree in a register wit
 probability J_P. Once every register is taken, arrivals after the latest of them
 change nothing, so processes stop there.
 
-1. One map over the texts gives band keys (hashes of `rows` registers) and a digest.
-2. Exact copies are one representative: the least id. Later steps see only those.
+1. One map over the texts gives band keys (hashes of `rows` registers) and sketches.
+2. Exact copies (equal digests) are one text from here on.
 3. Each band key that several texts share gets a leader (a different choice in each
    band); texts are paired with their leaders: as many pairs as rows, however large a
    group. Links give components.
-4. Band keys whose texts lie in several components: texts outside the key's largest
-   component are paired with those of other components there, and verified too. Pairs
-   within a component are left out, for they can't change the groups. So every pair
-   of different components that shares a key has been verified: none is lost.
-5. The class of a document is the least id of its component.
+4. Band keys whose texts lie in several components are contested. A shingle that occurs
+   in one component only is common to no pair of components: call it useless. If x has n
+   distinct shingles of total weight w, c of them useless and those a share u of w, then x
+   lacks in y at least a_x = max(u_x, (n_x - n_y + c_y) / w_x) of its weight, as y has only
+   n_y - c_y shingles to share, and J_P(x, y) <= 1 / (1 + o_x + o_y) where o = a / (1 - a).
+   Texts whose u alone rules links out are dropped, which makes more shingles useless, so
+   that is done twice. Of the texts that are left, those of one key and of different
+   components are paired where the bound allows a link, and verified. Pairs within a
+   component can't change the groups. The bound is exact: every pair of different
+   components that shares a key is verified or can't be a link.
+5. The class of a document is the least id of its text's component.
+
+In a cloud of edits of one template, whose texts are like the template but not like each
+other, the bound of step 4 leaves about as many pairs as there are texts. Only texts that
+share nearly all their shingles with other components, and yet are near copies of none,
+still meet in pairs.
 
 Verification first compares sketches (one byte of each register): pairs that agree in
 fewer than `threshold` - 0.15 of them go; a pair of similarity 0.8 does with probability
-1e-7. The texts of the others are read again, and their exact similarity decides. With 36
+1e-7. The texts of the others are read again, and their exact similarity decides; a
+leader's text is sent once for every `RUN` of its members. With 36
 bands of 6 registers a pair of similarity 0.8 shares no key with probability 2e-5.
 
 Null text counts as empty; texts without words are duplicates only of equal texts.
-Rows that repeat an id are in one class (links hold between ids); rows with a null
-id are left out. Other columns are ignored by `classes` and kept by `first_of_each`.
-An empty table gives no rows.
+Links hold between texts, not ids: where rows repeat an id, each row is in the class of
+its own text. `classes` leaves out rows with a null id and ignores other columns.
+`first_of_each` keeps all columns and one row of each class: rows without an id come
+after all others, and of rows with the same id and text one stays. An empty table gives
+no rows.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridframe.llm.common import batch, keyed, mapped, slices, small, texts
+from gridframe.llm.common import batch, digest, keyed, mapped, released, slices, small, texts
 from gridframe.llm.tokens import Cache
 from gridframe.shared import written
 
@@ -54,9 +68,15 @@ BANDS, ROWS = 36, 6
 REGISTERS = BANDS * ROWS
 #: How far under the threshold sketches may agree. 0.15 is 5.5 standard deviations of 216 registers at 0.8.
 MARGIN = 0.15
+#: Members of a leader that are verified together.
+RUN = 500
 _WORD = re.compile(r"[^\W_]+")
 _M1, _M2, _GOLD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
-_WORDS = Cache(24 << 20)
+_WORDS = Cache(16 << 20)
+
+
+def forget_words() -> None:
+    _WORDS.clear()
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
@@ -136,13 +156,13 @@ def _digests(docs: DataFrame) -> DataFrame:
     """doc_id, copy (a digest of the text), keys (a list of band keys; empty without words), sketch (a byte of each register)."""
     schema = T.StructType([docs.schema["doc_id"], T.StructField("copy", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())])
 
+    @released(forget_words)
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         multiply = np.arange(1, ROWS + 1, dtype=np.uint64)[None, :] * _GOLD
         band = np.arange(BANDS, dtype=np.uint64)
-        for b in slices(batches):
-            copies, keys, sketches = [], [], []
-            for text in texts(b.column(1)):
-                copies.append(xxhash.xxh3_128_digest(text.encode()))
+        for b in slices(batches, "text"):
+            keys, sketches = [], []
+            for text in texts(b.column("text")):
                 found = shingles(text)
                 if not len(found[0]):
                     keys.append([])
@@ -151,46 +171,64 @@ def _digests(docs: DataFrame) -> DataFrame:
                 owners = registers(*found).reshape(BANDS, ROWS)
                 sketches.append((owners >> np.uint64(56)).astype(np.uint8).tobytes())
                 keys.append((_mixed(np.add.reduce(_mixed(owners ^ multiply) * multiply, axis=1)) + band).view(np.int64))
-            yield batch(schema, b.column(0), copies, keys, sketches)
+            yield batch(schema, b.column("doc_id"), b.column("copy"), keys, sketches)
 
     return mapped(docs, apply, schema)
 
 
-def _alike(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
-    """Of pairs (a, b), those whose sketches (rep, sketch) agree in about as many registers."""
-    schema = T.StructType([pairs.schema["a"], pairs.schema["b"]])
-    joined = pairs.join(sketches.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b")), "b")
-    joined = joined.join(sketches.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a")), "a")
+_COPY = T.BinaryType()
+_PAIR = T.StructType([T.StructField("a", _COPY), T.StructField("b", _COPY)])
+
+
+def _alike(pairs: DataFrame, copies: DataFrame) -> DataFrame:
+    """Of pairs (a, b) of copies, those whose sketches agree in about as many registers."""
+    joined = pairs.join(copies.select(F.col("copy").alias("b"), F.col("sketch").alias("sketch_b")), "b")
+    joined = joined.join(copies.select(F.col("copy").alias("a"), F.col("sketch").alias("sketch_a")), "a")
+    return joined.select("a", "b", "sketch_a", "sketch_b")
+
 
+def _like(threshold: float) -> Callable:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(-1, REGISTERS) for k in (2, 3))
             alike = (x == y).mean(axis=1) >= threshold - MARGIN
-            yield batch(schema, b.column(0), b.column(1)).filter(pa.array(alike))
+            yield batch(_PAIR, b.column(0), b.column(1)).filter(pa.array(alike))
 
-    return mapped(joined.select("a", "b", "sketch_a", "sketch_b"), apply, schema)
+    return apply
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
-    """Of pairs (a, b), those whose texts are similar enough. Only texts with like sketches are read again."""
-    pairs = written(_alike(pairs.distinct(), sketches, threshold).distinct(), "pairs")
-    needed = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-ids")
-    held = written(docs.join(small(needed), "doc_id", "left_semi"), "pair-texts")
-    schema = T.StructType([pairs.schema["a"], pairs.schema["b"]])
-    joined = pairs.join(held.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    joined = joined.join(held.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(copy, text), once for each of the wanted (copy, first)."""
+    wanted = small(written(wanted.select(F.col("copy").alias("__copy"), F.col("first").alias("__first")), "wanted"))
+    held = docs.join(wanted, (F.col("copy") == F.col("__copy")) & F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
+    return held.select("copy", "text").dropDuplicates(["copy"])
 
+
+def _verified(pairs: DataFrame, docs: DataFrame, copies: DataFrame, threshold: float) -> DataFrame:
+    """Of pairs (a, b) of copies, those whose texts are similar enough. Only texts with like sketches are read again."""
+    pairs = written(mapped(_alike(pairs.distinct(), copies), _like(threshold), _PAIR), "pairs")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("copy")).distinct()
+    held = written(_texts(docs, copies.join(needed, "copy")), "pair-texts")
+    hot = written(pairs.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > RUN), "hot-leaders")
+    spread = pairs.join(small(hot), "a", "left").select("a", "b", F.when(F.col("n").isNull(), 0).otherwise(F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / RUN))).cast("int").alias("run"))
+    spread = written(spread, "runs")
+    leaders = spread.select("a", "run").distinct().join(held.withColumnRenamed("copy", "a"), "a").select("a", "run", F.lit(None).cast(_COPY).alias("b"), "text")
+    members = spread.join(held.withColumnRenamed("copy", "b"), "b").select("a", "run", "b", "text")
+    grouped = leaders.unionByName(members).repartition("a", "run").sortWithinPartitions("a", "run", "b")
+
+    @released(forget_words)
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, None  # rows come sorted by a, so a leader's shingles serve many rows
-        for b in slices(batches):
+        held = None  # of the run's leader, whose row comes first
+        for b in slices(batches, "text"):
             similar = []
-            for x, y in zip(texts(b.column(2)), texts(b.column(3)), strict=True):
-                if x != last:
-                    last, held = x, shingles(x)
-                similar.append(similarity(held, shingles(y)) >= threshold - 1e-9)
-            yield batch(schema, b.column(0), b.column(1)).filter(pa.array(similar, pa.bool_()))
+            for member, text in zip(b.column("b").to_pylist(), texts(b.column("text")), strict=True):
+                own = shingles(text)
+                if member is None:
+                    held = own
+                similar.append(member is not None and similarity(held, own) >= threshold - 1e-9)
+            yield batch(_PAIR, b.column("a"), b.column("b")).filter(pa.array(similar, pa.bool_()))
 
-    return written(mapped(joined.select("a", "b", "text_a", "text_b"), apply, schema), "links")
+    return written(mapped(grouped, apply, _PAIR), "links")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -211,36 +249,94 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, class_id (the least id of its group), copy_of (the least id with the same text)."""
-    docs = keyed(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
+def _lacking(useless: Column, n: Column, other: Column, other_useless: Column, weight: Column) -> Column:
+    """o_x of the bound, infinite where a text shares nothing."""
+    a = F.greatest(useless, (n - other + other_useless) / weight)
+    return F.when(a < 1, a / (1 - a)).otherwise(F.lit(float("inf")))
+
+
+def _rivals(contested: DataFrame, docs: DataFrame, copies: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of copies of one key and of different components that may be links, from (key, copy, c)."""
+    labels = written(contested.select("copy", "c").distinct(), "contested-copies")
+    held = _texts(docs, copies.join(labels, "copy")).join(labels, "copy").select("copy", F.xxhash64("c").alias("c"), "text")
+    schema = T.StructType([T.StructField("copy", _COPY), T.StructField("c", T.LongType()), T.StructField("s", T.ArrayType(T.LongType())), T.StructField("w", T.ArrayType(T.DoubleType())), T.StructField("n", T.IntegerType()), T.StructField("weight", T.DoubleType())])
+
+    @released(forget_words)
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            found = [shingles(x) for x in texts(b.column("text"))]
+            yield batch(schema, b.column("copy"), b.column("c"), [s.view(np.int64) for s, _ in found], [w for _, w in found], [len(s) for s, _ in found], [w.sum() for _, w in found])
+
+    sets = written(mapped(held, apply, schema), "shingle-sets")
+    left = sets
+    for _ in range(2):
+        shared = left.select(F.explode("s").alias("s"), "c").groupBy("s").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("s")
+        places = left.select("copy", F.explode(F.arrays_zip("s", "w")).alias("x")).select("copy", F.col("x.s").alias("s"), F.col("x.w").alias("w"))
+        useful = places.join(written(shared, "shared-shingles"), "s").groupBy("copy").agg(F.sum("w").alias("useful"), F.count("*").alias("many"))
+        kept = sets.select("copy", "n", "weight").join(useful, "copy").where(F.col("useful") >= F.col("weight") * (threshold - 1e-9))
+        kept = written(kept.select("copy", "n", "weight", (F.col("n") - F.col("many")).alias("none"), (1 - F.col("useful") / F.col("weight")).alias("u")), "rivals")
+        left = sets.join(kept.select("copy"), "copy", "left_semi")
+    rivals = written(contested.join(kept, "copy"), "rival-keys")
+    sizes = rivals.groupBy("key", "c").agg(F.count("*").alias("of_c"))
+    largest = sizes.groupBy("key").agg(F.max(F.struct("of_c", "c")).alias("top"), F.count("*").alias("k")).where("k > 1").select("key", F.col("top.c").alias("main"))
+    rivals = written(rivals.join(largest, "key"), "rivals-of-keys")
+    x, y = (rivals.select(*(F.col(n).alias(f"{n}_{side}") for n in ("key", "main", "copy", "c", "n", "weight", "none", "u"))) for side in "xy")
+    once = (F.col("c_y") == F.col("main_y")) | (F.col("copy_x") < F.col("copy_y"))
+    lacks = [_lacking(*(F.col(n) for n in names)) for names in (("u_x", "n_x", "n_y", "none_y", "weight_x"), ("u_y", "n_y", "n_x", "none_x", "weight_y"))]
+    may = lacks[0] + lacks[1] <= 1 / threshold - 1 + 1e-6
+    met = x.where("c_x != main_x").join(y, (F.col("key_x") == F.col("key_y")) & (F.col("c_x") != F.col("c_y")) & once & may)
+    return met.select(F.least("copy_x", "copy_y").alias("a"), F.greatest("copy_x", "copy_y").alias("b")).distinct()
+
+
+def _grouped(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Of documents (doc_id, text): (doc_id, copy) of each row, and (copy, first, c) of each text: its least id, and its component."""
+    docs = docs.select("doc_id", digest("text").alias("copy"), "text")
     digests = written(_digests(docs), "digests")
-    firsts = digests.groupBy("copy").agg(F.min(F.struct("doc_id", "keys", "sketch")).alias("first")).select("copy", F.col("first.doc_id").alias("rep"), "first.keys", "first.sketch")
+    ids = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "keys", "sketch")
+    firsts = digests.groupBy("copy").agg(F.min(ids).alias("first")).select("copy", F.col("first.doc_id").alias("first"), "first.keys", "first.sketch")
     copies = written(firsts, "copies")
-    sketches = copies.where(F.size("keys") > 0).groupBy("rep").agg(F.min("sketch").alias("sketch"))
-    banded = copies.select("rep", F.explode("keys").alias("key"))
-    rank = F.struct(F.xxhash64("rep", "key"), F.col("rep"))
-    leaders = banded.groupBy("key").agg(F.min(rank).alias("r"), F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high").select("key", F.col("r.rep").alias("leader"))
+    banded = copies.select("copy", F.explode("keys").alias("key"))
+    leaders = banded.groupBy("key").agg(F.min(F.struct(F.xxhash64("copy", "key"), F.col("copy"))).alias("r"), F.count("*").alias("n")).where("n > 1").select("key", F.col("r.copy").alias("leader"))
     members = written(banded.join(leaders, "key"), "members")
-    stars = members.where(F.col("rep") != F.col("leader")).select(F.least("rep", "leader").alias("a"), F.greatest("rep", "leader").alias("b"))
-    links = _verified(stars, docs, sketches, threshold)
+    stars = members.where(F.col("copy") != F.col("leader")).select(F.col("leader").alias("a"), F.col("copy").alias("b"))
+    links = _verified(stars, docs, copies, threshold)
     groups = components(links)
-    labelled = members.join(groups, members["rep"] == groups["v"], "left").select("key", "rep", F.coalesce("c", "rep").alias("c"))
-    sizes = labelled.groupBy("key", "c").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("top"), F.count("*").alias("k")).where("k > 1").select("key", F.col("top.c").alias("main"))
-    mixed = written(labelled.join(largest, "key"), "mixed")
-    others = mixed.where("c != main").select("key", F.col("rep").alias("x"), F.col("c").alias("cx"))
-    rest = mixed.join(others, "key").where("c != cx").select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct()
-    rest = rest.join(stars.distinct(), ["a", "b"], "left_anti")
-    if mixed.limit(1).count():
-        more = _verified(rest, docs, sketches, threshold)
+    labelled = members.join(groups, members["copy"] == groups["v"], "left").select("key", "copy", F.coalesce("c", "copy").alias("c"))
+    many = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
+    contested = written(labelled.join(many, "key"), "contested")
+    if contested.limit(1).count():
+        # A pair that a star has already tried is tried again: those are few here.
+        more = _verified(_rivals(contested, docs, copies, threshold), docs, copies, threshold)
         if more.limit(1).count():
             groups = components(links.unionByName(more))
-    per_copy = copies.join(groups, copies["rep"] == groups["v"], "left").select("copy", F.col("rep").alias("copy_of"), F.coalesce("c", "rep").alias("class_id"))
-    return digests.select("doc_id", "copy").join(per_copy, "copy").select("doc_id", "class_id", "copy_of")
+    return digests.select("doc_id", "copy"), copies.join(groups, copies["copy"] == groups["v"], "left").select("copy", "first", F.coalesce("c", "copy").alias("c"))
 
 
-def first_of_each(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """`docs` with one document of each group: the one with the least id. All columns kept; rows with a null id stay."""
-    found = classes(docs, threshold).where("doc_id != class_id").select(F.col("doc_id").alias("__later"))
-    return docs.join(written(found, "later"), docs["doc_id"] == F.col("__later"), "left_anti")
+def _classed(texts: DataFrame) -> DataFrame:
+    """(copy, first, c, class_id): with the least id of the component."""
+    least = texts.where(F.col("first").isNotNull()).groupBy("c").agg(F.min("first").alias("class_id"))
+    return texts.join(least, "c", "left")
+
+
+def classes(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, class_id (the least id of its group), copy_of (the least id with the same text)."""
+    rows, found = _grouped(keyed(docs, id_col, text_col).where(F.col("doc_id").isNotNull()), threshold)
+    labels = _classed(found).select("copy", F.col("first").alias("copy_of"), "class_id")
+    return rows.join(labels, "copy").select("doc_id", "class_id", "copy_of")
+
+
+def first_of_each(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`docs` with one document of each group, the one with the least id; all columns kept."""
+    rows, found = _grouped(keyed(docs, id_col, text_col), threshold)
+    order = F.struct(F.col("first").isNull().alias("none"), "first", "copy")
+    best = found.groupBy("c").agg(F.min(order).alias("best")).select(F.col("best.copy").alias("copy"), F.col("best.first").alias("first"))
+    # How often the row that stays occurs: only rows that repeat have to be brought together.
+    counts = rows.groupBy("copy", "doc_id").agg(F.count("*").alias("n"))
+    best = best.join(counts.withColumnRenamed("copy", "copy_n"), (F.col("copy") == F.col("copy_n")) & F.col("first").eqNullSafe(F.col("doc_id")))
+    best = written(best.select(F.col("copy").alias("__copy"), F.col("first").alias("__first"), (F.col("n") > 1).alias("__repeated")), "winners")
+    marked = docs.withColumn("__row", F.struct(digest(docs[text_col]).alias("copy"), docs[id_col].alias("id")))
+    # An inner join: a text has one winner, and no winner has two rows here.
+    kept = marked.join(small(best), (F.col("__row.copy") == F.col("__copy")) & F.col("__row.id").eqNullSafe(F.col("__first")))
+    alone = kept.where(~F.col("__repeated")).select(docs.columns)
+    repeated = kept.where("__repeated").dropDuplicates(["__row"]).select(docs.columns)
+    return alone.unionByName(repeated)

@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from gridframe.llm.common import batch, keyed, mapped, texts
+from gridframe.llm.common import batch, keyed, mapped, slices, texts
 
 Span = tuple[int, int, str]
 
@@ -130,13 +131,16 @@ def entropy_spans(text: str, taken: list[Span]) -> list[Span]:
     covered = _merged([(a, b) for a, b, _ in taken])
     names = {a for a, _, kind in taken if kind == "assign"}
     left: list[tuple[int, int]] = []
+    k = 0
     for a, b in _merged(found):
-        for start, end in covered:
-            if start < b and a < end:
-                if a < start:
-                    # What precedes an assignment may be the head of its name, hot by the value alone.
-                    left += _hot(text[a:start], a) if start in names else [(a, start)]
-                a = max(a, end)
+        while k < len(covered) and covered[k][1] <= a:
+            k += 1
+        # A covered span that goes on beyond b is met by the next span again.
+        for start, end in covered[k : bisect_left(covered, (b,))]:
+            if a < start:
+                # What precedes an assignment may be the head of its name, hot by the value alone.
+                left += _hot(text[a:start], a) if start in names else [(a, start)]
+            a = max(a, end)
         if a < b:
             left.append((a, b))
     return [(a, b, "entropy") for a, b in _merged(left)]
@@ -159,7 +163,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     schema = T.StructType([docs.schema["doc_id"], *counts, T.StructField("base_sha256", T.StringType()), T.StructField("spans", T.StringType())])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             rows = [find_secrets(x) for x in texts(b.column(1))]
             n = [[sum(s[2] == k for s in spans) for _, spans in rows] for k in KINDS]
             yield batch(schema, b.column(0), *n, [hashlib.sha256(shown(base).encode()).hexdigest() for base, _ in rows], [shown(spans) for _, spans in rows])
@@ -183,7 +187,7 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", text_col: str = "text", leng
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index(text_col)
-        for b in batches:
+        for b in slices(batches, at):
             old = b.column(at).to_pylist()
             new = [x and masked(x, mask) for x in old]
             columns = list(b.columns)

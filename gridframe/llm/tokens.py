@@ -19,13 +19,17 @@ SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*]*)")
 
 
 class Cache:
-    """A bounded map in two generations."""
+    """A map in two generations, which together hold about `limit` bytes."""
 
     def __init__(self, limit: int) -> None:
-        self.limit, self.size, self.new, self.old = limit, 0, {}, {}
+        self.limit = limit
+        self.clear()
+
+    def clear(self) -> None:
+        self.size, self.new, self.old = 0, {}, {}
 
     def turn(self) -> None:
-        if self.size > self.limit:
+        if self.size > self.limit // 2:
             self.old, self.new, self.size = self.new, {}, 0
 
     def put(self, key: str, value, bytes_: int) -> None:

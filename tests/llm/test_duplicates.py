@@ -6,6 +6,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridframe.llm import decontaminate, fingerprints, near_dedup
 from tests.llm.conftest import ODD, prose
@@ -60,7 +61,61 @@ def test_dedup_odd_tables(make, clashing, spark):
     assert near_dedup.first_of_each(clashing(["a b c", "a b c", "d"])).count() == 2
     nulls = spark.createDataFrame([(None, "a"), (None, "a"), (1, "a"), (2, "a")], "doc_id long, text string")
     assert sorted(r.doc_id for r in near_dedup.classes(nulls).collect()) == [1, 2]
-    assert near_dedup.first_of_each(nulls).count() == 3
+    assert [r.doc_id for r in near_dedup.first_of_each(nulls).collect()] == [1]
+    assert near_dedup.first_of_each(nulls.where("doc_id IS NULL")).count() == 1
+
+
+def test_repeated_ids_and_rows(spark):
+    a, b = LONG[0], LONG[1]
+    rows = [(1, a), (1, b), (2, a + " tail end"), (3, b + " tail end"), (4, LONG[2]), (4, LONG[2]), (None, LONG[2]), (None, LONG[3]), (None, LONG[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r)[:2] for r in near_dedup.classes(docs).collect()) == [(1, 1), (1, 1), (2, 1), (3, 1), (4, 4), (4, 4)]
+    kept = near_dedup.first_of_each(docs).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(1, a), (1, b), (4, LONG[2]), (0, LONG[3])])
+
+
+def cloud(n, words=200):
+    """Edits of one template: near copies, edits that are like the template alone, cut ones, and pairs of near copies of edits."""
+    rng, base = random.Random(8), prose(600, words, WORDS).split(" ")
+    texts = []
+    for k in range(n):
+        new = list(base)
+        for _ in range((1, 3, 5, 6, 8, 12)[k % 6]):
+            new[rng.randrange(words)] = f"edit{rng.randrange(10**6)}"
+        if k % 11 == 10:
+            new = new[: rng.randrange(words // 2, words)]
+        texts.append(" ".join(new))
+        if k % 4 == 3:
+            new[rng.randrange(len(new))] = f"later{k}"
+            texts.append(" ".join(new))
+    return texts
+
+
+def test_template_cloud(make, monkeypatch):
+    texts = cloud(160)
+    tried = []
+    plain = near_dedup._rivals
+    monkeypatch.setattr(near_dedup, "_rivals", lambda *a: tried.append(near_dedup.written(plain(*a), "tried")) or tried[-1])
+    found = {r.doc_id: r.class_id for r in near_dedup.classes(make(texts)).collect()}
+    wanted = brute_classes(texts)
+    assert [found[k] for k in range(len(texts))] == wanted
+    assert tried and tried[0].count() < 4 * len(texts)
+
+
+def test_the_bound_holds(spark):
+    rng, rows = np.random.default_rng(9), []
+    for _ in range(300):
+        sets = []
+        for _ in range(2):
+            e = np.unique(rng.integers(0, 24, rng.integers(6, 19))).astype(np.uint64)
+            sets.append((e, rng.integers(1, 5, len(e)).astype(float)))
+        (a, wa), (b, wb) = sets
+        # Of what isn't common only a part is known to be useless.
+        ua, ub = (~np.isin(x, y) & (rng.random(len(x)) < 0.7) for x, y in ((a, b), (b, a)))
+        rows.append((slow_similarity(*sets), len(a), wa.sum(), int(ua.sum()), wa[ua].sum() / wa.sum(), len(b), wb.sum(), int(ub.sum()), wb[ub].sum() / wb.sum()))
+    frame = spark.createDataFrame([tuple(map(float, r)) for r in rows], "j double, n double, w double, none double, u double, n2 double, w2 double, none2 double, u2 double")
+    one, two = (near_dedup._lacking(*(F.col(x) for x in names)) for names in (("u", "n", "n2", "none2", "w"), ("u2", "n2", "n", "none", "w2")))
+    assert frame.where(F.col("j") > 1 / (1 + one + two) + 1e-9).count() == 0
 
 
 def slow_similarity(a, b):
