@@ -4,18 +4,21 @@ Chat logs often hold a conversation once for every turn: each snapshot is a pref
 of the next. A rolling hash tells them: turn k's hash mixes its place, role and
 text, and the hash of a prefix is the XOR over its turns, for two seeds. Both are
 sums that blocks of turns can give in part, so no conversation is held in one
-task: running values within blocks of `BLOCK` turns, and running values over the
-blocks' totals. A conversation goes if its whole hash is a strict prefix of another
+task: running values within blocks of `BLOCK` turn numbers, and running values over
+the blocks' totals. A conversation goes if its whole hash is a strict prefix of another
 one (an anti-join with the distinct prefix hashes), or if it equals another one
 with a lower id.
 
-What is left is rendered: each turn as <|role|>, a line end, the text and a line end,
-in order; a conversation is one row for every `BLOCK` turns (part 0, 1, ...).
+All of that runs on hashes of role and text. Texts themselves are read again for the
+conversations that stay, and move once: to the task that renders their block. Each turn
+is rendered as <|role|>, a line end, the text and a line end, in order; a conversation
+is one row for every block of `BLOCK` turn numbers that it has turns in.
 
 Turns are ordered by `turn`, then role and text; a conversation's turns are numbered by
-that order, so that gaps in `turn` don't matter. Rows that repeat a turn entirely count
-once. Null role or text counts as empty; rows with a null conversation id or turn
-are left out. Other columns are ignored. Only DataFrame functions are used.
+that order, so that gaps in `turn` don't matter to what is a prefix. Rows that repeat a
+turn entirely count once. Null role or text counts as empty; rows with a null conversation
+id or turn are left out. Other columns are ignored. Texts of any length are one value.
+Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -23,52 +26,72 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridframe.llm.common import small
 from gridframe.shared import written
 
-#: Turns that are held together, in a window or in a rendered part.
+#: Turn numbers that are held together, in a window or in a rendered part.
 BLOCK = 1024
+_BLOCK = ["conv_id", "block"]
 
 
-def _turns(conversations: DataFrame) -> DataFrame:
-    """conv_id, block, turn, place (within the block), role, text; each distinct turn once."""
+def _rows(conversations: DataFrame) -> DataFrame:
+    """conv_id, block, turn, role, text; rows may repeat."""
     c = conversations
     rows = c.select(c["conv_id"], c["turn"], F.coalesce(c["role"], F.lit("")).alias("role"), F.coalesce(c["text"], F.lit("")).alias("text"))
-    rows = rows.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull()).withColumn("block", F.floor(F.col("turn") / BLOCK)).dropDuplicates(["conv_id", "turn", "role", "text"])
-    return rows.withColumn("place", F.row_number().over(Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text")))
+    return rows.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull()).select("conv_id", F.floor(F.col("turn") / BLOCK).alias("block"), "turn", "role", "text")
+
+
+def _turns(conversations: DataFrame) -> DataFrame:
+    """conv_id, block, turn, place (within the block), x, y (hashes of role and text); each distinct turn once."""
+    rows = _rows(conversations)
+    marks = [F.xxhash64("role", "text").alias("x"), F.xxhash64("text", "role", F.lit("second")).alias("y")]
+    # By block, so that everything up to the running hashes needs no further exchange.
+    hashed = rows.select(*_BLOCK, "turn", "role", *marks).repartition(*_BLOCK).dropDuplicates([*_BLOCK, "turn", "role", "x", "y"])
+    ties = written(hashed.groupBy(*_BLOCK, "turn", "role").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "ties")
+    order = F.lit(0)
+    if ties.limit(1).count():
+        # Turns that share number and role are ordered by their texts: those alone are brought together.
+        own = rows.join(small(ties), [*_BLOCK, "turn", "role"], "left_semi").distinct()
+        ranked = own.select("conv_id", "block", "turn", *marks, F.row_number().over(Window.partitionBy(*_BLOCK, "turn", "role").orderBy("text")).alias("rank"))
+        hashed, order = hashed.join(ranked, [*_BLOCK, "turn", "x", "y"], "left"), F.coalesce(F.col("rank"), F.lit(0))
+    place = F.row_number().over(Window.partitionBy(*_BLOCK).orderBy("turn", "role", order))
+    return hashed.select(*_BLOCK, place.alias("place"), "x", "y")
 
 
 def _prefixes(conversations: DataFrame) -> DataFrame:
-    """conv_id, n, h1, h2: number and hashes of the turns up to each turn; n_turns: of the whole."""
+    """conv_id, block, n, h1, h2: number and hashes of the turns up to each turn; n_turns: of the whole."""
     turns = _turns(conversations)
-    counts = turns.groupBy("conv_id", "block").agg(F.max("place").alias("n_block"))
+    counts = turns.groupBy(*_BLOCK).agg(F.max("place").alias("n_block"))
     order = Window.partitionBy("conv_id").orderBy("block")
-    offsets = counts.withColumn("before", F.sum("n_block").over(order) - F.col("n_block")).select("conv_id", "block", "before")
-    placed = turns.join(offsets, ["conv_id", "block"]).withColumn("n", F.col("before") + F.col("place"))
-    hashed = placed.select("conv_id", "block", "n", F.xxhash64("n", "role", "text").alias("a"), F.xxhash64("text", "n", "role", F.lit("second")).alias("b"))
-    within = Window.partitionBy("conv_id", "block").orderBy("n")
-    running = hashed.select("conv_id", "block", "n", *(F.expr(f"bit_xor({x})").over(within).alias(x) for x in "ab"))
-    totals = hashed.groupBy("conv_id", "block").agg(F.expr("bit_xor(a)").alias("ta"), F.expr("bit_xor(b)").alias("tb"), F.max("n").alias("last"))
+    offsets = counts.select(*_BLOCK, (F.sum("n_block").over(order) - F.col("n_block")).alias("before"))
+    placed = turns.join(offsets, _BLOCK).withColumn("n", F.col("before") + F.col("place"))
+    hashed = placed.select(*_BLOCK, "n", F.xxhash64("n", "x", "y").alias("a"), F.xxhash64("y", "n", "x", F.lit("second")).alias("b"))
+    within = Window.partitionBy(*_BLOCK).orderBy("n")
+    running = hashed.select(*_BLOCK, "n", *(F.expr(f"bit_xor({x})").over(within).alias(x) for x in "ab"))
+    totals = hashed.groupBy(*_BLOCK).agg(F.expr("bit_xor(a)").alias("ta"), F.expr("bit_xor(b)").alias("tb"), F.max("n").alias("last"))
     # A block's own total taken out of the running one leaves that of the blocks before.
-    sums = totals.select("conv_id", "block", *(F.expr(f"bit_xor(t{x})").over(order).bitwiseXOR(F.col(f"t{x}")).alias(f"p{x}") for x in "ab"), F.max("last").over(Window.partitionBy("conv_id")).alias("n_turns"))
-    joined = running.join(sums, ["conv_id", "block"])
-    return joined.select("conv_id", "n", "n_turns", F.col("a").bitwiseXOR(F.col("pa")).alias("h1"), F.col("b").bitwiseXOR(F.col("pb")).alias("h2"))
+    sums = totals.select(*_BLOCK, *(F.expr(f"bit_xor(t{x})").over(order).bitwiseXOR(F.col(f"t{x}")).alias(f"p{x}") for x in "ab"), F.max("last").over(Window.partitionBy("conv_id")).alias("n_turns"))
+    return running.join(sums, _BLOCK).select(*_BLOCK, "n", "n_turns", F.col("a").bitwiseXOR(F.col("pa")).alias("h1"), F.col("b").bitwiseXOR(F.col("pb")).alias("h2"))
 
 
-def maximal(conversations: DataFrame) -> DataFrame:
-    """conv_id, n_turns of the conversations that are no strict prefix of another and have the least id of their equals."""
-    prefixes = written(_prefixes(conversations), "prefixes")
+def _maximal(prefixes: DataFrame) -> DataFrame:
     whole = prefixes.where("n = n_turns").groupBy("n", "h1", "h2").agg(F.min("conv_id").alias("conv_id"))
     strict = prefixes.where("n < n_turns").groupBy("n", "h1", "h2").agg(F.lit(1).alias("seen"))
     return whole.join(strict, ["n", "h1", "h2"], "left_anti").select("conv_id", F.col("n").cast("long").alias("n_turns"))
 
 
+def maximal(conversations: DataFrame) -> DataFrame:
+    """conv_id, n_turns of the conversations that are no strict prefix of another and have the least id of their equals."""
+    return _maximal(written(_prefixes(conversations), "prefixes"))
+
+
 def formatted(conversations: DataFrame) -> DataFrame:
     """One row per part of a maximal conversation: conv_id, part, n_turns (of the whole), text."""
-    turn = F.concat(F.lit("<|"), F.col("role"), F.lit("|>\n"), F.col("text"), F.lit("\n")).alias("line")
-    turns = _turns(conversations).join(maximal(conversations), "conv_id")
-    blocks = turns.groupBy("conv_id", "block", "n_turns").agg(F.array_sort(F.collect_list(F.struct("place", turn))).alias("lines"))
-    text = F.array_join(F.transform("lines", lambda x: x["line"]), "")
-    return blocks.select("conv_id", F.col("block").alias("part"), "n_turns", text.alias("text"))
+    prefixes = written(_prefixes(conversations), "prefixes")
+    kept = written(prefixes.select(*_BLOCK).distinct().join(_maximal(prefixes), "conv_id"), "kept-blocks")
+    blocks = _rows(conversations).join(small(kept), _BLOCK).groupBy(*_BLOCK, "n_turns").agg(F.array_sort(F.collect_set(F.struct("turn", "role", "text"))).alias("lines"))
+    line = lambda x: F.concat(F.lit("<|"), x["role"], F.lit("|>\n"), x["text"], F.lit("\n"))
+    return blocks.select("conv_id", F.col("block").alias("part"), "n_turns", F.array_join(F.transform("lines", line), "").alias("text"))
 
 
 #: The same by SQL, with whole prefixes as lists.

@@ -205,6 +205,13 @@ def test_chats(spark):
     assert chat_format.formatted(frame.limit(0)).count() == 0
 
 
+def test_turns_that_share_a_number(spark):
+    # The order of role and text decides what is a prefix, as it decides how a turn is shown.
+    rows = [(1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "user", "a"), (2, 0, "user", "a"), (3, 0, "user", "b"), (4, 0, "bot", "z"), (4, 0, "user", "a"), (5, 0, "bot", "z"), (5, 0, "bot", "é" * 100_000)]
+    found = {r.conv_id: (r.text, r.n_turns) for r in chat_format.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert found == {1: ("<|user|>\na\n<|user|>\nb\n", 2), 3: ("<|user|>\nb\n", 1), 4: ("<|bot|>\nz\n<|user|>\na\n", 2), 5: ("<|bot|>\nz\n<|bot|>\n" + "é" * 100_000 + "\n", 2)}
+
+
 def test_long_chats_come_in_parts(spark, monkeypatch):
     monkeypatch.setattr(chat_format, "BLOCK", 4)
     rows = [(c, k, "user", f"t{k}") for c, n in ((1, 11), (2, 9), (3, 11), (4, 4)) for k in range(n)] + [(5, k, "user", f"t{k}" if k != 6 else "else") for k in range(8)]
