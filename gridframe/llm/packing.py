@@ -33,8 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from gridframe.llm.common import batch, keyed, mapped, texts
-from gridframe.llm.tokens import word_encoder
+from gridframe.llm.common import batch, keyed, mapped, released, slices, texts
+from gridframe.llm.tokens import CACHE_BYTES, forget_encoders, word_encoder
 
 #: Costs of a cut, in tokens of padding.
 SENTENCE, INSIDE = 4, 64
@@ -96,8 +96,8 @@ def solve(positions: list[int], penalties: list[int], window: int, last: bool) -
 class Packer:
     """The documents of one partition, in order, as pieces of sequences."""
 
-    def __init__(self, path: str, end_id: int, window: int, horizon: int) -> None:
-        self.encoder, self.end_id, self.window, self.horizon = word_encoder(path), end_id, window, horizon
+    def __init__(self, path: str, end_id: int, window: int, horizon: int, cache_bytes: int = CACHE_BYTES) -> None:
+        self.encoder, self.end_id, self.window, self.horizon = word_encoder(path, cache_bytes), end_id, window, horizon
         vocab = self.encoder.tokenizer.get_vocab()
         self.stops = np.zeros(len(self.encoder.ends), bool)
         self.stops[[i for t, i in vocab.items() if re.fullmatch(r"[.!?]+</w>", t)]] = True
@@ -154,10 +154,14 @@ class Packer:
         self.ids, self.held = [stream[stop:].copy()], len(stream) - stop
 
 
-def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, horizon: int = 2_000_000, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(
+    docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, horizon: int = 2_000_000, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text", cache_bytes: int = CACHE_BYTES, keep_cache: bool = True
+) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for, ids.
 
     Sequences are numbered within their partition; the partition is in the upper 32 bits.
+    A worker's word cache takes `cache_bytes`; without `keep_cache` a task gives it back at
+    its end, for jobs whose other stages need the memory.
     """
     docs = keyed(docs, id_col, text_col)
     numbers = [T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
@@ -165,10 +169,10 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, horizo
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         part = TaskContext.get().partitionId() << 32
-        packer = Packer(path, end_id, window, horizon)
+        packer = Packer(path, end_id, window, horizon, cache_bytes)
 
         def pieces() -> Iterator[tuple]:
-            for b in batches:
+            for b in slices(batches):
                 for doc_id, text in zip(b.column(0).to_pylist(), texts(b.column(1)), strict=True):
                     yield from packer.add(doc_id, text)
             yield from packer.flush(True)
@@ -178,12 +182,14 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, horizo
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buffer: list[tuple] = []
+        most = 500 if with_ids else 5000
         for row in rows(batches):
             buffer.append(row)
-            if len(buffer) == 5000:
+            if len(buffer) == most:
                 yield batch(schema, *zip(*buffer, strict=True))
                 buffer = []
         if buffer:
             yield batch(schema, *zip(*buffer, strict=True))
 
-    return mapped(docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"), apply, schema)
+    fn = apply if keep_cache else released(forget_encoders)(apply)
+    return mapped(docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"), fn, schema)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridframe.llm.common import batch, keyed, mapped, texts
+from gridframe.llm.common import batch, keyed, mapped, slices, texts
 from gridframe.llm.tokens import SIMPLE, Cache, load
 
 #: Runs of more than one white space need care: the tokenizer keeps the last one with what follows.
@@ -120,7 +120,7 @@ def frequent_pretokens(docs: DataFrame, path: str, share: float = 1e-4, table_si
 
     def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = LossyCount(round(10 / share))
-        for b in batches:
+        for b in slices(batches, 0):
             for text in texts(b.column(0)):
                 seen.add(pretokens(text))
         found = [(p, n) for p, n in seen.frequent(share) if len(p) <= 64]
@@ -141,7 +141,7 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 512, id_col: str = "do
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counter = table.value, _counter(path)
-        for b in batches:
+        for b in slices(batches):
             n_tokens = []
             for text in texts(b.column(1)):
                 parts = pretokens(text)

@@ -14,6 +14,8 @@ import re
 
 import numpy as np
 
+#: Bytes of a worker's cache of white-space-separated chunks; that of bare words may take half as many.
+CACHE_BYTES = 128 << 20
 #: Letters of one pre-token, and a run of marks after them, which is another.
 SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?#$%&*]*)")
 
@@ -47,7 +49,7 @@ def load(path: str):
 class WordEncoder:
     """Ids of whole texts by a tokenizer file that drops white space and marks each pre-token's last id."""
 
-    def __init__(self, path: str, cache_bytes: int = 64 << 20) -> None:
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES) -> None:
         self.tokenizer = load(path)
         self.chunks, self.cores = Cache(cache_bytes), Cache(cache_bytes // 2)
         vocab = self.tokenizer.get_vocab()
@@ -101,8 +103,12 @@ class WordEncoder:
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
-def word_encoder(path: str) -> WordEncoder:
-    """This process's encoder for a file; its cache lives as long as the worker."""
+def word_encoder(path: str, cache_bytes: int = CACHE_BYTES) -> WordEncoder:
+    """This process's encoder for a file; it lives as long as the worker, or until `forget_encoders`."""
     if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
+        _ENCODERS[path] = WordEncoder(path, cache_bytes)
     return _ENCODERS[path]
+
+
+def forget_encoders() -> None:
+    _ENCODERS.clear()
