@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,6 +40,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str | int = "text") -> Ite
             at = stop
 
 
+def give_back() -> None:
+    """Returns a worker's unused memory to the machine, as far as its allocators allow."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def released(*clear: Callable[[], None]) -> Callable:
     """A function over batches, after which worker-wide caches are cleared and unused memory goes back.
 
@@ -52,7 +60,7 @@ def released(*clear: Callable[[], None]) -> Callable:
             finally:
                 for f in clear:
                     f()
-                pa.default_memory_pool().release_unused()
+                give_back()
 
         return run
 
@@ -69,9 +77,17 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
 
 
+#: Bytes of an Arrow batch of texts. Spark's own bound is in rows, and ten thousand texts may be hundreds of MB.
+BATCH_BYTES = 4 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
-    """`mapInArrow` with the package on the executors."""
-    ship(df.sparkSession)
+    """`mapInArrow` with the package on the executors, and with batches bounded by bytes where the session sets no bound."""
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(_BATCH_CONF).rstrip("b") == str(2**31 - 1):
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
     return df.mapInArrow(fn, schema)
 
 

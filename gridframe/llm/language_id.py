@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridframe.llm.common import batch, mapped, slices, texts
+from gridframe.llm.common import batch, mapped, released, slices, texts
 
 UNKNOWN = "und"
 ORDERS = (1, 2, 3, 4)
@@ -151,7 +151,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
     languages = tuple(sorted(sizes))
     share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_language / n))))
     drawn = F.pmod(F.xxhash64(F.coalesce("key", F.lit("")), F.lit("sample")), F.lit(1_000_003)) < F.element_at(share, F.col("lang")) * 1_000_003
-    counts = mapped(rows.where(drawn).select("text", "lang"), _count_grams, _COUNTS).groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
+    counts = mapped(rows.where(drawn).select("text", "lang"), released()(_count_grams), _COUNTS).groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
     totals = counts.groupBy("lang", "size").agg(F.sum("n").alias("total"))
     kept = counts.join(F.broadcast(totals), ["lang", "size"]).where(F.col("n") >= F.col("total") * min_share).select("lang", "gram").collect()
     slots_log2 = min(max_slots_log2, max(12, (6 * len(kept)).bit_length()))
@@ -182,7 +182,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
             found = shared.value.predict(texts(b.column(1)))
             yield batch(schema, b.column(0), [x for x, _ in found], [s for _, s in found])
 
-    return mapped(docs, apply, schema)
+    return mapped(docs, released()(apply), schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -208,4 +208,4 @@ def speaking(docs: DataFrame, model: Model, least: float = 0.25, text_col: str =
             found = shared.value.predict(texts(b.column(at)))
             yield b.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))
 
-    return mapped(docs, apply, docs.schema)
+    return mapped(docs, released()(apply), docs.schema)

@@ -40,6 +40,8 @@ leader's text is sent once for every `RUN` of its members. With 36
 bands of 6 registers a pair of similarity 0.8 shares no key with probability 2e-5.
 
 Null text counts as empty; texts without words are duplicates only of equal texts.
+After step 2 a text goes by 64 bits of its digest: of n texts, about one in 2^64 / n shares
+them with another one by chance, and would be taken for it (5e-10 of ten billion).
 Links hold between texts, not ids: where rows repeat an id, each row is in the class of
 its own text. `classes` leaves out rows with a null id and ignores other columns.
 `first_of_each` keeps all columns and one row of each class: rows without an id come
@@ -176,18 +178,19 @@ def _digests(docs: DataFrame) -> DataFrame:
     return mapped(docs, apply, schema)
 
 
-_COPY = T.BinaryType()
-_PAIR = T.StructType([T.StructField("a", _COPY), T.StructField("b", _COPY)])
+_PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
-def _alike(pairs: DataFrame, copies: DataFrame) -> DataFrame:
-    """Of pairs (a, b) of copies, those whose sketches agree in about as many registers."""
-    joined = pairs.join(copies.select(F.col("copy").alias("b"), F.col("sketch").alias("sketch_b")), "b")
-    joined = joined.join(copies.select(F.col("copy").alias("a"), F.col("sketch").alias("sketch_a")), "a")
+def _sketched(pairs: DataFrame, copies: DataFrame) -> DataFrame:
+    """Pairs (a, b) of texts, with their sketches."""
+    joined = pairs.join(copies.select(F.col("t").alias("b"), F.col("sketch").alias("sketch_b")), "b")
+    joined = joined.join(copies.select(F.col("t").alias("a"), F.col("sketch").alias("sketch_a")), "a")
     return joined.select("a", "b", "sketch_a", "sketch_b")
 
 
 def _like(threshold: float) -> Callable:
+    """Of pairs with sketches, those that agree in about as many registers."""
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(-1, REGISTERS) for k in (2, 3))
@@ -198,22 +201,22 @@ def _like(threshold: float) -> Callable:
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(copy, text), once for each of the wanted (copy, first)."""
+    """(t, text), once for each of the wanted (copy, first)."""
     wanted = small(written(wanted.select(F.col("copy").alias("__copy"), F.col("first").alias("__first")), "wanted"))
     held = docs.join(wanted, (F.col("copy") == F.col("__copy")) & F.col("doc_id").eqNullSafe(F.col("__first")), "left_semi")
-    return held.select("copy", "text").dropDuplicates(["copy"])
+    return held.select(F.xxhash64("copy").alias("t"), "text").dropDuplicates(["t"])
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, copies: DataFrame, threshold: float) -> DataFrame:
-    """Of pairs (a, b) of copies, those whose texts are similar enough. Only texts with like sketches are read again."""
-    pairs = written(mapped(_alike(pairs.distinct(), copies), _like(threshold), _PAIR), "pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("copy")).distinct()
-    held = written(_texts(docs, copies.join(needed, "copy")), "pair-texts")
+    """Of pairs (a, b) of texts, those that are similar enough. Only texts with like sketches are read again."""
+    pairs = written(mapped(_sketched(pairs.distinct(), copies), _like(threshold), _PAIR), "pairs")
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("t")).distinct()
+    held = written(_texts(docs, copies.join(needed, "t")), "pair-texts")
     hot = written(pairs.groupBy("a").agg(F.count("*").alias("n")).where(F.col("n") > RUN), "hot-leaders")
     spread = pairs.join(small(hot), "a", "left").select("a", "b", F.when(F.col("n").isNull(), 0).otherwise(F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / RUN))).cast("int").alias("run"))
     spread = written(spread, "runs")
-    leaders = spread.select("a", "run").distinct().join(held.withColumnRenamed("copy", "a"), "a").select("a", "run", F.lit(None).cast(_COPY).alias("b"), "text")
-    members = spread.join(held.withColumnRenamed("copy", "b"), "b").select("a", "run", "b", "text")
+    leaders = spread.select("a", "run").distinct().join(held.withColumnRenamed("t", "a"), "a").select("a", "run", F.lit(None).cast("long").alias("b"), "text")
+    members = spread.join(held.withColumnRenamed("t", "b"), "b").select("a", "run", "b", "text")
     grouped = leaders.unionByName(members).repartition("a", "run").sortWithinPartitions("a", "run", "b")
 
     @released(forget_words)
@@ -256,36 +259,36 @@ def _lacking(useless: Column, n: Column, other: Column, other_useless: Column, w
 
 
 def _rivals(contested: DataFrame, docs: DataFrame, copies: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of copies of one key and of different components that may be links, from (key, copy, c)."""
-    labels = written(contested.select("copy", "c").distinct(), "contested-copies")
-    held = _texts(docs, copies.join(labels, "copy")).join(labels, "copy").select("copy", F.xxhash64("c").alias("c"), "text")
-    schema = T.StructType([T.StructField("copy", _COPY), T.StructField("c", T.LongType()), T.StructField("s", T.ArrayType(T.LongType())), T.StructField("w", T.ArrayType(T.DoubleType())), T.StructField("n", T.IntegerType()), T.StructField("weight", T.DoubleType())])
+    """Pairs (a, b) of texts of one key and of different components that may be links, from (key, t, c)."""
+    labels = written(contested.select("t", "c").distinct(), "contested-texts")
+    held = _texts(docs, copies.join(labels, "t")).join(labels, "t").select("t", "c", "text")
+    schema = T.StructType([T.StructField("t", T.LongType()), T.StructField("c", T.LongType()), T.StructField("s", T.ArrayType(T.LongType())), T.StructField("w", T.ArrayType(T.DoubleType())), T.StructField("n", T.IntegerType()), T.StructField("weight", T.DoubleType())])
 
     @released(forget_words)
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             found = [shingles(x) for x in texts(b.column("text"))]
-            yield batch(schema, b.column("copy"), b.column("c"), [s.view(np.int64) for s, _ in found], [w for _, w in found], [len(s) for s, _ in found], [w.sum() for _, w in found])
+            yield batch(schema, b.column("t"), b.column("c"), [s.view(np.int64) for s, _ in found], [w for _, w in found], [len(s) for s, _ in found], [w.sum() for _, w in found])
 
     sets = written(mapped(held, apply, schema), "shingle-sets")
     left = sets
     for _ in range(2):
         shared = left.select(F.explode("s").alias("s"), "c").groupBy("s").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("s")
-        places = left.select("copy", F.explode(F.arrays_zip("s", "w")).alias("x")).select("copy", F.col("x.s").alias("s"), F.col("x.w").alias("w"))
-        useful = places.join(written(shared, "shared-shingles"), "s").groupBy("copy").agg(F.sum("w").alias("useful"), F.count("*").alias("many"))
-        kept = sets.select("copy", "n", "weight").join(useful, "copy").where(F.col("useful") >= F.col("weight") * (threshold - 1e-9))
-        kept = written(kept.select("copy", "n", "weight", (F.col("n") - F.col("many")).alias("none"), (1 - F.col("useful") / F.col("weight")).alias("u")), "rivals")
-        left = sets.join(kept.select("copy"), "copy", "left_semi")
-    rivals = written(contested.join(kept, "copy"), "rival-keys")
+        places = left.select("t", F.explode(F.arrays_zip("s", "w")).alias("x")).select("t", F.col("x.s").alias("s"), F.col("x.w").alias("w"))
+        useful = places.join(written(shared, "shared-shingles"), "s").groupBy("t").agg(F.sum("w").alias("useful"), F.count("*").alias("many"))
+        kept = sets.select("t", "n", "weight").join(useful, "t").where(F.col("useful") >= F.col("weight") * (threshold - 1e-9))
+        kept = written(kept.select("t", "n", "weight", (F.col("n") - F.col("many")).alias("none"), (1 - F.col("useful") / F.col("weight")).alias("u")), "rivals")
+        left = sets.join(kept.select("t"), "t", "left_semi")
+    rivals = written(contested.join(kept, "t"), "rival-keys")
     sizes = rivals.groupBy("key", "c").agg(F.count("*").alias("of_c"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("of_c", "c")).alias("top"), F.count("*").alias("k")).where("k > 1").select("key", F.col("top.c").alias("main"))
     rivals = written(rivals.join(largest, "key"), "rivals-of-keys")
-    x, y = (rivals.select(*(F.col(n).alias(f"{n}_{side}") for n in ("key", "main", "copy", "c", "n", "weight", "none", "u"))) for side in "xy")
-    once = (F.col("c_y") == F.col("main_y")) | (F.col("copy_x") < F.col("copy_y"))
+    x, y = (rivals.select(*(F.col(n).alias(f"{n}_{side}") for n in ("key", "main", "t", "c", "n", "weight", "none", "u"))) for side in "xy")
+    once = (F.col("c_y") == F.col("main_y")) | (F.col("t_x") < F.col("t_y"))
     lacks = [_lacking(*(F.col(n) for n in names)) for names in (("u_x", "n_x", "n_y", "none_y", "weight_x"), ("u_y", "n_y", "n_x", "none_x", "weight_y"))]
     may = lacks[0] + lacks[1] <= 1 / threshold - 1 + 1e-6
     met = x.where("c_x != main_x").join(y, (F.col("key_x") == F.col("key_y")) & (F.col("c_x") != F.col("c_y")) & once & may)
-    return met.select(F.least("copy_x", "copy_y").alias("a"), F.greatest("copy_x", "copy_y").alias("b")).distinct()
+    return met.select(F.least("t_x", "t_y").alias("a"), F.greatest("t_x", "t_y").alias("b")).distinct()
 
 
 def _grouped(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
@@ -293,15 +296,15 @@ def _grouped(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     docs = docs.select("doc_id", digest("text").alias("copy"), "text")
     digests = written(_digests(docs), "digests")
     ids = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "keys", "sketch")
-    firsts = digests.groupBy("copy").agg(F.min(ids).alias("first")).select("copy", F.col("first.doc_id").alias("first"), "first.keys", "first.sketch")
+    firsts = digests.groupBy("copy").agg(F.min(ids).alias("first")).select("copy", F.xxhash64("copy").alias("t"), F.col("first.doc_id").alias("first"), "first.keys", "first.sketch")
     copies = written(firsts, "copies")
-    banded = copies.select("copy", F.explode("keys").alias("key"))
-    leaders = banded.groupBy("key").agg(F.min(F.struct(F.xxhash64("copy", "key"), F.col("copy"))).alias("r"), F.count("*").alias("n")).where("n > 1").select("key", F.col("r.copy").alias("leader"))
+    banded = copies.select("t", F.explode("keys").alias("key"))
+    leaders = banded.groupBy("key").agg(F.min_by("t", F.xxhash64("t", "key")).alias("leader"), F.count("*").alias("n")).where("n > 1").select("key", "leader")
     members = written(banded.join(leaders, "key"), "members")
-    stars = members.where(F.col("copy") != F.col("leader")).select(F.col("leader").alias("a"), F.col("copy").alias("b"))
+    stars = members.where("t != leader").select(F.col("leader").alias("a"), F.col("t").alias("b"))
     links = _verified(stars, docs, copies, threshold)
     groups = components(links)
-    labelled = members.join(groups, members["copy"] == groups["v"], "left").select("key", "copy", F.coalesce("c", "copy").alias("c"))
+    labelled = members.join(groups, members["t"] == groups["v"], "left").select("key", "t", F.coalesce("c", "t").alias("c"))
     many = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
     contested = written(labelled.join(many, "key"), "contested")
     if contested.limit(1).count():
@@ -309,7 +312,7 @@ def _grouped(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
         more = _verified(_rivals(contested, docs, copies, threshold), docs, copies, threshold)
         if more.limit(1).count():
             groups = components(links.unionByName(more))
-    return digests.select("doc_id", "copy"), copies.join(groups, copies["copy"] == groups["v"], "left").select("copy", "first", F.coalesce("c", "copy").alias("c"))
+    return digests.select("doc_id", "copy"), copies.join(groups, copies["t"] == groups["v"], "left").select("copy", "first", F.coalesce("c", "t").alias("c"))
 
 
 def _classed(texts: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from gridframe.llm.common import batch, keyed, mapped, slices, texts
+from gridframe.llm.common import batch, keyed, mapped, released, slices, texts
 
 Span = tuple[int, int, str]
 
@@ -168,7 +168,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             n = [[sum(s[2] == k for s in spans) for _, spans in rows] for k in KINDS]
             yield batch(schema, b.column(0), *n, [hashlib.sha256(shown(base).encode()).hexdigest() for base, _ in rows], [shown(spans) for _, spans in rows])
 
-    return mapped(docs, find, schema)
+    return mapped(docs, released()(find), schema)
 
 
 def masked(text: str, mask: str) -> str:
@@ -198,4 +198,4 @@ def redact(docs: DataFrame, mask: str = "[SECRET]", text_col: str = "text", leng
                 columns[k] = pa.array(lengths, columns[k].type)
             yield batch(schema, *columns)
 
-    return mapped(docs, apply, schema)
+    return mapped(docs, released()(apply), schema)
