@@ -12,7 +12,6 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.udtf import AnalyzeArgument, AnalyzeResult
 
-from gridframe.plans import layout
 from gridframe.plans.metadata import StoreError
 from gridframe.sources import scan
 from gridframe.sources.discovery import discover, version_of
@@ -26,10 +25,7 @@ def _rows(name: str, path: str | None, array: str | None, version: str | None) -
         yield from scan.array_rows(listing)
     elif name == "zarr_chunks":
         for a in listing.arrays:
-            n = 1
-            for k in layout.counts(a.shape, a.chunks):
-                n *= k
-            yield from scan.chunk_rows(listing.path, a, 0, n)
+            yield from scan.all_chunks(listing.path, a)
     else:
         cells = scan.cell_scan(listing, array)
         for b in cells.read(0, len(cells.parts)):

@@ -21,6 +21,25 @@ def chunk_key(array: Array, coords: Coords) -> str:
     return array.separator.join(map(str, coords)) or "0"
 
 
+def coords_of(array: Array, key: str) -> Coords | None:
+    """The coordinates of a chunk key; None for names that aren't keys of the array's grid."""
+    parts = key.split(array.separator)
+    if array.key_encoding == "default":
+        parts = parts[1:]
+    elif not array.shape:
+        parts = []
+    if not all(p.isascii() and p.isdigit() for p in parts):
+        return None
+    coords, grid = tuple(map(int, parts)), counts(array.shape, array.chunks)
+    known = len(coords) == len(grid) and all(k < n for k, n in zip(coords, grid, strict=True))
+    return coords if known and chunk_key(array, coords) == key else None
+
+
+def chunk_folder(array: Array) -> str:
+    """The folder below which the chunk keys' first index is told by a name."""
+    return joined(array.path, "c") if array.key_encoding == "default" and array.separator == "/" else array.path
+
+
 def joined(*parts: str) -> str:
     return "/".join(p for p in parts if p)
 

@@ -6,7 +6,11 @@ first asks for it, by a Spark job, into the folder that all machines share.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import http.server
+import json
+import threading
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,6 +19,8 @@ from gridframe.operators import tables as z
 from gridframe.plans.metadata import StoreError
 from gridframe.shared import new_path
 from gridframe.sources import writer as w
+from gridframe.sources.discovery import discover
+from gridframe.sources.scan import cell_scan
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -374,6 +380,33 @@ def sql_view(s: Stores) -> DataFrame:
     return s.spark.sql("SELECT count(*) AS n, min(value) AS low, max(value) AS high FROM gridframe_prices WHERE dim_0 BETWEEN 250 AND 650")
 
 
+@contextmanager
+def served(files: dict[str, bytes], forbidden: str = "") -> Iterator[str]:
+    """The URL of a small HTTP server of this process, with these files."""
+
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_GET(self) -> None:  # noqa: N802
+            path = self.path.lstrip("/")
+            data = files.get(path)
+            self.send_response(403 if forbidden and path.startswith(forbidden) else 404 if data is None else 200)
+            self.send_header("Content-Length", str(len(data or b"")))
+            self.end_headers()
+            if data and self.command == "GET":
+                self.wfile.write(data)
+
+        do_HEAD = do_GET  # noqa: N815
+
+        def log_message(self, *args: object) -> None:
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        yield f"http://127.0.0.1:{server.server_port}"
+    finally:
+        server.shutdown()
+
+
 # What Spark adds: joins, aggregates, windows, sorts, set operations.
 
 
@@ -437,10 +470,18 @@ def distinct_values(s: Stores) -> DataFrame:
     return _quantity_cells(s).select((F.col("value") % 10).alias("digit")).distinct()
 
 
+#: Rows of dim_0 in a window's block.
+_BLOCK = 64
+
+
 @query(f"SELECT dim_0, dim_1, CAST(sum(value) OVER w AS BIGINT) AS around, value - lag(value) OVER (PARTITION BY dim_1 ORDER BY dim_0) AS step FROM {_WHOLE} WINDOW w AS (PARTITION BY dim_1 ORDER BY dim_0 ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)")
 def window_moving_sum(s: Stores) -> DataFrame:
-    along = Window.partitionBy("dim_1").orderBy("dim_0")
-    return _quantity_cells(s).select("dim_0", "dim_1", F.sum("value").over(along.rowsBetween(-1, 1)).alias("around"), (F.col("value") - F.lag("value").over(along)).alias("step"))
+    """Along dim_0 in blocks: a row at a block's border is in the neighbouring block too, so no window grows with the array."""
+    blocks = F.array_distinct(F.array(*(F.floor((F.col("dim_0") + k) / _BLOCK) for k in (-1, 0, 1))))
+    cells = _quantity_cells(s).withColumn("block", F.explode(blocks))
+    along = Window.partitionBy("dim_1", "block").orderBy("dim_0")
+    found = cells.select("dim_0", "dim_1", "block", F.sum("value").over(along.rowsBetween(-1, 1)).alias("around"), (F.col("value") - F.lag("value").over(along)).alias("step"))
+    return found.where(F.col("block") == F.floor(F.col("dim_0") / _BLOCK)).drop("block")
 
 
 @query(f"SELECT dim_0, dim_1, rank() OVER (PARTITION BY dim_1 ORDER BY value DESC) AS place, row_number() OVER (PARTITION BY dim_1 ORDER BY value DESC, dim_0) AS row FROM {_WHOLE}")
@@ -485,6 +526,213 @@ def self_join(s: Stores) -> DataFrame:
     return low.join(high, "dim_0")
 
 
+_LINE = f"SELECT dim_0, dim_1, value, row_number() OVER w AS n, dense_rank() OVER (PARTITION BY dim_0 ORDER BY value) AS dense, ntile(3) OVER w AS third, round(percent_rank() OVER (PARTITION BY dim_0 ORDER BY value), 9) AS share, round(cume_dist() OVER (PARTITION BY dim_0 ORDER BY value), 9) AS upto, lead(value, 2, -1) OVER w AS ahead, first(value) OVER f AS head, last(value) OVER f AS tail, nth_value(value, 2) OVER f AS second, CAST(sum(value) OVER (PARTITION BY dim_0 ORDER BY dim_1 RANGE BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS recent FROM {_WHOLE} WINDOW w AS (PARTITION BY dim_0 ORDER BY dim_1), f AS (PARTITION BY dim_0 ORDER BY dim_1 ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+
+
+@query(_LINE)
+def window_functions(s: Stores) -> DataFrame:
+    """Windows over the lines of one supplier, of which there are seven."""
+    own = Window.partitionBy("dim_0")
+    along, ranked = own.orderBy("dim_1"), own.orderBy("value")
+    whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    v = F.col("value")
+    return _quantity_cells(s).select(
+        "dim_0", "dim_1", "value", F.row_number().over(along).cast("long").alias("n"), F.dense_rank().over(ranked).cast("long").alias("dense"), F.ntile(3).over(along).cast("long").alias("third"), F.round(F.percent_rank().over(ranked), 9).alias("share"), F.round(F.cume_dist().over(ranked), 9).alias("upto"),
+        F.lead("value", 2, -1).over(along).alias("ahead"), F.first(v).over(whole).alias("head"), F.last(v).over(whole).alias("tail"), F.nth_value("value", 2).over(whole).alias("second"), F.sum(v).over(along.rangeBetween(-2, 0)).alias("recent"),
+    )
+
+
+@query(f"SELECT dim_1, count(DISTINCT value) AS kinds, round(stddev_samp(value), 6) AS spread, round(var_pop(value), 6) AS variance, quantile_cont(value, 0.5) AS middle, round(avg(value), 6) AS mean, count(*) FILTER (WHERE value > 100) AS large FROM {_WHOLE} GROUP BY dim_1")
+def agg_statistics(s: Stores) -> DataFrame:
+    v = F.col("value")
+    return _quantity_cells(s).groupBy("dim_1").agg(F.count_distinct(v).alias("kinds"), F.round(F.stddev_samp(v), 6).alias("spread"), F.round(F.var_pop(v), 6).alias("variance"), F.percentile(v, 0.5).alias("middle"), F.round(F.avg(v), 6).alias("mean"), F.count_if(v > 100).alias("large"))
+
+
+@query(f"SELECT dim_0 // 10 AS block, dim_1, CAST(sum(value) AS BIGINT) AS total FROM {_WHOLE} GROUP BY GROUPING SETS ((dim_0 // 10), (dim_1), ())")
+def agg_grouping_sets(s: Stores) -> DataFrame:
+    block = F.floor(F.col("dim_0") / 10).alias("block")
+    cells = _quantity_cells(s).select(block, "dim_1", "value")
+    return cells.groupingSets([["block"], ["dim_1"], []], "block", "dim_1").agg(F.sum("value").alias("total"))
+
+
+@query(f"SELECT a.dim_0, a.dim_1, a.value AS quantity, b.value AS twice FROM {_WHOLE} a JOIN (SELECT dim_0, dim_1, 2 * value AS value FROM {_WHOLE}) b USING (dim_0, dim_1)")
+def join_two_dimensions(s: Stores) -> DataFrame:
+    doubled = s.cells(s.v3("quantity_twice", s.quantity_shape(), (32, 7), "int64", s.quantities().withColumn("value", F.col("value") * 2), codecs_=[w.BYTES, GZIP_V3]))
+    return _quantity_cells(s).withColumnRenamed("value", "quantity").join(doubled.withColumnRenamed("value", "twice"), ["dim_0", "dim_1"])
+
+
+def _low_high(s: Stores) -> tuple[DataFrame, DataFrame]:
+    low, high = s.cells(s.prices()).where("dim_0 < 30"), s.cells(s.prices()).where("dim_0 >= 20 AND dim_0 < 50")
+    return low.select("dim_0", F.col("value").alias("low")), high.select("dim_0", F.col("value").alias("high"))
+
+
+_LOW, _HIGH = f"(SELECT dim_0, value AS low FROM ({PRICES}) WHERE dim_0 < 30)", f"(SELECT dim_0, value AS high FROM ({PRICES}) WHERE dim_0 >= 20 AND dim_0 < 50)"
+
+
+def _joined(how: str, word: str) -> None:
+    @query(f"SELECT dim_0, low, high FROM {_LOW} {word} JOIN {_HIGH} USING (dim_0)", f"join_{how}")
+    def run(s: Stores) -> DataFrame:
+        low, high = _low_high(s)
+        return low.join(high, "dim_0", how).select("dim_0", "low", "high")
+
+
+for _how, _word in (("left", "LEFT"), ("right", "RIGHT"), ("full", "FULL")):
+    _joined(_how, _word)
+
+
+@query(f"SELECT a.dim_0 AS dim_0, count(*) AS dearer FROM {_LOW} a JOIN {_HIGH} b ON b.high > a.low GROUP BY a.dim_0")
+def join_theta(s: Stores) -> DataFrame:
+    """An unequal join of two selections of thirty cells, which filters bound."""
+    low, high = _low_high(s)
+    return low.join(F.broadcast(high.select("high")), F.col("high") > F.col("low")).groupBy("dim_0").agg(F.count("*").alias("dearer"))
+
+
+@query(f"SELECT a.dim_0 AS dim_0, count(*) AS n, CAST(max(b.value) AS DOUBLE) AS high FROM ({PRICES}) a JOIN ({PRICES}) b ON b.dim_0 BETWEEN a.dim_0 - 5 AND a.dim_0 + 5 GROUP BY a.dim_0")
+def join_range(s: Stores) -> DataFrame:
+    """Cells with those at most five places away. Both are cut into blocks of 64, so that the join has equal keys."""
+    cells = s.cells(s.prices())
+    block = F.floor(F.col("dim_0") / 64)
+    left = cells.select(F.col("dim_0").alias("at"), block.alias("block"))
+    right = cells.select("dim_0", "value", F.explode(F.array_distinct(F.array(*(F.floor((F.col("dim_0") + k) / 64) for k in (-5, 5))))).alias("block"))
+    near = left.join(right, (left["block"] == right["block"]) & F.col("dim_0").between(F.col("at") - 5, F.col("at") + 5))
+    return near.groupBy(F.col("at").alias("dim_0")).agg(F.count("*").alias("n"), F.max("value").alias("high"))
+
+
+@query(f"SELECT dim_0, dim_1, value, row_number() OVER (ORDER BY value DESC, dim_0, dim_1) AS place FROM ({VECTORS}) QUALIFY place BETWEEN 21 AND 40")
+def order_with_offset(s: Stores) -> DataFrame:
+    page = doubles(s.cells(s.vectors())).orderBy(F.desc("value"), "dim_0", "dim_1").limit(40).offset(20)
+    return page.withColumn("place", F.row_number().over(Window.orderBy(F.desc("value"), "dim_0", "dim_1")).cast("long") + 20)
+
+
+@query(f"SELECT * FROM ({PRICES})")
+def order_by_value(s: Stores) -> DataFrame:
+    return s.cells(s.prices()).orderBy(F.desc("value"), "dim_0")
+
+
+@query(f"SELECT DISTINCT value % 100 AS rest FROM {_WHOLE} WHERE dim_1 = 0 EXCEPT SELECT value % 100 FROM {_WHOLE} WHERE dim_1 = 6 AND dim_0 < 20")
+def set_subtract(s: Stores) -> DataFrame:
+    rest = (F.col("value") % 100).alias("rest")
+    return _quantity_cells(s).where("dim_1 = 0").select(rest).subtract(_quantity_cells(s).where("dim_1 = 6 AND dim_0 < 20").select(rest))
+
+
+@query(f"SELECT value % 10 AS digit FROM {_WHOLE} WHERE dim_1 = 0 INTERSECT ALL SELECT value % 10 FROM {_WHOLE} WHERE dim_1 = 1")
+def set_intersect_all(s: Stores) -> DataFrame:
+    digit = (F.col("value") % 10).alias("digit")
+    return _quantity_cells(s).where("dim_1 = 0").select(digit).intersectAll(_quantity_cells(s).where("dim_1 = 1").select(digit))
+
+
+@query(f"SELECT * FROM (VALUES ('inner/vectors', 2, 64 * {_VECS}, CAST(64 AS BIGINT), CAST(NULL AS VARCHAR), 'nested'), ('prices', 1, {_PARTS}, {_PARTS}, 'gzip', 'top')) t(array_path, sizes, n_cells, last_size, codec, level)")
+def metadata_functions(s: Stores) -> DataFrame:
+    arrays = z.zarr_arrays(s.spark, _overview(s))
+    cells = F.aggregate("shape", F.lit(1).cast("long"), lambda x, y: x * y)
+    level = F.when(F.col("array_path").like("%/%"), "nested").otherwise("top")
+    return arrays.select("array_path", F.size("shape").alias("sizes"), cells.alias("n_cells"), F.element_at("shape", -1).alias("last_size"), F.get_json_object(F.nullif("compressor", F.lit("")), "$.id").alias("codec"), level.alias("level"))
+
+
+@query(f"SELECT * FROM ({VECTORS}) WHERE dim_0 + dim_1 = 70 AND NOT dim_0 IN (8, 9) AND CAST(dim_0 AS VARCHAR) LIKE '%1%' AND CASE WHEN dim_1 < 20 THEN value > 0 ELSE true END")
+def filter_not_pushed(s: Stores) -> DataFrame:
+    """Arithmetic, NOT IN, LIKE and CASE: kinds that the source leaves to Spark."""
+    return doubles(s.cells(s.vectors())).where("dim_0 + dim_1 = 70 AND NOT dim_0 IN (8, 9) AND CAST(dim_0 AS STRING) LIKE '%1%' AND CASE WHEN dim_1 < 20 THEN value > 0 ELSE true END")
+
+
+# Discovery: rules whose outcome is a message or an order.
+
+
+def _told(s: Stores, cases: dict[str, Callable[[], object]]) -> DataFrame:
+    """One row per case: what it raises, without the store's own path, or that it went well."""
+    rows = []
+    for name, run in cases.items():
+        try:
+            run()
+            rows.append((name, "no error"))
+        except (StoreError, ValueError) as e:
+            rows.append((name, str(e).split(": file:")[0].split(": /")[0]))
+    return s.spark.createDataFrame(rows, "rule string, message string")
+
+
+def _both_versions(s: Stores) -> str:
+    def make(path: str) -> None:
+        w.v2_group(path)
+        w.v3_group(path)
+
+    return s.once("both", make)
+
+
+def _refused(s: Stores) -> str:
+    """Arrays that are listed, but whose cells can't be read."""
+
+    def make(path: str) -> None:
+        w.v3_group(path)
+        w.v3_array(path, "packed", (4,), (2,), "int32", [w.BYTES, {"name": "zstd"}])
+        w.v3_array(path, "vast", (2**62,), (2**62,), "int32", fill=0)
+
+    return s.once("refused", make)
+
+
+#: Messages that users match.
+_MESSAGES = {
+    "both versions": "Zarr store contains both v2 and v3 root metadata markers; use an explicit version override",
+    "both versions, told": "no error",
+    "unknown array": 'Zarr array "nowhere" was not found in the store',
+    "slashes around a path": "no error",
+    "unreadable codec": "zarr_cells does not yet support Zarr v3 codec: zstd: packed",
+    "size overflow": "Zarr chunk byte size overflow",
+}
+
+
+def _values(messages: dict[str, str]) -> str:
+    quoted = ", ".join("('" + k + "', '" + v.replace("'", "''") + "')" for k, v in messages.items())
+    return f"SELECT * FROM (VALUES {quoted}) t(rule, message)"
+
+
+@query(_values(_MESSAGES))
+def discovery_rules(s: Stores) -> DataFrame:
+    cases = (
+        lambda: discover(_both_versions(s)), lambda: discover(_both_versions(s), "v2"), lambda: discover(s.prices()).array("nowhere"), lambda: discover(s.prices()).array("/a/"),
+        lambda: cell_scan(discover(_refused(s)), "packed"), lambda: cell_scan(discover(_refused(s)), "vast"),
+    )
+    return _told(s, dict(zip(_MESSAGES, cases, strict=True)))
+
+
+@query("SELECT * FROM (VALUES ('packed'), ('vast')) t(array_path)")
+def arrays_listed_unreadable(s: Stores) -> DataFrame:
+    return z.zarr_arrays(s.spark, _refused(s)).select("array_path")
+
+
+@query("SELECT CAST(k AS BIGINT) AS place, path FROM (VALUES (0, 'b'), (1, 'c'), (2, 'plain/deep/a')) t(k, path)")
+def listing_order(s: Stores) -> DataFrame:
+    return s.spark.createDataFrame([(k, a.path) for k, a in enumerate(discover(_walked(s)).arrays)], "place long, path string")
+
+
+@query("SELECT p_partkey AS dim_0, p_retailprice AS value FROM part")
+def path_with_slashes(s: Stores) -> DataFrame:
+    return z.zarr_cells(s.spark, s.prices() + "/", "/a/")
+
+
+#: Messages of stores whose folders can't be listed.
+_REMOTE = {
+    "v2 without consolidated metadata": "Remote Zarr v2 stores currently require consolidated metadata (.zmetadata)",
+    "v2 consolidated": "no error",
+    "v3 group": "Remote non-consolidated Zarr v3 group discovery is not yet supported; query a single array's path instead",
+    "v3 array": "no error",
+    "nothing there": "Zarr store path does not contain recognizable v2 or v3 metadata",
+    "forbidden": "no access",
+}
+
+
+@query(_values(_REMOTE))
+def remote_rules(s: Stores) -> DataFrame:
+    """The same rules over HTTP, from a server in the driver that holds a few files in memory."""
+    group, array = {"zarr_format": 2}, {"zarr_format": 2, "shape": [4], "chunks": [2], "dtype": "<i4", "order": "C", "compressor": None, "fill_value": 0, "filters": None}
+    node = {"zarr_format": 3, "node_type": "array", "shape": [4], "data_type": "int32", "chunk_grid": {"name": "regular", "configuration": {"chunk_shape": [2]}}, "chunk_key_encoding": {"name": "default"}, "fill_value": 0, "codecs": [w.BYTES]}
+    files = {"plain/.zgroup": group, "whole/.zmetadata": {"metadata": {".zgroup": group, "a/.zarray": array}}, "group/zarr.json": {"zarr_format": 3, "node_type": "group"}, "array/zarr.json": node}
+    with served({k: json.dumps(v).encode() for k, v in files.items()}, forbidden="secret/") as url:
+        folders = ("plain", "whole", "group", "array", "none", "secret")
+        cases = {rule: (lambda f=f: discover(f"{url}/{f}")) for rule, f in zip(_REMOTE, folders, strict=True)}
+        told = _told(s, cases)
+    return told.withColumn("message", F.when(F.col("message").startswith("No access"), "no access").otherwise(F.regexp_replace("message", ": http://.*", "")))
+
+
 def flagship(s: Stores) -> DataFrame:
     """Mean of each dimension of the embeddings, from the array store."""
     return s.cells(s.vectors()).groupBy("dim_1").agg(F.count("*").alias("n"), F.avg(F.col("value").cast("double")).alias("mean"))

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Where the setting is missing (tests, a laptop) a temporary folder becomes the
-    checkpoint folder; a cluster has to name one that all machines reach.
+    Where the setting is missing on one machine (tests, a laptop) a temporary folder becomes
+    the checkpoint folder. A cluster has to name one that all machines reach, else this raises.
     """
     known = spark.conf.get("spark.checkpoint.dir", None)
     if known:
@@ -22,6 +22,8 @@ def shared_dir(spark: SparkSession) -> str:
     own = spark.sparkContext._jsc.sc().getCheckpointDir()
     if own.isDefined():
         return own.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     made = "file://" + tempfile.mkdtemp(prefix="gridframe-shared-")
     spark.sparkContext.setCheckpointDir(made)
     return made

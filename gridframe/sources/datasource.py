@@ -53,6 +53,7 @@ from gridframe.plans.metadata import StoreError
 from gridframe.plans.pruning import Selection, united
 from gridframe.sources import scan
 from gridframe.sources.discovery import Listing, discover
+from gridframe.sources.stores import open_store
 
 #: Decoded bytes of a cells partition, and chunk files that a task of the chunks relation looks for, at most.
 PARTITION_BYTES, PARTITION_FILES = 128 << 20, 10_000
@@ -67,6 +68,14 @@ class Run(InputPartition):
     stop: int
 
 
+@dataclass
+class Folders(InputPartition):
+    """Folders of chunk files of the array with this number; None for the array's own."""
+
+    array: int
+    folders: tuple[str, ...] | None
+
+
 def runs(source: object, n: int, parts: int) -> list[Run]:
     """n positions in at most `parts` runs of like length."""
     parts = max(1, min(parts, n))
@@ -136,17 +145,26 @@ class MetadataReader(DataSourceReader):
     def __init__(self, kind: str, listing: Listing, parts: int) -> None:
         self.kind, self.listing, self.parts = kind, listing, parts
 
-    def partitions(self) -> list[Run]:
+    def partitions(self) -> list[Run | Folders]:
         if self.kind != "chunks":
             return [Run(None, 0, 0)]
-        out = []
+        store, out = open_store(self.listing.path), []
         for k, a in enumerate(self.listing.arrays):
-            n = math.prod(layout.counts(a.shape, a.chunks))
-            out += runs(k, n, -(-n // PARTITION_FILES))
+            if not store.lists:
+                n = math.prod(layout.counts(a.shape, a.chunks))
+                out += runs(k, n, -(-n // PARTITION_FILES))
+                continue
+            # What is listed grows with the files that exist, not with the grid.
+            top = layout.chunk_folder(a)
+            names = [layout.joined(top, x) for x in store.folders(top)] if a.separator == "/" and len(a.shape) > 1 else []
+            parts = min(len(names), self.parts or 8)
+            out += [Folders(k, tuple(names[i::parts])) for i in range(parts)] or [Folders(k, None)]
         return out or [Run(None, 0, 0)]
 
-    def read(self, partition: Run) -> Iterator[tuple]:
-        if self.kind == "groups":
+    def read(self, partition: Run | Folders) -> Iterator[tuple]:
+        if isinstance(partition, Folders):
+            yield from scan.listed_chunks(self.listing.path, self.listing.arrays[partition.array], partition.folders)
+        elif self.kind == "groups":
             yield from scan.group_rows(self.listing)
         elif self.kind == "arrays":
             yield from scan.array_rows(self.listing)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -51,6 +52,23 @@ def chunk_rows(root: str, array: Array, start: int, stop: int) -> Iterator[tuple
             yield root, array.path, layout.chunk_key(array, coords), list(coords), f"{root}/{path}", size
 
 
+def listed_chunks(root: str, array: Array, folders: tuple[str, ...] | None = None) -> list[tuple]:
+    """The chunk files that a store's listing has, below some folders or below the array's own, by coordinates."""
+    store, found = open_store(root), []
+    for folder in (array.path,) if folders is None else folders:
+        for path, size in store.files(folder):
+            key = path[len(array.path) + 1 :] if array.path else path
+            if (coords := layout.coords_of(array, key)) is not None:
+                found.append((root, array.path, key, list(coords), f"{root}/{path}", size))
+    return sorted(found, key=lambda r: r[3])
+
+
+def all_chunks(root: str, array: Array) -> list[tuple] | Iterator[tuple]:
+    if open_store(root).lists:
+        return listed_chunks(root, array)
+    return chunk_rows(root, array, 0, math.prod(layout.counts(array.shape, array.chunks)))
+
+
 def cells_schema(array: Array) -> T.StructType:
     """dim_0, dim_1, ... and value. Raises where the array's cells can't be read."""
     if array.problem:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import http.client
 import os
+import time
 import urllib.error
 import urllib.request
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 from gridframe.plans.metadata import StoreError
@@ -57,6 +60,14 @@ class LocalStore:
         except (FileNotFoundError, NotADirectoryError):
             return []
 
+    def files(self, path: str) -> Iterator[tuple[str, int]]:
+        """All files below a folder, with their sizes."""
+        for folder, _, names in os.walk(self._at(path)):
+            for name in names:
+                at = os.path.join(folder, name)
+                with contextlib.suppress(FileNotFoundError):
+                    yield os.path.relpath(at, self.root), os.stat(at).st_size
+
     def write(self, path: str, data: bytes) -> None:
         """Replaces a file at once: readers and repeated tasks never see a part of it."""
         at = self._at(path)
@@ -67,29 +78,47 @@ class LocalStore:
         os.replace(part, at)
 
 
+#: Statuses of a server that may do better soon, and how often and how long (seconds, doubled each time) it is given.
+_BUSY = (408, 425, 429, 500, 502, 503, 504)
+TRIES, PAUSE = 5, 0.5
+
+
 class HttpStore:
-    """Files below a URL. Folders can't be listed."""
+    """Files below a URL. Folders can't be listed.
+
+    Only 404 and 410 mean that a file is absent. A server that forbids a file raises:
+    taking it for absent would turn chunks into fill values. Busy servers and broken
+    connections are tried again, as often as `TRIES` says.
+    """
 
     lists = False
 
     def __init__(self, root: str) -> None:
         self.root = root
 
-    def _ask(self, path: str, method: str = "GET", headers: dict | None = None):
+    def _ask(self, path: str, method: str = "GET", headers: dict | None = None) -> tuple[bytes, dict] | None:
+        """The body and the headers; None for an absent file."""
         request = urllib.request.Request(f"{self.root}/{path}", method=method, headers=headers or {})
-        try:
-            return urllib.request.urlopen(request, timeout=60)
-        except urllib.error.HTTPError as e:
-            if e.code in (403, 404, 410):
-                return None
-            raise
+        for k in range(TRIES):
+            try:
+                with urllib.request.urlopen(request, timeout=60) as answer:
+                    return answer.read(), dict(answer.headers)
+            except urllib.error.HTTPError as e:
+                if e.code in (404, 410):
+                    return None
+                if e.code in (401, 403):
+                    raise StoreError(f"No access to {self.root}/{path}: HTTP status {e.code}") from None
+                if e.code not in _BUSY or k == TRIES - 1:
+                    raise StoreError(f"Failed to read {self.root}/{path}: HTTP status {e.code}") from None
+            except (urllib.error.URLError, http.client.HTTPException, OSError) as e:
+                if k == TRIES - 1:
+                    raise StoreError(f"Failed to read {self.root}/{path}: {e}") from None
+            time.sleep(PAUSE * 2**k)
+        raise AssertionError("unreachable")
 
     def size(self, path: str) -> int | None:
         answer = self._ask(path, "HEAD")
-        if answer is None:
-            return None
-        with answer:
-            return int(answer.headers.get("Content-Length") or 0)
+        return None if answer is None else int({k.lower(): v for k, v in answer[1].items()}.get("content-length") or 0)
 
     def open(self, path: str) -> Blob | None:
         n = self.size(path)
@@ -100,8 +129,10 @@ class HttpStore:
             if not length:
                 return b""
             headers = {} if (offset, length) == (0, n) else {"Range": f"bytes={offset}-{offset + length - 1}"}
-            with self._ask(path, headers=headers) as answer:
-                data = answer.read()
+            answer = self._ask(path, headers=headers)
+            if answer is None:
+                raise StoreError(f"{self.root}/{path} has gone while it was read")
+            data = answer[0]
             # A server that knows no ranges sends the whole file.
             return data[offset : offset + length] if len(data) > length else data
 
@@ -162,6 +193,14 @@ class ArrowStore:
         selector = fs.FileSelector(f"{root}/{path}" if path else root, allow_not_found=True)
         return sorted(i.base_name for i in files.get_file_info(selector) if i.type == fs.FileType.Directory and not i.base_name.startswith("."))
 
+    def files(self, path: str) -> Iterator[tuple[str, int]]:
+        from pyarrow import fs
+
+        files, root = self._fs()
+        for i in files.get_file_info(fs.FileSelector(f"{root}/{path}" if path else root, allow_not_found=True, recursive=True)):
+            if i.type == fs.FileType.File:
+                yield os.path.relpath(i.path, root), i.size
+
 
 Store = LocalStore | HttpStore | ArrowStore
 

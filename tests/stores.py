@@ -1,4 +1,7 @@
-"""The small stores of the fixtures, written from their logical contents."""
+"""The small stores of the fixtures, written from their logical contents.
+
+Names, shapes and values are fixed values: they are those of the results to match.
+"""
 
 import numpy as np
 

@@ -185,3 +185,37 @@ def test_pruned_plan_has_few_partitions(spark, tmp_path):
     w.v2_group(path)
     w.v2_array(path, "a", (400,), (10,), "<i4", fill=1)
     assert z.zarr_cells(spark, path, "a").where("dim_0 BETWEEN 15 AND 25").rdd.getNumPartitions() == 2
+
+
+def by_hand(raw, width, block, split):
+    """A Blosc container as the format describes it, not by the package: shuffled blocks, of one stream each or of one for each byte of an element."""
+    import zstandard
+
+    flags = 1 | 4 << 5 | (0 if split else 16)
+    blocks = []
+    for at in range(0, len(raw), block):
+        part = raw[at : at + block]
+        whole = len(part) // width * width
+        planes = [part[k:whole:width] for k in range(width)]
+        shuffled = b"".join(planes) + part[whole:]
+        # A last block that is short is never split.
+        streams = [shuffled[k * len(part) // width : (k + 1) * len(part) // width] for k in range(width)] if split and len(part) == block else [shuffled]
+        packed = b""
+        for s in streams:
+            frame = zstandard.ZstdCompressor(level=3).compress(s)
+            frame = s if len(frame) >= len(s) else frame
+            packed += struct.pack("<i", len(frame)) + frame
+        blocks.append(packed)
+    starts = np.cumsum([16 + 4 * len(blocks), *map(len, blocks)])
+    return struct.pack("<BBBBIII", 2, 1, flags, width, len(raw), block, int(starts[-1])) + starts[:-1].astype("<u4").tobytes() + b"".join(blocks)
+
+
+@pytest.mark.parametrize("split", [False, True])
+@pytest.mark.parametrize("width", [1, 2, 4, 8])
+def test_blosc_of_another_encoder(width, split):
+    rng = np.random.default_rng(width)
+    # High bytes that compress, low bytes that don't.
+    values = (np.arange(3000) // 7 * 256 ** (width - 1) + rng.integers(0, 256, 3000)).astype(f"<u{width}")
+    stored = by_hand(values.tobytes(), width, 1024, split and width > 1)
+    c = Compression("blosc", "shuffle", width, "zstd")
+    assert codecs.unblosc(stored, values.nbytes, c) == values.tobytes()

@@ -1,4 +1,4 @@
-"""The reference results over the small fixture stores."""
+"""The results to match over the small fixture stores: names, numbers and values here are fixed values."""
 
 import pytest
 from pyspark.sql import functions as F
