@@ -18,7 +18,9 @@ How soon two texts fall back into step is a matter of luck, and now and then it
 very long. So there are three independent walks, a fingerprint has a part for each
 (joined by points), and the likeness is that of the walk in which the texts agree best.
 
-`near_pairs` finds like texts by bit-sampled bands: a band key is a few digits at
+`compare` looks at two given pairs a document, its edited text and the next document,
+with the whole method: shared band keys make them candidates, which are verified.
+`near_pairs` finds like texts of the whole corpus by bit-sampled bands: a band key is a few digits at
 shared places of the last two whole octaves (blocks of digits in short texts). Equal
 texts are one; texts that share a key are paired with the key's least id (as many
 pairs as rows), then verified by likeness, and by edit distance, as unlike texts may
@@ -34,6 +36,7 @@ ignored. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -169,53 +172,69 @@ def stretched(docs: DataFrame) -> DataFrame:
     """
     docs = docs.where(F.col("doc_id").isNotNull())
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    row = docs.agg(F.percentile_approx("doc_id", [k / parts for k in range(parts)], 10_000).alias("bounds"), F.min("doc_id").alias("low")).first()
-    bounds = np.array(sorted({*(row["bounds"] or []), row["low"]} - {None}), np.int64)
+    if isinstance(docs.schema["doc_id"].dataType, T.IntegralType):
+        row = docs.agg(F.percentile_approx("doc_id", [k / parts for k in range(parts)], 10_000).alias("bounds"), F.min("doc_id").alias("low")).first()
+        bounds = sorted({*(row["bounds"] or []), row["low"]} - {None})
+    else:
+        # The least id of each range: at most one row a partition.
+        ranged = docs.select("doc_id").repartitionByRange(parts, "doc_id").groupBy(F.spark_partition_id().alias("part")).agg(F.min("doc_id").alias("low"))
+        bounds = sorted(r["low"] for r in ranged.collect())
     n = len(bounds)
 
     @F.pandas_udf("array<int>")
     def places(ids: pd.Series) -> pd.Series:
         """The stretch of each id, and for a stretch's first id the one before it."""
-        at = np.searchsorted(bounds, ids.to_numpy(), side="right") - 1
-        first = bounds[at] == ids.to_numpy()
-        return pd.Series([[k, (k - 1) % n] if f else [k] for k, f in zip(at.tolist(), first.tolist(), strict=True)])
+        at = [bisect_right(bounds, x) - 1 for x in ids.tolist()]
+        return pd.Series([[k, (k - 1) % n] if bounds[k] == x else [k] for k, x in zip(at, ids.tolist(), strict=True)])
 
     placed = docs.select("doc_id", "text", F.posexplode(places("doc_id")).alias("guest", "part"))
     placed = placed.select("part", "guest", "doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return placed.repartitionById(max(1, n), F.col("part")).sortWithinPartitions("part", "guest", "doc_id", "text")
 
 
-def compare(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+def candidate(a: tuple[str, str, set[str]], b: tuple[str, str, set[str]], near: float, least: float) -> tuple[int, bool]:
+    """Of two texts with their fingerprints and band keys: how many keys they share, and whether they are verified."""
+    shared = len(a[2] & b[2])
+    return shared, shared > 0 and near >= least and near_texts(a[0], b[0], least)
+
+
+def compare(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
+    bands_edited, bands_next (shared band keys) and verified_edited, verified_next (candidates by
+    a shared key that are so like by fingerprint, and by edit distance, as `least` says).
 
     The edited text is `edited(text, next text)`, where the next document is that of
     the next higher id, and after the last one the first. Rows with a null id are left out.
     """
     docs = keyed(docs, id_col, text_col)
     strings = [T.StructField(n, T.StringType()) for n in ("edited_sha256", "fingerprint", "edited_fingerprint")]
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("n_chars", T.LongType()), *strings, T.StructField("near_edited", T.DoubleType()), T.StructField("near_next", T.DoubleType())])
+    found = [T.StructField("near_edited", T.DoubleType()), T.StructField("near_next", T.DoubleType()), T.StructField("bands_edited", T.LongType()), T.StructField("bands_next", T.LongType()), T.StructField("verified_edited", T.BooleanType()), T.StructField("verified_next", T.BooleanType())]
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("n_chars", T.LongType()), *strings, *found])
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []  # the last row, whose next one is still to come
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
-                values = b.column(3).to_pylist()
-                rows = [*held, *zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), values, fingerprints(values), strict=True)]
-                pairs = [(x, y) for x, y in zip(rows, rows[1:]) if not x[1]]
-                changed = [edited(x[3], y[3]) for x, y in pairs]
-                marks = fingerprints(changed)
-                held = rows[-1:]
-                yield batch(
-                    schema,
-                    [x[2] for x, _ in pairs],
-                    [len(x[3]) for x, _ in pairs],
-                    [hashlib.sha256(c.encode()).hexdigest() for c in changed],
-                    [x[4] for x, _ in pairs],
-                    marks,
-                    [likeness(x[4], m) for (x, _), m in zip(pairs, marks, strict=True)],
-                    [likeness(x[4], y[4]) for x, y in pairs],
-                )
+        for b in slices(batches, size=GROUP):
+            values = b.column("text").to_pylist()
+            marks = fingerprints(values)
+            marked = [(v, m, set(band_keys(m))) for v, m in zip(values, marks, strict=True)]
+            rows = [*held, *zip(b.column("guest").to_pylist(), b.column("doc_id").to_pylist(), marked, strict=True)]
+            pairs = [(x, y) for x, y in zip(rows, rows[1:]) if not x[0]]
+            held = rows[-1:]
+            changed = [edited(x[2][0], y[2][0]) for x, y in pairs]
+            changed = [(c, m, set(band_keys(m))) for c, m in zip(changed, fingerprints(changed), strict=True)]
+            near = [(likeness(x[2][1], c[1]), likeness(x[2][1], y[2][1])) for (x, y), c in zip(pairs, changed, strict=True)]
+            tried = [(candidate(x[2], c, n[0], least), candidate(x[2], y[2], n[1], least)) for (x, y), c, n in zip(pairs, changed, near, strict=True)]
+            yield batch(
+                schema,
+                [x[1] for x, _ in pairs],
+                [len(x[2][0]) for x, _ in pairs],
+                [hashlib.sha256(c[0].encode()).hexdigest() for c in changed],
+                [x[2][1] for x, _ in pairs],
+                [c[1] for c in changed],
+                *([n[k] for n in near] for k in (0, 1)),
+                *([t[k][0] for t in tried] for k in (0, 1)),
+                *([t[k][1] for t in tried] for k in (0, 1)),
+            )
 
     ship(docs.sparkSession)
     return mapped(stretched(docs), apply, schema)
@@ -333,7 +352,7 @@ def near_pairs(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text
     schema = T.StructType([docs.schema["doc_id"], *fields])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):
+        for b in slices(batches, size=GROUP):
             values = texts(b.column(1))
             found = fingerprints(values)
             # Keys that clash by their hashes only make more pairs to verify.

@@ -187,6 +187,18 @@ def test_compare(make):
         r = found[k]
         assert (r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint) == (len(t), hashlib.sha256(edit.encode()).hexdigest(), mark, edited)
         assert r.near_edited == fingerprints.likeness(mark, edited) and r.near_next == fingerprints.likeness(mark, following)
+        for other, near, bands, verified, found_mark in ((edit, r.near_edited, r.bands_edited, r.verified_edited, edited), (after, r.near_next, r.bands_next, r.verified_next, following)):
+            assert bands == len(set(fingerprints.band_keys(mark)) & set(fingerprints.band_keys(found_mark)))
+            short = t == other or max(len(t), len(other)) < 4000 and slow_distance(t, other) <= 0.2 * max(len(t), len(other)) + 1e-9
+            assert verified == (bands > 0 and near >= 0.8 and short)
+
+
+def test_compare_verifies_near_neighbours(spark):
+    texts = {"b": LONG[0], "c": LONG[0][:-40] + "other words now", "d": LONG[1], "é": LONG[1] + "!"}
+    rows = spark.createDataFrame(list(texts.items()), "doc_id string, text string").repartition(3)
+    found = {r.doc_id: r for r in fingerprints.compare(rows).collect()}
+    assert {k: found[k].verified_next for k in texts} == {"b": True, "c": False, "d": True, "é": False}
+    assert found["é"].near_next == fingerprints.likeness(*fingerprints.fingerprints([texts["é"], texts["b"]]))
 
 
 def test_compare_odd_tables(make, clashing, spark):

@@ -2,12 +2,15 @@
 
 import hashlib
 import math
+import random
 import re
 import subprocess
 import sys
+import time
 import zlib
 from pathlib import Path
 
+import numpy as np
 import pytest
 
 from gridframe.llm import chat_format, language_id, secret_scan, url_filter
@@ -53,6 +56,46 @@ def test_language_masks_hold_every_learned_gram(spark):
         assert ((model.masks(hashes)[:, 0] & 1) == 1).all()
 
 
+def test_predictions_by_brute_force(spark):
+    """Sets of n-grams and loops instead of filters and sums; ties and repeated rows included."""
+    docs = labelled(spark)
+    model = language_id.train(docs, min_share=0)
+
+    def grams_of(text):
+        joined = language_id.letters(text or "")
+        out = []
+        for n in language_id.ORDERS:
+            for k in range(len(joined) - n + 1):
+                g = joined[k : k + n]
+                if g.strip() and " " not in g[1:-1] and not (n == 1 and g == " "):
+                    out.append(g)
+        return out
+
+    known = {lang: {g for r in docs.where(f"lang = '{lang}'").collect() for g in grams_of(r.text)} for lang in model.languages}
+    texts = [prose(500 + k, 8, [*EN, *FR, "xyzzy", "qwqw"]) for k in range(60)] + ["the eau", "the eau", "zzz", "", "12"]
+    for text, (lang, score) in zip(texts, model.predict(texts), strict=True):
+        own = grams_of(text)
+        if not own:
+            assert (lang, score) == ("und", 0.0)
+            continue
+        share = {k: sum(g in found for g in own) / len(own) for k, found in known.items()}
+        # Filters may find a few n-grams more, and the correction takes as many off on average.
+        assert abs(share[lang] - score) < 0.06 and share[lang] >= max(share.values()) - 0.06
+        if max(share.values()) - min(share.values()) > 0.12:
+            assert lang == max(share, key=share.get)
+
+
+def test_correction_for_false_positives():
+    rng = np.random.default_rng(3)
+    slots = (rng.random((1 << 12, 1)) < 0.5).astype(np.uint64)
+    model = language_id.Model(("aa", "bb"), slots | np.uint64(2), np.array([0.125, 0.99]))
+    (lang, score), = model.predict([" ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 9)) for _ in range(400))])
+    # Filter aa holds nothing: its hits are chance alone. Filter bb holds everything, but would at any text.
+    assert lang == "bb" and score == pytest.approx(1.0)
+    hits = (model.masks(np.concatenate([h for _, h, _ in language_id.grams(language_id.letters("some words in here " * 40))]))[:, 0] & np.uint64(1)).mean()
+    assert 0 <= hits < 0.3
+
+
 def test_grams():
     got = {n: [at.tolist()] for n, _, at in language_id.grams(language_id.letters("Ab, c7d"))}
     text = " ab c d "
@@ -134,6 +177,58 @@ def test_joined_secrets_are_whole(make, mark):
         assert masked[k] == "see [SECRET] there"
 
 
+def slow_entropy_places(text):
+    """Places of hot windows of candidates, each window counted anew; without those of base spans."""
+    hot = set()
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+        if any(rule.fullmatch(m[0]) for rule in secret_scan.ALLOW):
+            continue
+        for kind in secret_scan.CLASSES:
+            for run in kind.chars.finditer(m[0]):
+                if all(re.search(x, run[0]) for x in kind.mixed):
+                    for k in range(len(run[0]) - 19):
+                        part = run[0][k : k + 20]
+                        if -sum(part.count(c) / 20 * math.log2(part.count(c) / 20) for c in set(part)) >= kind.least - 1e-9:
+                            hot |= set(range(m.start() + run.start() + k, m.start() + run.start() + k + 20))
+    return hot
+
+
+def test_entropy_spans_by_brute_force():
+    rng = random.Random(6)
+    alphabets = ["abcdef0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcXYZ019+/_=-", "aaaab1", " .\né"]
+    for _ in range(150):
+        text = "".join("".join(rng.choice(a) for _ in range(rng.randrange(1, 45))) for a in rng.choices(alphabets, k=8))
+        base = secret_scan.base_spans(text)
+        covered = {p for a, b, _ in base for p in range(a, b)}
+        spans = secret_scan.entropy_spans(text, base)
+        found, hot = {p for a, b, _ in spans for p in range(a, b)}, slow_entropy_places(text) - covered
+        assert found <= hot and all(a < b and b < c for (a, b, _), (c, _, _) in zip(spans, spans[1:]))
+        names = {a for a, _, kind in base if kind == "assign"}
+        assert all(any(re.fullmatch(r"[A-Za-z0-9+/_=-]*", text[p:n]) for n in names if n > p) for p in hot - found)
+
+
+@pytest.mark.parametrize("mark", "-_=+/.: \"'")
+def test_long_runs_of_marks(make, mark):
+    texts = ["Name" + mark * 50_000 + "1", "secret" + mark * 50_000 + "x1", ("token" + mark) * 10_000]
+    began = time.monotonic()
+    for t in texts:
+        secret_scan.find_secrets(t)
+        secret_scan.masked(t, "[SECRET]")
+    assert time.monotonic() - began < 10
+
+
+def test_no_part_of_a_planted_secret_is_left(clashing):
+    rng = random.Random(11)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    planted = ["".join(rng.choice(letters) for _ in range(40)) for _ in range(200)]
+    texts = [f"some words {x} and more" for x in planted] + [f"api_key = '{x}'" for x in planted] + [f"AKIA{x.upper()[:16]}/{x}" for x in planted]
+    masked = [r.text for r in secret_scan.redact(clashing(texts)).orderBy("doc_id").collect()]
+    left = [any(x[k : k + 8] in m for k in range(33)) for x, m in zip(planted * 3, masked, strict=True)]
+    # Windows under the threshold, of a random string with many repeated characters, are what may stay.
+    assert sum(left) <= 0.05 * len(left)
+    assert secret_scan.scan(clashing([]).limit(0)).count() == 0 and secret_scan.scan(clashing(["a"])).columns[0] == "doc_id"
+
+
 def test_heads_of_assigned_names_are_no_secrets():
     assert secret_scan.find_secrets("my_secret=" + KEY)[1] == [(3, 10 + len(KEY), "assign")]
     assert secret_scan.find_secrets(KEY + "_token=abcdef")[1][0][::2] == (0, "entropy")
