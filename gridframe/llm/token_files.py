@@ -28,6 +28,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -194,14 +195,13 @@ def summary(spark: SparkSession, path: str) -> DataFrame:
 
     segments = mapped(stored.select("part", "block", "data", "docs"), apply, schema)
 
-    @F.udf("long")
-    def join_crc(parts: list) -> int:
-        return joined_crc([(p["crc"], 4 * p["length"]) for p in parts])
+    @F.pandas_udf("long")
+    def join_crc(crcs: pd.Series, lengths: pd.Series) -> pd.Series:
+        return pd.Series([joined_crc([(int(c), 4 * int(n)) for c, n in zip(*x, strict=True)]) if len(x[0]) > 1 else int(x[0][0]) for x in zip(crcs, lengths, strict=True)])
 
     parts = F.array_sort(F.collect_list(F.struct("start", "length", "crc")))
     docs = segments.groupBy("part", "doc", "doc_id", "begin", "total").agg(parts.alias("parts"))
-    crc = F.when(F.size("parts") == 1, F.col("parts")[0]["crc"]).otherwise(join_crc("parts"))
-    return docs.join(F.broadcast(offsets), "part").select("doc_id", (F.col("begin") + F.col("offset")).alias("start"), F.col("total").alias("n_tokens"), crc.alias("ids_crc32"))
+    return docs.join(F.broadcast(offsets), "part").select("doc_id", (F.col("begin") + F.col("offset")).alias("start"), F.col("total").alias("n_tokens"), join_crc("parts.crc", "parts.length").alias("ids_crc32"))
 
 
 def round_trip(docs: DataFrame, tokenizer_path: str, out: str) -> DataFrame:

@@ -5,7 +5,9 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow.parquet as pq
 import pytest
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -13,6 +15,7 @@ from tokenizers import Tokenizer
 from gridframe.llm import packing, range_coder, token_counts, token_files
 from gridframe.llm.tokens import Cache, WordEncoder
 from tests.llm.conftest import ODD, prose
+from tests.oracle import TABLES
 
 WORD, BYTE = P.path("word_bpe_49k.json"), P.path("byte_bpe_50k.json")
 TEXTS = [*ODD, *[prose(k, 40 * k) for k in range(25)], prose(3, 120)]
@@ -176,6 +179,16 @@ def test_range_coder_learns():
     assert len(range_coder.encode([noise])[0]) < 2.5 * len(noise)
 
 
+@pytest.mark.skipif(not TABLES.exists(), reason="the tables aren't here")
+def test_range_coder_beats_general_compression(word):
+    found = pq.read_table(TABLES / "documents.parquet").column("text").to_pylist()
+    ids = np.concatenate([ids_of(word, t) for t in found])
+    blocks = [ids[at : at + range_coder.BLOCK].astype(np.int64) for at in range(0, len(ids), range_coder.BLOCK)]
+    mixed = sum(map(len, range_coder.encode(blocks)))
+    general = sum(len(zstandard.ZstdCompressor(level=19).compress(b.astype("<u2").tobytes())) for b in blocks)
+    assert mixed < 0.9 * general
+
+
 def test_token_files(make, word, tmp_path, monkeypatch):
     out = f"file://{tmp_path}/files"
     rows = {r.doc_id: r for r in token_files.round_trip(make(TEXTS), WORD, out).collect()}
