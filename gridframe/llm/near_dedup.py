@@ -19,8 +19,13 @@ change nothing, so processes stop there.
 4. Band keys whose texts lie in several components are contested. A shingle that occurs
    in one component only is common to no pair of components: call it useless. If x has n
    distinct shingles of total weight w, c of them useless and those a share u of w, then x
-   lacks in y at least a_x = max(u_x, (n_x - n_y + c_y) / w_x) of its weight, as y has only
-   n_y - c_y shingles to share, and J_P(x, y) <= 1 / (1 + o_x + o_y) where o = a / (1 - a).
+   lacks in y at least a_x = max(u_x, (n_x - k) / w_x) of its weight, where x and y have at
+   most k shingles in common, and J_P(x, y) <= 1 / (1 + o_x + o_y) where o = a / (1 - a).
+   First k is n_y - c_y, which y has to share. Then it is what buckets of the shingles'
+   hashes allow: texts with i and j shingles in a bucket share at most min(i, j) there.
+   Buckets of at least one and of at least two shingles are bits, counted after an AND; what
+   buckets hold beyond two is added up, and the lesser sum counts. For this k the bound is
+   taken as k + max(w_x - n_x, w_y - n_y) >= (w_x + w_y) T / (1 + T), which follows from it.
    Texts whose u alone rules links out are dropped, which makes more shingles useless, so
    that is done twice. Of the texts that are left, those of one key and of different
    components are paired where the bound allows a link, and verified. Pairs within a
@@ -29,9 +34,10 @@ change nothing, so processes stop there.
 5. The class of a document is the least id of its text's component.
 
 In a cloud of edits of one template, whose texts are like the template but not like each
-other, the bound of step 4 leaves about as many pairs as there are texts. Only texts that
-share nearly all their shingles with other components, and yet are near copies of none,
-still meet in pairs.
+other, edits in different places fill different buckets, so that the bound of step 4 is
+close to the similarity itself. It weakens for texts of far more shingles than there are
+buckets; then texts that share nearly all their shingles with other components, and yet
+are near copies of none, still meet in pairs.
 
 Verification first compares sketches (one byte of each register): pairs that agree in
 fewer than `threshold` - 0.15 of them go; a pair of similarity 0.8 does with probability
@@ -70,6 +76,9 @@ BANDS, ROWS = 36, 6
 REGISTERS = BANDS * ROWS
 #: How far under the threshold sketches may agree. 0.15 is 5.5 standard deviations of 216 registers at 0.8.
 MARGIN = 0.15
+#: Buckets of shingle hashes that bound what two texts share, as a power of two; 64 of them are a word.
+BUCKET_BITS = 9
+_WORDS_A_LEVEL = 1 << BUCKET_BITS >> 6
 #: Members of a leader that are verified together.
 RUN = 500
 _WORD = re.compile(r"[^\W_]+")
@@ -252,6 +261,20 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def buckets(elements: np.ndarray) -> tuple[np.ndarray, int]:
+    """Bits of the buckets with one, then of those with two elements or more, as words; and the elements beyond two."""
+    counts = np.bincount((elements >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=1 << BUCKET_BITS)
+    bits = np.packbits(np.stack([counts >= 1, counts >= 2]), axis=1, bitorder="little")
+    return bits.view("<i8").ravel(), int(np.maximum(counts - 2, 0).sum())
+
+
+def shares_enough(threshold: float) -> Column:
+    """Whether the buckets of texts x and y allow a link. The sum stands here once, so that the join's code stays short enough to be compiled."""
+    both = [F.bit_count(F.col("marks_x")[k].bitwiseAND(F.col("marks_y")[k])) for k in range(2 * _WORDS_A_LEVEL)]
+    spare = F.greatest(F.col("weight_x") - F.col("n_x"), F.col("weight_y") - F.col("n_y"))
+    return sum(both, F.least("over_x", "over_y")) + spare >= (F.col("weight_x") + F.col("weight_y")) * (threshold / (1 + threshold)) - 1e-6
+
+
 def _lacking(useless: Column, n: Column, other: Column, other_useless: Column, weight: Column) -> Column:
     """o_x of the bound, infinite where a text shares nothing."""
     a = F.greatest(useless, (n - other + other_useless) / weight)
@@ -262,13 +285,15 @@ def _rivals(contested: DataFrame, docs: DataFrame, copies: DataFrame, threshold:
     """Pairs (a, b) of texts of one key and of different components that may be links, from (key, t, c)."""
     labels = written(contested.select("t", "c").distinct(), "contested-texts")
     held = _texts(docs, copies.join(labels, "t")).join(labels, "t").select("t", "c", "text")
-    schema = T.StructType([T.StructField("t", T.LongType()), T.StructField("c", T.LongType()), T.StructField("s", T.ArrayType(T.LongType())), T.StructField("w", T.ArrayType(T.DoubleType())), T.StructField("n", T.IntegerType()), T.StructField("weight", T.DoubleType())])
+    schema = T.StructType([T.StructField("t", T.LongType()), T.StructField("c", T.LongType()), T.StructField("s", T.ArrayType(T.LongType())), T.StructField("w", T.ArrayType(T.DoubleType())), T.StructField("n", T.IntegerType()), T.StructField("weight", T.DoubleType()), T.StructField("marks", T.ArrayType(T.LongType())), T.StructField("over", T.IntegerType())])
 
     @released(forget_words)
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             found = [shingles(x) for x in texts(b.column("text"))]
-            yield batch(schema, b.column("t"), b.column("c"), [s.view(np.int64) for s, _ in found], [w for _, w in found], [len(s) for s, _ in found], [w.sum() for _, w in found])
+            marks = [buckets(s) for s, _ in found]
+            sets_of = [s.view(np.int64) for s, _ in found], [w for _, w in found], [len(s) for s, _ in found], [w.sum() for _, w in found]
+            yield batch(schema, b.column("t"), b.column("c"), *sets_of, [m for m, _ in marks], [n for _, n in marks])
 
     sets = written(mapped(held, apply, schema), "shingle-sets")
     left = sets
@@ -276,17 +301,17 @@ def _rivals(contested: DataFrame, docs: DataFrame, copies: DataFrame, threshold:
         shared = left.select(F.explode("s").alias("s"), "c").groupBy("s").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("s")
         places = left.select("t", F.explode(F.arrays_zip("s", "w")).alias("x")).select("t", F.col("x.s").alias("s"), F.col("x.w").alias("w"))
         useful = places.join(written(shared, "shared-shingles"), "s").groupBy("t").agg(F.sum("w").alias("useful"), F.count("*").alias("many"))
-        kept = sets.select("t", "n", "weight").join(useful, "t").where(F.col("useful") >= F.col("weight") * (threshold - 1e-9))
-        kept = written(kept.select("t", "n", "weight", (F.col("n") - F.col("many")).alias("none"), (1 - F.col("useful") / F.col("weight")).alias("u")), "rivals")
+        kept = sets.select("t", "n", "weight", "marks", "over").join(useful, "t").where(F.col("useful") >= F.col("weight") * (threshold - 1e-9))
+        kept = written(kept.select("t", "n", "weight", "marks", "over", (F.col("n") - F.col("many")).alias("none"), (1 - F.col("useful") / F.col("weight")).alias("u")), "rivals")
         left = sets.join(kept.select("t"), "t", "left_semi")
     rivals = written(contested.join(kept, "t"), "rival-keys")
     sizes = rivals.groupBy("key", "c").agg(F.count("*").alias("of_c"))
     largest = sizes.groupBy("key").agg(F.max(F.struct("of_c", "c")).alias("top"), F.count("*").alias("k")).where("k > 1").select("key", F.col("top.c").alias("main"))
     rivals = written(rivals.join(largest, "key"), "rivals-of-keys")
-    x, y = (rivals.select(*(F.col(n).alias(f"{n}_{side}") for n in ("key", "main", "t", "c", "n", "weight", "none", "u"))) for side in "xy")
+    x, y = (rivals.select(*(F.col(n).alias(f"{n}_{side}") for n in ("key", "main", "t", "c", "n", "weight", "marks", "over", "none", "u"))) for side in "xy")
     once = (F.col("c_y") == F.col("main_y")) | (F.col("t_x") < F.col("t_y"))
     lacks = [_lacking(*(F.col(n) for n in names)) for names in (("u_x", "n_x", "n_y", "none_y", "weight_x"), ("u_y", "n_y", "n_x", "none_x", "weight_y"))]
-    may = lacks[0] + lacks[1] <= 1 / threshold - 1 + 1e-6
+    may = (lacks[0] + lacks[1] <= 1 / threshold - 1 + 1e-6) & shares_enough(threshold)
     met = x.where("c_x != main_x").join(y, (F.col("key_x") == F.col("key_y")) & (F.col("c_x") != F.col("c_y")) & once & may)
     return met.select(F.least("t_x", "t_y").alias("a"), F.greatest("t_x", "t_y").alias("b")).distinct()
 

@@ -338,3 +338,25 @@ def test_containment_odd_tables(make, clashing, spark, monkeypatch):
     assert [r.doc_id for r in decontaminate.contained(clashing(LONG), items).collect()] == [0]
     monkeypatch.setattr(decontaminate, "_small", lambda df, most=0: df)
     assert [r.doc_id for r in decontaminate.contained(make(LONG), items).collect()] == [0]
+
+
+def test_buckets_never_rule_out_a_link(spark):
+    """Against brute force: weighted sets around one template, small and far larger than the buckets are many."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for size, spread in ((40, 3), (150, 30), (4000, 500)):
+        template = rng.integers(0, 2**64, size, dtype=np.uint64)
+        sets = []
+        for _ in range(12):
+            own = np.unique(np.concatenate([rng.choice(template, size - rng.integers(0, spread), replace=False), rng.integers(0, 2**64, rng.integers(0, spread), dtype=np.uint64)]))
+            sets.append((own, rng.choice([1.0, 3.0], len(own), p=[0.98, 0.02])))
+        for x, y in combinations(sets, 2):
+            (mx, ox), (my, oy) = near_dedup.buckets(x[0]), near_dedup.buckets(y[0])
+            shared = sum(bin(int(p) & int(q) & (2**64 - 1)).count("1") for p, q in zip(mx, my)) + min(ox, oy)
+            assert shared >= len(np.intersect1d(x[0], y[0]))
+            rows.append((near_dedup.similarity(x, y), mx.tolist(), ox, len(x[0]), float(x[1].sum()), my.tolist(), oy, len(y[0]), float(y[1].sum())))
+    held = spark.createDataFrame(rows, "s double, marks_x array<long>, over_x int, n_x int, weight_x double, marks_y array<long>, over_y int, n_y int, weight_y double")
+    for threshold in (0.5, 0.8):
+        links = sum(r[0] >= threshold for r in rows)
+        assert 0 < links < len(rows)
+        assert held.where(near_dedup.shares_enough(threshold)).where(f"s >= {threshold}").count() == links
