@@ -344,7 +344,7 @@ def test_buckets_never_rule_out_a_link(spark):
     """Against brute force: weighted sets around one template, small and far larger than the buckets are many."""
     rng = np.random.default_rng(5)
     rows = []
-    for size, spread in ((40, 3), (150, 30), (4000, 500)):
+    for size, spread in ((40, 3), (40, 20), (150, 30), (150, 60), (4000, 500), (4000, 1800)):
         template = rng.integers(0, 2**64, size, dtype=np.uint64)
         sets = []
         for _ in range(12):
