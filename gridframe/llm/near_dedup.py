@@ -332,12 +332,19 @@ def _grouped(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     labelled = members.join(groups, members["t"] == groups["v"], "left").select("key", "t", F.coalesce("c", "t").alias("c"))
     many = labelled.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("key")
     contested = written(labelled.join(many, "key"), "contested")
+    merged = None
     if contested.limit(1).count():
         # A pair that a star has already tried is tried again: those are few here.
         more = _verified(_rivals(contested, docs, copies, threshold), docs, copies, threshold)
-        if more.limit(1).count():
-            groups = components(links.unionByName(more))
-    return digests.select("doc_id", "copy"), copies.join(groups, copies["t"] == groups["v"], "left").select("copy", "first", F.coalesce("c", "t").alias("c"))
+        # Only links between components matter now, so that the components are the nodes.
+        ends = more.select(*(F.col(x) for x in "ab"))
+        for x in "ab":
+            ends = ends.join(groups.select(F.col("v").alias(x), F.col("c").alias(f"c_{x}")), x, "left").withColumn(x, F.coalesce(f"c_{x}", x)).select("a", "b")
+        merged = components(ends.where("a != b").distinct()).select(F.col("v").alias("c"), F.col("c").alias("of"))
+    found = copies.join(groups, copies["t"] == groups["v"], "left").select("copy", "first", F.coalesce("c", "t").alias("c"))
+    if merged is not None:
+        found = found.join(merged, "c", "left").select("copy", "first", F.coalesce("of", "c").alias("c"))
+    return digests.select("doc_id", "copy"), found
 
 
 def _classed(texts: DataFrame) -> DataFrame:
