@@ -34,8 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from gridframe.llm.common import batch, keyed, mapped, released, slices, texts
-from gridframe.llm.tokens import CACHE_BYTES, forget_encoders, word_encoder
+from gridframe.llm.tokens import CACHE_BYTES, forget_encoders, forget_words, word_encoder
 
+#: Bytes of texts whose new words are learned together.
+LEARNED = 512 << 10
 #: Costs of a cut, in tokens of padding.
 SENTENCE, INSIDE = 4, 64
 #: The shortest sequence without padding that the program asks for besides a partition's last.
@@ -106,13 +108,14 @@ class Packer:
         self.docs: list[tuple[object, int, int]] = []  # id, tokens of it before the buffer, all tokens of it
         self.held = 0
 
-    def add(self, doc_id: object, text: str) -> Iterator[tuple]:
-        ids = np.append(self.encoder.encode(text), np.uint16(self.end_id))
-        self.ids.append(ids)
-        self.docs.append((doc_id, 0, len(ids)))
-        self.held += len(ids)
-        if self.held >= self.horizon:
-            yield from self.flush(False)
+    def add(self, doc_ids: list, texts: list[str]) -> Iterator[tuple]:
+        for doc_id, found in zip(doc_ids, self.encoder.encode_all(texts), strict=True):
+            ids = np.append(found, np.uint16(self.end_id))
+            self.ids.append(ids)
+            self.docs.append((doc_id, 0, len(ids)))
+            self.held += len(ids)
+            if self.held >= self.horizon:
+                yield from self.flush(False)
 
     def flush(self, last: bool) -> Iterator[tuple]:
         """Pieces: id, start in the document, length, ids, the document's tokens, sequence, offset."""
@@ -160,8 +163,8 @@ def pack(
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for, ids.
 
     Sequences are numbered within their partition; the partition is in the upper 32 bits.
-    A worker's word cache takes `cache_bytes`; without `keep_cache` a task gives it back at
-    its end, for jobs whose other stages need the memory.
+    A worker's word cache takes `cache_bytes`; a task gives it back at its end, and without
+    `keep_cache` the tokenizer as well, for jobs whose other stages need the memory.
     """
     docs = keyed(docs, id_col, text_col)
     numbers = [T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
@@ -172,9 +175,8 @@ def pack(
         packer = Packer(path, end_id, window, horizon, cache_bytes)
 
         def pieces() -> Iterator[tuple]:
-            for b in slices(batches):
-                for doc_id, text in zip(b.column(0).to_pylist(), texts(b.column(1)), strict=True):
-                    yield from packer.add(doc_id, text)
+            for b in slices(batches, size=LEARNED):
+                yield from packer.add(b.column(0).to_pylist(), texts(b.column(1)))
             yield from packer.flush(True)
 
         for doc_id, start, n, ids, total, seq, offset in pieces():
@@ -191,5 +193,5 @@ def pack(
         if buffer:
             yield batch(schema, *zip(*buffer, strict=True))
 
-    fn = apply if keep_cache else released(forget_encoders)(apply)
+    fn = released(forget_words if keep_cache else forget_encoders)(apply)
     return mapped(docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"), fn, schema)

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -38,6 +39,11 @@ class Cache:
         self.new[key] = value
         self.size += bytes_
 
+    def put_all(self, values: dict, bytes_: int) -> None:
+        """Keeps values that take so many bytes together."""
+        self.new.update(values)
+        self.size += bytes_
+
 
 def load(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -56,48 +62,65 @@ class WordEncoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
 
+    @staticmethod
+    def _bytes(words: Iterable[str], n: int) -> int:
+        """About what n words, their ids and their places in a cache take."""
+        return 4 * sum(map(len, words)) + 150 * n
+
     def _learn_cores(self, cores: set[str]) -> None:
         """Encodes pure-letter words together: each is one pre-token, so the end marks part their ids."""
-        new, old = self.cores.new, self.cores.old
-        for c in [c for c in cores if c not in new and c in old]:
-            self.cores.put(c, old[c], 2 * len(c) + 150)
-        todo = [c for c in cores if c not in new]
-        if not todo:
+        old = self.cores.old
+        todo = cores.difference(self.cores.new)
+        known = {c: old[c] for c in todo if c in old} if old else {}
+        self.cores.put_all(known, self._bytes(known, len(known)))
+        words = list(todo.difference(known))
+        if not words:
             return
-        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(todo)], add_special_tokens=False)[0].ids, "<u2")
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u2")
         ends = np.flatnonzero(self.ends[ids]) + 1
-        if len(ends) != len(todo):
+        if len(ends) != len(words):
             raise AssertionError("a word of letters gave more than one pre-token")
-        raw, at = ids.tobytes(), 0
-        for c, end in zip(todo, ends.tolist(), strict=True):
-            self.cores.put(c, raw[2 * at : 2 * end], 4 * len(c) + 150)
-            at = end
+        raw, stops = ids.tobytes(), (2 * ends).tolist()
+        self.cores.put_all({c: raw[at:stop] for c, at, stop in zip(words, [0, *stops], stops)}, self._bytes(words, len(words)))
 
     def _alone(self, chunk: str) -> bytes:
         return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u2").tobytes()
 
     def _learn(self, missing: set[str]) -> None:
-        old, parts = self.chunks.old, {}
-        for w in missing:
-            if w in old:
-                self.chunks.put(w, old[w], 4 * len(w) + 150)
+        old = self.chunks.old
+        found = {w: old[w] for w in missing if w in old} if old else {}
+        plain, marked = {}, {}
+        for w in missing.difference(found):
+            if w.isascii() and w.isalpha():
+                plain[w] = w.lower()
             elif m := SIMPLE.fullmatch(w):
-                parts[w] = (m[1].lower(), m[2])
+                marked[w] = (m[1].lower(), m[2])
             else:
-                self.chunks.put(w, self._alone(w) if w else b"", 4 * len(w) + 150)
-        self._learn_cores({core for core, _ in parts.values()})
-        marks = {tail: self._alone(tail) for tail in {tail for _, tail in parts.values() if tail}} | {"": b""}
+                found[w] = self._alone(w) if w else b""
+        self._learn_cores({*plain.values(), *(core for core, _ in marked.values())})
+        marks = {tail: self._alone(tail) if tail else b"" for tail in {tail for _, tail in marked.values()}}
         cores = self.cores.new
-        for w, (core, tail) in parts.items():
-            self.chunks.put(w, cores[core] + marks[tail], 4 * len(w) + 150)
+        found.update({w: cores[core] for w, core in plain.items()})
+        found.update({w: cores[core] + marks[tail] for w, (core, tail) in marked.items()})
+        self.chunks.put_all(found, self._bytes(found, len(found)))
 
-    def encode(self, text: str) -> np.ndarray:
+    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Each text's ids. Words that are new are learned together, and the caches may grow by all of them."""
         self.chunks.turn()
         self.cores.turn()
-        chunks = text.replace("\n", " ").split(" ")
-        if missing := set(chunks).difference(self.chunks.new):
+        split = [t.replace("\n", " ").split(" ") for t in texts]
+        if missing := set().union(*split).difference(self.chunks.new):
             self._learn(missing)
-        return np.frombuffer(b"".join(map(self.chunks.new.__getitem__, chunks)), "<u2")
+        known = self.chunks.new.__getitem__
+        for chunks in split:
+            yield np.frombuffer(b"".join(map(known, chunks)), "<u2")
+
+    def encode(self, text: str) -> np.ndarray:
+        return next(self.encode_all([text]))
+
+    def forget_words(self) -> None:
+        self.chunks.clear()
+        self.cores.clear()
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -112,3 +135,9 @@ def word_encoder(path: str, cache_bytes: int = CACHE_BYTES) -> WordEncoder:
 
 def forget_encoders() -> None:
     _ENCODERS.clear()
+
+
+def forget_words() -> None:
+    """Empties the encoders' caches; the tokenizers stay."""
+    for e in _ENCODERS.values():
+        e.forget_words()
