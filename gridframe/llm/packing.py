@@ -53,8 +53,12 @@ def solve(positions: list[int], penalties: list[int], window: int, last: bool) -
     n, end = len(positions), positions[-1]
     cost, back = [0.0] * n, [0] * n
     queue: deque[tuple[float, int]] = deque([(positions[0], 0)])
-    at = {positions[0]: 0}
-    powers = [2**k for k in range(LEAST_POWER.bit_length() - 1, (window - 1).bit_length())]
+    where = np.array(positions)
+    exact: list[tuple[int, ...]] = [()] * n  # the cuts that lie a power of two before a cut
+    for p in (2**k for k in range(LEAST_POWER.bit_length() - 1, (window - 1).bit_length())):
+        before = np.searchsorted(where, where - p, side="right") - 1
+        for c in np.flatnonzero((before >= 0) & (where[before] == where - p)).tolist():
+            exact[c] += (int(before[c]),)
     for c in range(1, n):
         here = positions[c]
         low = here - window
@@ -62,13 +66,11 @@ def solve(positions: list[int], penalties: list[int], window: int, last: bool) -
             queue.popleft()
         g, i = queue[0]
         best = g + window - here
-        for p in powers:
-            k = at.get(here - p)
-            if k is not None and cost[k] < best:
+        for k in exact[c]:
+            if cost[k] < best:
                 best, i = cost[k], k
         best += penalties[c]
         cost[c], back[c] = best, i
-        at[here] = c
         g = best + here
         while queue and queue[-1][0] >= g:
             queue.pop()
