@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridframe.llm import chat_format, decontaminate, fingerprints, language_id, near_dedup, packing, secret_scan, token_counts, token_files, url_filter
+from gridframe.llm import chat_format, decontaminate, exact_dedup, fingerprints, language_id, merkle, near_dedup, packing, ranked_search, secret_scan, token_counts, token_files, url_filter
 from gridframe.llm.common import table
 from gridframe.shared import new_path
 
@@ -57,7 +57,22 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_fingerprints, op3_token_counts, op4_decontamination, op5_token_files, op6_near_dedup, op7_chat_format, op8_language_id, op9_secret_scan, op10_url_filter)}
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.groups(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (op1_packing, op2_fingerprints, op3_token_counts, op4_decontamination, op5_token_files, op6_near_dedup, op7_chat_format, op8_language_id, op9_secret_scan, op10_url_filter, op11_ranked_search, op12_exact_dedup, op13_merkle_manifest)
+}
 
 
 def fingerprint_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,4 +82,4 @@ def fingerprint_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: Second halves of operators, whose results aren't the operator's query.
 MORE: dict[str, Callable[[SparkSession, str], DataFrame]] = {"fingerprint_pairs": fingerprint_pairs}
 
-ORACLE_SQL: dict[str, str] = {"op4_decontamination": decontaminate.ORACLE, "op7_chat_format": chat_format.ORACLE, "op10_url_filter": url_filter.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op4_decontamination": decontaminate.ORACLE, "op7_chat_format": chat_format.ORACLE, "op10_url_filter": url_filter.ORACLE, "op11_ranked_search": ranked_search.ORACLE, "op12_exact_dedup": exact_dedup.ORACLE, "op13_merkle_manifest": merkle.ORACLE}

@@ -13,4 +13,4 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_queries_name_the_operators():
-    assert [n.split("_")[0] for n in q.QUERIES] == [f"op{k}" for k in range(1, 11)]
+    assert [n.split("_")[0] for n in q.QUERIES] == [f"op{k}" for k in range(1, 14)]
