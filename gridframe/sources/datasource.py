@@ -1,21 +1,24 @@
 """The Spark data source `gridframe`: relations groups, arrays, chunks and cells of a store.
 
-Options: path, kind (cells unless told otherwise), array, version, columns,
-dim_ranges, partitions, pushdown. Cells are read in parallel: a partition is a run of
-chunk files in storage order, and a task reads only the files that filters leave.
-With `pushdown`, filters on dimensions prune chunks and cut cells; all filters go back
-to Spark, which tests them again. Nothing is read of a chunk that is pruned, not even
-whether it exists.
+Options: path (or store), kind (cells unless told otherwise), array, version, columns, dim_ranges,
+boxes, partitions, pushed. Cells are read in parallel: a partition is a run of chunk files in
+storage order, and a task reads only the files that filters leave. With `pushed`, filters on
+dimensions prune chunks and cut cells; all filters go back to Spark, which tests them again.
+Nothing is read of a chunk that is pruned, not even whether it exists.
 
 Spark 4.1 keeps one plan of partitions for a loaded relation, that of the filters it
-pushed last, and uses it for every scan of the relation. Two things keep results whole
-where a DataFrame is used more than once, with other filters or with none:
-
-* each push plans for all that was pushed for the relation so far, so the latest plan
-  covers every scan (`Pushed`); Spark's own filters then choose the rows;
+pushed last, and uses it for every scan of the relation. So pruning is bound to a relation:
+
+* `boxes` (what the functions' `where` becomes) is part of the relation itself and no later
+  filter changes it;
+* a SQL view names a table, which each statement loads anew: its pushes are its own;
+* within one loaded relation (a statement that reads a view twice, a DataFrame that is used
+  twice) each push plans for all that was pushed for it so far, so the latest plan covers
+  every scan, and Spark's own filters choose the rows. What was pushed is kept in the folder
+  `pushed` of the driver's machine, where Spark plans, and goes with the application;
 * a scan without any filter would push nothing. The DataFrame functions and views
   therefore add `dim_0 IS NOT NULL`, which is always pushed. A relation loaded without
-  them has no such filter, and so no `pushdown` unless it is asked for.
+  them has no such filter, and so no pushing unless it names a folder.
 """
 
 from __future__ import annotations
@@ -24,10 +27,9 @@ import fcntl
 import json
 import math
 import os
-import tempfile
 import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import types as T
@@ -50,7 +52,7 @@ from pyspark.sql.datasource import (
 from gridframe.functions import dtypes
 from gridframe.plans import layout
 from gridframe.plans.metadata import StoreError
-from gridframe.plans.pruning import Selection, united
+from gridframe.plans.regions import Region
 from gridframe.sources import scan
 from gridframe.sources.discovery import Listing, discover
 from gridframe.sources.stores import open_store
@@ -83,28 +85,28 @@ def runs(source: object, n: int, parts: int) -> list[Run]:
 
 
 class Pushed:
-    """All selections pushed for one loaded relation, joined: a small file of the driver's machine, where Spark plans."""
+    """The regions pushed for one loaded relation, joined: a small file in a folder of the driver's machine."""
 
-    def __init__(self) -> None:
-        self.path = os.path.join(tempfile.gettempdir(), f"gridframe-pushed-{uuid.uuid4().hex}.json")
+    def __init__(self, folder: str) -> None:
+        self.path = os.path.join(folder, f"{uuid.uuid4().hex}.json")
 
-    def joined(self, new: Selection) -> Selection:
-        """The new selection widened to cover the ones before, and recorded."""
+    def joined(self, new: Region) -> Region:
+        """The new region widened to cover the ones before, and recorded."""
         with open(self.path, "a+") as f:
             fcntl.flock(f, fcntl.LOCK_EX)
             f.seek(0)
-            known = json.loads(f.read() or "null")
-            spans = [list(map(tuple, s)) for s in known] if known else [() for _ in new.shape]
-            both = Selection(new.shape, tuple(united([*a, *b]) for a, b in zip(spans, new.intervals, strict=True)))
+            known = f.read()
+            both = (scan.boxes_of(new.shape, known) | new) if known else new
             f.truncate(0)
-            json.dump(both.intervals, f)
+            f.write(scan.boxes_text(both))
         return both
 
 
 class GridframeSource(DataSource):
     def __init__(self, options: dict[str, str]) -> None:
         super().__init__(options)
-        self.pushed = Pushed()
+        folder = options.get("pushed")
+        self.pushed = Pushed(folder) if folder else None
 
     @classmethod
     def name(cls) -> str:
@@ -113,6 +115,11 @@ class GridframeSource(DataSource):
     def _option(self, name: str, default: str | None = None) -> str | None:
         return self.options.get(name, default)
 
+    @property
+    def store(self) -> str | None:
+        """`path`, or `store` where a catalog would take the path for a table's own folder."""
+        return self._option("store") or self._option("path")
+
     @property
     def kind(self) -> str:
         kind = self._option("kind", "cells").lower()
@@ -121,12 +128,12 @@ class GridframeSource(DataSource):
         return kind
 
     def listing(self) -> Listing:
-        return discover(self._option("path"), self._option("version"), f"zarr_{self.kind}")
+        return discover(self.store, self._option("version"), f"zarr_{self.kind}")
 
     def cells(self) -> scan.CellScan:
-        if self._option("path") is None or self._option("array") is None:
+        if self.store is None or self._option("array") is None:
             raise StoreError("zarr_cells requires a non-NULL store path and array path")
-        return scan.cell_scan(self.listing(), self._option("array"), self._option("columns"), self._option("dim_ranges"))
+        return scan.cell_scan(self.listing(), self._option("array"), self._option("columns"), self._option("dim_ranges"), self._option("boxes"))
 
     def schema(self) -> T.StructType:
         if self.kind != "cells":
@@ -137,8 +144,7 @@ class GridframeSource(DataSource):
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         parts = int(self._option("partitions", "0"))
-        pushed = self.pushed if self._option("pushdown", "false").lower() == "true" else None
-        return CellsReader(self.cells(), parts, pushed) if self.kind == "cells" else MetadataReader(self.kind, self.listing(), parts)
+        return CellsReader(self.cells(), parts, self.pushed) if self.kind == "cells" else MetadataReader(self.kind, self.listing(), parts)
 
 
 class MetadataReader(DataSourceReader):
@@ -181,19 +187,17 @@ class CellsReader(DataSourceReader):
         self.cells, self.parts, self.pushed = cells, parts, pushed
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
-        selection = self.cells.selection
+        region = self.cells.region
         for f in filters:
             negated = isinstance(f, Not) and isinstance(f.child, EqualTo)
             test = f.child if negated else f
             op = "ne" if negated else _OPS.get(type(test))
             name = test.attribute[0] if op and len(test.attribute) == 1 else ""
             if name.startswith("dim_"):
-                selection = selection.filtered(int(name[4:]), op, getattr(test, "value", None))
+                region = region.filtered(int(name[4:]), op, getattr(test, "value", None))
             yield f
-        if self.pushed is None:
-            return
-        selection = self.pushed.joined(selection)
-        self.cells = scan.CellScan(self.cells.root, self.cells.array, selection, self.cells.columns)
+        if self.pushed is not None:
+            self.cells = replace(self.cells, region=self.pushed.joined(region.simple()))
 
     def partitions(self) -> list[Run]:
         array, n = self.cells.array, len(self.cells.parts)

@@ -6,6 +6,7 @@ import json
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,8 @@ from pyspark.sql import types as T
 from gridframe.functions import dtypes
 from gridframe.plans import layout
 from gridframe.plans.metadata import Array, StoreError
-from gridframe.plans.pruning import ChunkSet, Selection
+from gridframe.plans.pruning import Selection
+from gridframe.plans.regions import ChunkUnion, Region
 from gridframe.sources import codecs
 from gridframe.sources.discovery import Listing
 from gridframe.sources.stores import Store, open_store
@@ -85,12 +87,12 @@ class CellScan:
 
     root: str
     array: Array
-    selection: Selection
+    region: Region
     columns: tuple[str, ...]
 
-    @property
-    def parts(self) -> ChunkSet:
-        return ChunkSet(self.selection.chunk_ranges(self.array.chunks))
+    @cached_property
+    def parts(self) -> ChunkUnion:
+        return self.region.chunks(self.array.chunks)
 
     def check(self) -> None:
         """Raises what can be told from metadata alone."""
@@ -116,10 +118,7 @@ class CellScan:
             return
         inner = array.sharding.inner
         shard = codecs.Shard(blob, f"{self.root}/{path}", array.sharding, array.chunks)
-        within = self.selection
-        for dim, (at, size) in enumerate(zip(origin, array.chunks, strict=True)):
-            within = within.narrowed(dim, [(at, at + size - 1)])
-        chosen = ChunkSet(within.chunk_ranges(inner))
+        chosen = self.region.inside(origin, array.chunks).chunks(inner)
         for k in range(len(chosen)):
             at = chosen.coords(k)
             raw = shard.inner(tuple(a - o // i for a, o, i in zip(at, origin, inner, strict=True)))
@@ -133,12 +132,13 @@ class CellScan:
             if array.fill is None:
                 return
             values = np.broadcast_to(dtypes.fill_of(array.fill, kind, array.path), shape)
-        axes = []
-        for dim, (at, size, n) in enumerate(zip(origin, shape, array.shape, strict=True)):
-            left = self.selection.within(dim, at, min(size, n - at))
-            values = values[(slice(None),) * dim + (left,)]
-            axes.append(np.arange(at, at + size)[left])
-        yield from self._batches(values, axes, kind)
+        for selection in self.region.parts(origin, shape):
+            chosen, axes = values, []
+            for dim, (at, size, n) in enumerate(zip(origin, shape, array.shape, strict=True)):
+                left = selection.within(dim, at, min(size, n - at))
+                chosen = chosen[(slice(None),) * dim + (left,)]
+                axes.append(np.arange(at, at + size)[left])
+            yield from self._batches(chosen, axes, kind)
 
     def _batches(self, values: np.ndarray, axes: list[np.ndarray], kind: dtypes.ValueType) -> Iterator[pa.RecordBatch]:
         if values.size > BATCH:
@@ -162,18 +162,30 @@ class CellScan:
         yield pa.RecordBatch.from_arrays(out, schema=pa.schema(fields))
 
 
-def cell_scan(listing: Listing, array_path: str, columns: str | None = None, dim_ranges: str | None = None) -> CellScan:
-    """columns: names with commas. dim_ranges: JSON like {"0": [[2, 5], [8, 8]]}, closed ranges of coordinates."""
+def boxes_text(region: Region) -> str:
+    return json.dumps([b.intervals for b in region.boxes])
+
+
+def boxes_of(shape: tuple[int, ...], text: str) -> Region:
+    return Region(shape, tuple(Selection(shape, tuple(tuple((a, b) for a, b in spans) for spans in box)) for box in json.loads(text)))
+
+
+def region_of(array: Array, dim_ranges: str | None = None, boxes: str | None = None) -> Region:
+    region = boxes_of(array.shape, boxes) if boxes else Region.whole(array.shape)
+    for dim, ranges in json.loads(dim_ranges or "{}").items():
+        if not 0 <= int(str(dim).removeprefix("dim_")) < len(array.shape):
+            raise StoreError(f"array {array.path} has no dimension {dim}")
+        region = region.narrowed(int(str(dim).removeprefix("dim_")), [(int(a), int(b)) for a, b in ranges])
+    return region
+
+
+def cell_scan(listing: Listing, array_path: str, columns: str | None = None, dim_ranges: str | None = None, boxes: str | None = None) -> CellScan:
+    """columns: names with commas. dim_ranges: JSON like {"0": [[2, 5], [8, 8]]}, closed ranges of coordinates. boxes: a region, as `boxes_text` gives it."""
     array = listing.array(array_path)
     names = cells_schema(array).names
     wanted = tuple(c.strip() for c in columns.split(",")) if columns else tuple(names)
     if unknown := [c for c in wanted if c not in names]:
         raise StoreError(f"unknown columns of {array_path}: {', '.join(unknown)}")
-    selection = Selection.whole(array.shape)
-    for dim, ranges in json.loads(dim_ranges or "{}").items():
-        if not 0 <= int(str(dim).removeprefix("dim_")) < len(array.shape):
-            raise StoreError(f"array {array_path} has no dimension {dim}")
-        selection = selection.narrowed(int(str(dim).removeprefix("dim_")), [(int(a), int(b)) for a, b in ranges])
-    scan = CellScan(listing.path, array, selection, wanted)
+    scan = CellScan(listing.path, array, region_of(array, dim_ranges, boxes), wanted)
     scan.check()
     return scan
