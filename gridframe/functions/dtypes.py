@@ -54,16 +54,16 @@ class ValueType:
 def parse(text: str) -> ValueType:
     """The type of a string like `<f8`; raises ValueError for others."""
     if len(text) < 3 or not text[2:].isdigit() or int(text[2:]) <= 0:
-        raise ValueError(f"Unsupported Zarr dtype: {text}")
+        raise ValueError(f"values of type {text!r} can't be read")
     mark, kind, width = text[0], text[1], int(text[2:])
     if mark not in "<>=|":
-        raise ValueError(f"Unsupported Zarr dtype byte order marker in dtype: {text}")
+        raise ValueError(f"type {text!r} begins with none of the byte orders < > = |")
     if mark == "|" and width != 1:
-        raise ValueError(f"Endian-agnostic dtype is only supported for single-byte values: {text}")
+        raise ValueError(f"type {text!r} has several bytes and no byte order")
     if kind not in _KINDS:
-        raise ValueError(f"Unsupported Zarr dtype: {text}")
+        raise ValueError(f"values of type {text!r} can't be read")
     if f"{kind}{width}" not in _TYPES:
-        raise ValueError(f"Unsupported {_KINDS[kind]} dtype: {text}")
+        raise ValueError(f"{_KINDS[kind]} values of type {text!r} can't be read")
     return ValueType(text, np.dtype(text if kind != "b" else "u1"), *_TYPES[f"{kind}{width}"])
 
 
@@ -78,23 +78,23 @@ def fill_of(value: object, kind: ValueType, array: str) -> np.ndarray:
     whole = isinstance(value, int) and not isinstance(value, bool)
     if kind.text[1] == "b":
         if not isinstance(value, bool) and not whole:
-            raise ValueError(f"Unsupported boolean fill_value for array: {array}")
+            raise ValueError(f"array {array} has booleans, but fill_value {value!r}")
         return np.array(bool(value), "u1")
     if kind.kind == "f":
         named = {"NaN": math.nan, "Infinity": math.inf, "-Infinity": -math.inf}
         if isinstance(value, str) and value in named:
             value = named[value]
         elif not whole and not isinstance(value, float):
-            raise ValueError(f"Unsupported floating-point fill_value for array: {array}")
+            raise ValueError(f"array {array} has floating-point values, but fill_value {value!r}")
         return np.array(value, kind.stored)
     sign = "signed" if kind.kind == "i" else "unsigned"
     if not whole:
-        raise ValueError(f"Unsupported {sign} integer fill_value for array: {array}")
+        raise ValueError(f"array {array} has {sign} integers, but fill_value {value!r}")
     if kind.kind == "u" and value < 0:
-        raise ValueError(f"Unsigned integer fill_value cannot be negative for array: {array}")
+        raise ValueError(f"array {array} has unsigned integers, but fill_value {value}")
     limits = np.iinfo(kind.stored)
     if not limits.min <= value <= limits.max:
-        raise ValueError(f"Unsupported {sign} integer fill_value for array: {array}")
+        raise ValueError(f"fill_value {value} of array {array} is beyond its {sign} integers")
     return np.array(value, kind.stored)
 
 

@@ -41,7 +41,7 @@ def _rows(name: str, path: str | None, array: str | None, version: str | None) -
 def _schema(name: str, path: str | None, array: str | None, version: str | None) -> T.StructType:
     fixed = {"zarr_groups": scan.GROUPS, "zarr_arrays": scan.ARRAYS, "zarr_chunks": scan.CHUNKS}
     if path is None:
-        raise StoreError(f"{name} requires a non-NULL store path")
+        raise StoreError(f"{name} needs the path of a store, not NULL")
     version_of(version, name)
     if name in fixed:
         return fixed[name]
@@ -67,7 +67,7 @@ def table_function(name: str, cells: bool) -> type:
             if not 1 <= len(values) <= (3 if cells else 2) or (cells and len(values) < 2 and not alone):
                 raise StoreError(f"{name} takes {'path, array and an optional version' if cells else 'path and an optional version'}")
             if cells and not alone and None in values[:2]:
-                raise StoreError("zarr_cells requires a non-NULL store path and array path")
+                raise StoreError("zarr_cells needs the paths of a store and of an array, neither NULL")
             return AnalyzeResult(_schema(name, *_split(values)))
 
         def eval(self, *args: str | None) -> Iterator[tuple]:
@@ -90,7 +90,7 @@ class Runs:
 
     def eval(self, path: str | None, array: str | None, n: int, ranges: str | None = None, version: str | None = None) -> Iterator[tuple]:
         if path is None or array is None:
-            raise StoreError("zarr_cells requires a non-NULL store path and array path")
+            raise StoreError("zarr_cells needs the paths of a store and of an array, neither NULL")
         cells = scan.cell_scan(discover(path, version, "zarr_cells"), array, None, ranges)
         files = len(cells.parts)
         parts = max(1, min(n, files))

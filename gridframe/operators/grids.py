@@ -49,7 +49,7 @@ def over_runs(spark: SparkSession, n: int, read: Callable[[int, int], Batches],
 
 def _scan(path: str | None, array: str | None, version: str | None = None) -> scan.CellScan:
     if path is None or array is None:
-        raise StoreError("zarr_cells requires a non-NULL store path and array path")
+        raise StoreError("zarr_cells needs the paths of a store and of an array, neither NULL")
     return scan.cell_scan(discover(path, version, "zarr_cells"), array)
 
 

@@ -59,7 +59,7 @@ def _tasks(spark: SparkSession) -> int:
 
 def _load(spark: SparkSession, kind: str, path: str | None, version: str | None, **options: str | None) -> DataFrame:
     if path is None:
-        raise StoreError(f"zarr_{kind} requires a non-NULL store path")
+        raise StoreError(f"zarr_{kind} needs the path of a store, not NULL")
     version_of(version, f"zarr_{kind}")
     register(spark)
     known = {k: v for k, v in (options | {"version": version}).items() if v is not None}
@@ -99,7 +99,7 @@ def zarr_cells(
     DataFrame, whatever filters follow; filters that follow prune a DataFrame without `where`.
     """
     if path is None or array is None:
-        raise StoreError("zarr_cells requires a non-NULL store path and array path")
+        raise StoreError("zarr_cells needs the paths of a store and of an array, neither NULL")
     ranges = json.dumps({str(k): [list(r) for r in v] for k, v in dim_ranges.items()}) if dim_ranges else None
     if where is None:
         cells = _load(spark, "cells", path, version, array=array, columns=",".join(columns) if columns else None, dim_ranges=ranges, pushed=_pushed_folder())
@@ -124,7 +124,7 @@ def cells_view(spark: SparkSession, name: str, path: str, array: str, version: s
     statement's filters leave is no other's concern. `drop_view` removes both.
     """
     if path is None or array is None:
-        raise StoreError("zarr_cells requires a non-NULL store path and array path")
+        raise StoreError("zarr_cells needs the paths of a store and of an array, neither NULL")
     cells = scan.cell_scan(discover(path, version, "zarr_cells"), array, ",".join(columns) if columns else None)
     register(spark)
     known = {"kind": "cells", "store": path, "array": array, "columns": ",".join(cells.columns), "version": version, "partitions": str(_tasks(spark)), "pushed": _pushed_folder()}
@@ -155,6 +155,6 @@ def cells_function(spark: SparkSession, name: str, path: str, array: str, versio
     from gridframe.functions import udtf
 
     if path is None or array is None:
-        raise StoreError("zarr_cells requires a non-NULL store path and array path")
+        raise StoreError("zarr_cells needs the paths of a store and of an array, neither NULL")
     register(spark)
     udtf.cells_function(spark, name, path, array, version, columns)

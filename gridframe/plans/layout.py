@@ -71,5 +71,5 @@ def checked_size(shape: Coords, width: int) -> int:
     """Bytes of an uncompressed chunk, within what a signed 64-bit number holds."""
     size = math.prod(shape) * width
     if size > 2**63 - 1:
-        raise ValueError("Zarr chunk byte size overflow")
+        raise ValueError(f"a chunk of {shape} values has more bytes than can be counted")
     return size

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
 from gridframe.plans.metadata import Array, Compression, Sharding, StoreError
-from gridframe.sources.stores import Blob
+from gridframe.sources.stores import Blob, Store
 
 try:
     import zstandard
@@ -30,9 +31,9 @@ def _unzstd(data: bytes, size: int) -> bytes:
 
             out = pa.decompress(data, decompressed_size=size, codec="zstd", asbytes=True)
     except Exception:
-        raise StoreError("Failed to decompress Zstd payload inside Blosc chunk") from None
+        raise StoreError("a Zstandard stream of a Blosc chunk is damaged") from None
     if len(out) != size:
-        raise StoreError(f"Unexpected Zstd decompressed size: expected {size} bytes, got {len(out)} bytes")
+        raise StoreError(f"a Zstandard stream of a Blosc chunk has {len(out)} bytes instead of {size}")
     return out
 
 
@@ -63,35 +64,35 @@ def bit_shuffle(data: bytes) -> bytes:
 
 def unblosc(data: bytes, size: int, c: Compression) -> bytes:
     if len(data) < 20:
-        raise StoreError("Blosc chunk is too small")
+        raise StoreError(f"{len(data)} bytes are no Blosc chunk")
     if c.typesize is None or c.typesize < 1:
-        raise StoreError("Blosc codec metadata is missing integer typesize")
+        raise StoreError("the metadata of Blosc lacks a typesize")
     if c.cname != "zstd":
-        raise StoreError("Only Blosc with cname=zstd is currently supported")
+        raise StoreError(f"of Blosc's compressors only zstd can be decoded, not {c.cname!r}")
     flags = data[2]
     nbytes, blocksize, cbytes = struct.unpack_from("<III", data, 4)
     if nbytes != size:
-        raise StoreError(f"Blosc chunk size mismatch: expected {size} bytes, got {nbytes} bytes")
+        raise StoreError(f"a Blosc chunk holds {nbytes} bytes instead of {size}")
     if cbytes != len(data):
-        raise StoreError("Unexpected Blosc compressed byte count")
+        raise StoreError(f"a Blosc chunk of {len(data)} bytes says that it has {cbytes}")
     if flags & MEMCPY:
         if len(data) != 16 + size:
-            raise StoreError("Unexpected Blosc compressed byte count")
+            raise StoreError(f"a Blosc chunk that is stored as it is has {len(data) - 16} bytes instead of {size}")
         return data[16:]
     if c.shuffle == "bitshuffle" and c.typesize != 1:
-        raise StoreError("Blosc bitshuffle is currently only supported for typesize=1")
+        raise StoreError(f"Blosc's bitshuffle of {c.typesize} bytes can't be undone")
     n_blocks = -(-nbytes // blocksize) if blocksize else 0
     if nbytes and (not blocksize or 16 + 4 * n_blocks > len(data)):
-        raise StoreError("Blosc chunk is missing the block offsets table")
+        raise StoreError("a Blosc chunk ends before its blocks")
     out = []
     for k, at in enumerate(struct.unpack_from(f"<{n_blocks}I", data, 16)):
         wanted, parts, got = min(blocksize, nbytes - k * blocksize), [], 0
         while got < wanted:
             if at + 4 > len(data):
-                raise StoreError("Invalid Blosc block offset")
+                raise StoreError(f"a Blosc block would begin at {at}, beyond its chunk")
             (n,) = struct.unpack_from("<I", data, at)
             if not n or at + 4 + n > len(data):
-                raise StoreError("Invalid Blosc block payload length")
+                raise StoreError(f"a Blosc block at {at} can't be {n} bytes long")
             payload = data[at + 4 : at + 4 + n]
             if payload[:4] == _ZSTD:
                 # A block is one stream, or one of each byte of an element.
@@ -119,19 +120,19 @@ def _frame_size(data: bytes) -> int:
 def decompressed(data: bytes, size: int, c: Compression) -> bytes:
     if c.name == "":
         if len(data) != size:
-            raise StoreError(f"Uncompressed Zarr chunk size mismatch: expected {size} bytes, got {len(data)} bytes")
+            raise StoreError(f"a chunk without compression has {len(data)} bytes instead of {size}")
         return data
     if c.name == "gzip":
         try:
             out = zlib.decompress(data, wbits=31)
         except zlib.error as e:
-            raise StoreError(f"Failed to decompress a gzip chunk: {e}") from None
+            raise StoreError(f"a gzip chunk is damaged: {e}") from None
         if len(out) != size:
-            raise StoreError(f"Unexpected gzip decompressed size: expected {size} bytes, got {len(out)} bytes")
+            raise StoreError(f"a gzip chunk holds {len(out)} bytes instead of {size}")
         return out
     if c.name == "blosc":
         return unblosc(data, size, c)
-    raise StoreError(f"Unsupported Zarr compressor for zarr_cells: {c.name}")
+    raise StoreError(f"chunks of compressor {c.name} can't be decoded")
 
 
 def decoded(data: bytes, dtype: np.dtype, shape: tuple[int, ...], order: str, c: Compression) -> np.ndarray:
@@ -139,26 +140,62 @@ def decoded(data: bytes, dtype: np.dtype, shape: tuple[int, ...], order: str, c:
     return np.frombuffer(decompressed(data, size, c), dtype).reshape(shape, order=order)
 
 
+#: Inner chunks with at most so many bytes between them are read at once, in spans of so many bytes at most.
+GAP, SPAN = 64 << 10, 8 << 20
+
+
 class Shard:
     """A chunk file of inner chunks; its index is read once, and of the rest only what is asked for."""
 
-    def __init__(self, blob: Blob, where: str, sharding: Sharding, outer: tuple[int, ...]) -> None:
-        self.blob, self.where = blob, where
-        self.grid = tuple(o // i for o, i in zip(outer, sharding.inner, strict=True))
-        n = int(np.prod(self.grid, dtype=np.int64))
-        length = 16 * n + 4 * sharding.index_crc
-        if blob.size < length:
-            raise StoreError(f"Shard file is smaller than its sharding index: {where}")
-        self.index = np.frombuffer(blob.read(0 if sharding.index_at_start else blob.size - length, length), "<u8", 2 * n).reshape(n, 2)
-
-    def inner(self, coords: tuple[int, ...]) -> bytes | None:
-        """An inner chunk's bytes; None if it is marked as empty."""
+    def __init__(self, blob: Blob, raw: bytes, where: str, grid: tuple[int, ...], length: int) -> None:
+        if len(raw) < length:
+            raise StoreError(f"The file of {where} is shorter ({blob.size} bytes) than the index of its inner chunks ({length} bytes)")
+        self.blob, self.where, self.grid = blob, where, grid
+        n = int(np.prod(grid, dtype=np.int64))
+        self.index = np.frombuffer(raw, "<u8", 2 * n).reshape(n, 2)
+
+    @classmethod
+    def open(cls, store: Store, path: str, where: str, sharding: Sharding, outer: tuple[int, ...]) -> Shard | None:
+        """The shard, by one read for its index; None where there is no file."""
+        grid = tuple(o // i for o, i in zip(outer, sharding.inner, strict=True))
+        length = 16 * int(np.prod(grid, dtype=np.int64)) + 4 * sharding.index_crc
+        found = store.edge(path, length, sharding.index_at_start)
+        return None if found is None else cls(found[1], found[0], where, grid, length)
+
+    def _entry(self, coords: tuple[int, ...]) -> tuple[int, int] | None:
         offset, length = map(int, self.index[np.ravel_multi_index(coords, self.grid) if coords else 0])
         if offset == length == _EMPTY:
             return None
         if offset + length > self.blob.size:
-            raise StoreError(f"Invalid sharding index offset/length for {self.where}")
-        return self.blob.read(offset, length)
+            raise StoreError(f"The index of {self.where} names bytes {offset} to {offset + length}, but the file has {self.blob.size}")
+        return offset, length
+
+    def inner(self, coords: tuple[int, ...]) -> bytes | None:
+        """An inner chunk's bytes; None if it is marked as empty."""
+        entry = self._entry(coords)
+        return None if entry is None else self.blob.read(*entry)
+
+    def inners(self, wanted: Iterable[tuple[int, ...]]) -> Iterator[tuple[tuple[int, ...], bytes | None]]:
+        """Inner chunks with their bytes, first the empty ones, then in the file's order: neighbours in the file are one read."""
+        stored = []
+        for coords in wanted:
+            entry = self._entry(coords)
+            if entry is None:
+                yield coords, None
+            else:
+                stored.append((*entry, coords))
+        stored.sort()
+        at = 0
+        while at < len(stored):
+            first = end = stored[at][0]
+            stop = at
+            while stop < len(stored) and (stop == at or (stored[stop][0] <= end + GAP and max(end, sum(stored[stop][:2])) - first <= SPAN)):
+                end = max(end, sum(stored[stop][:2]))
+                stop += 1
+            data = self.blob.read(first, end - first)
+            for offset, length, coords in stored[at:stop]:
+                yield coords, data[offset - first : offset - first + length]
+            at = stop
 
 
 # What follows writes chunks, for fixtures and queries.

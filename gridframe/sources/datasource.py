@@ -132,7 +132,7 @@ class GridframeSource(DataSource):
 
     def cells(self) -> scan.CellScan:
         if self.store is None or self._option("array") is None:
-            raise StoreError("zarr_cells requires a non-NULL store path and array path")
+            raise StoreError("zarr_cells needs the paths of a store and of an array, neither NULL")
         return scan.cell_scan(self.listing(), self._option("array"), self._option("columns"), self._option("dim_ranges"), self._option("boxes"))
 
     def schema(self) -> T.StructType:
@@ -156,7 +156,7 @@ class MetadataReader(DataSourceReader):
             return [Run(None, 0, 0)]
         store, out = open_store(self.listing.path), []
         for k, a in enumerate(self.listing.arrays):
-            if not store.lists:
+            if not store.pages:
                 n = math.prod(layout.counts(a.shape, a.chunks))
                 out += runs(k, n, -(-n // PARTITION_FILES))
                 continue

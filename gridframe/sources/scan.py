@@ -66,7 +66,7 @@ def listed_chunks(root: str, array: Array, folders: tuple[str, ...] | None = Non
 
 
 def all_chunks(root: str, array: Array) -> list[tuple] | Iterator[tuple]:
-    if open_store(root).lists:
+    if open_store(root).pages:
         return listed_chunks(root, array)
     return chunk_rows(root, array, 0, math.prod(layout.counts(array.shape, array.chunks)))
 
@@ -111,19 +111,22 @@ class CellScan:
         array, kind = self.array, dtypes.parse(self.array.dtype)
         path = layout.chunk_path(array, coords)
         origin = tuple(k * c for k, c in zip(coords, array.chunks, strict=True))
-        blob = store.open(path)
-        if array.sharding is None or blob is None:
-            values = None if blob is None else codecs.decoded(blob.whole(), kind.stored, array.chunks, array.order, array.compression)
+        if array.sharding is None:
+            raw = store.get(path)
+            values = None if raw is None else codecs.decoded(raw, kind.stored, array.chunks, array.order, array.compression)
             yield from self._cells(values, origin, array.chunks)
             return
+        shard = codecs.Shard.open(store, path, f"{self.root}/{path}", array.sharding, array.chunks)
+        if shard is None:
+            yield from self._cells(None, origin, array.chunks)
+            return
         inner = array.sharding.inner
-        shard = codecs.Shard(blob, f"{self.root}/{path}", array.sharding, array.chunks)
         chosen = self.region.inside(origin, array.chunks).chunks(inner)
-        for k in range(len(chosen)):
-            at = chosen.coords(k)
-            raw = shard.inner(tuple(a - o // i for a, o, i in zip(at, origin, inner, strict=True)))
+        first = tuple(o // i for o, i in zip(origin, inner, strict=True))
+        within = (tuple(a - f for a, f in zip(chosen.coords(k), first, strict=True)) for k in range(len(chosen)))
+        for at, raw in shard.inners(within):
             values = None if raw is None else codecs.decoded(raw, kind.stored, inner, "C", array.sharding.compression)
-            yield from self._cells(values, tuple(a * i for a, i in zip(at, inner, strict=True)), inner)
+            yield from self._cells(values, tuple((a + f) * i for a, f, i in zip(at, first, inner, strict=True)), inner)
 
     def _cells(self, values: np.ndarray | None, origin: tuple[int, ...], shape: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
         """The selected cells of one chunk; of a missing one the fill value, or nothing."""

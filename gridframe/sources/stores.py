@@ -5,8 +5,10 @@ from __future__ import annotations
 import contextlib
 import http.client
 import os
+import threading
 import time
 import urllib.error
+import urllib.parse
 import urllib.request
 import uuid
 from collections.abc import Callable, Iterator
@@ -25,11 +27,30 @@ class Blob:
     def whole(self) -> bytes:
         return self.read(0, self.size)
 
+    def edge(self, length: int, at_start: bool) -> bytes:
+        """The first or last bytes of the file, fewer where it is shorter."""
+        length = min(length, self.size)
+        return self.read(0 if at_start else self.size - length, length)
 
-class LocalStore:
+
+class _Opening:
+    """Ways of reading that every store has; one whose requests are dear does better."""
+
+    def get(self, path: str) -> bytes | None:
+        """A whole file; None for an absent one."""
+        blob = self.open(path)
+        return None if blob is None else blob.whole()
+
+    def edge(self, path: str, length: int, at_start: bool) -> tuple[bytes, Blob] | None:
+        """The file's first or last bytes, and the file."""
+        blob = self.open(path)
+        return None if blob is None else (blob.edge(length, at_start), blob)
+
+
+class LocalStore(_Opening):
     """A folder of this machine, or one that all machines mount."""
 
-    lists = True
+    lists = pages = True
 
     def __init__(self, root: str) -> None:
         self.root = root
@@ -83,48 +104,88 @@ _BUSY = (408, 425, 429, 500, 502, 503, 504)
 TRIES, PAUSE = 5, 0.5
 
 
-class HttpStore:
+_MOVED, _HOPS = (301, 302, 303, 307, 308), 5
+
+
+class HttpStore(_Opening):
     """Files below a URL. Folders can't be listed.
 
-    Only 404 and 410 mean that a file is absent. A server that forbids a file raises:
-    taking it for absent would turn chunks into fill values. Busy servers and broken
-    connections are tried again, as often as `TRIES` says.
+    A task keeps its connection to the server. A whole file, or the part of a file that says
+    where the rest lies, is one request: nobody asks first whether there is one. Only 404 and 410
+    mean that a file is absent. A server that forbids a file raises: taking it for absent would
+    turn chunks into fill values. Busy servers and broken connections are tried again, as often
+    as `TRIES` says. Where the machine names a proxy, each request has a connection of its own.
     """
 
-    lists = False
+    lists = pages = False
 
     def __init__(self, root: str) -> None:
         self.root = root
+        self._kept = threading.local()
 
-    def _ask(self, path: str, method: str = "GET", headers: dict | None = None) -> tuple[bytes, dict] | None:
-        """The body and the headers; None for an absent file."""
-        request = urllib.request.Request(f"{self.root}/{path}", method=method, headers=headers or {})
-        for k in range(TRIES):
+    def __getstate__(self) -> dict:
+        return {"root": self.root}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__init__(state["root"])
+
+    def _once(self, url: str, method: str, headers: dict) -> tuple[int, bytes, dict]:
+        """One answer: status, body and headers by lower-case name."""
+        parts = urllib.parse.urlsplit(url)
+        if parts.scheme in urllib.request.getproxies():
             try:
-                with urllib.request.urlopen(request, timeout=60) as answer:
-                    return answer.read(), dict(answer.headers)
+                with urllib.request.urlopen(urllib.request.Request(url, method=method, headers=headers), timeout=60) as answer:
+                    return answer.status, answer.read(), {k.lower(): v for k, v in answer.headers.items()}
             except urllib.error.HTTPError as e:
-                if e.code in (404, 410):
-                    return None
-                if e.code in (401, 403):
-                    raise StoreError(f"No access to {self.root}/{path}: HTTP status {e.code}") from None
-                if e.code not in _BUSY or k == TRIES - 1:
-                    raise StoreError(f"Failed to read {self.root}/{path}: HTTP status {e.code}") from None
+                return e.code, b"", {}
+        place = (parts.scheme, parts.netloc)
+        if getattr(self._kept, "place", None) != place:
+            kind = http.client.HTTPSConnection if parts.scheme == "https" else http.client.HTTPConnection
+            self._kept.place, self._kept.connection = place, kind(parts.netloc, timeout=60)
+        connection = self._kept.connection
+        try:
+            connection.request(method, parts.path + (f"?{parts.query}" if parts.query else ""), headers=headers)
+            answer = connection.getresponse()
+            return answer.status, answer.read(), {k.lower(): v for k, v in answer.getheaders()}
+        except (http.client.HTTPException, OSError):
+            connection.close()
+            raise
+
+    def _ask(self, path: str, method: str = "GET", headers: dict | None = None) -> tuple[int, bytes, dict] | None:
+        """The status, the body and the headers; None for an absent file."""
+        url, tries, hops = urllib.parse.quote(f"{self.root}/{path}", safe="%/:=&?~#+!$,;'@()*[]"), 0, 0
+        while True:
+            try:
+                status, body, answered = self._once(url, method, headers or {})
             except (urllib.error.URLError, http.client.HTTPException, OSError) as e:
-                if k == TRIES - 1:
+                tries += 1
+                if tries == TRIES:
                     raise StoreError(f"Failed to read {self.root}/{path}: {e}") from None
-            time.sleep(PAUSE * 2**k)
-        raise AssertionError("unreachable")
+                time.sleep(PAUSE * 2 ** (tries - 1))
+                continue
+            if status in (200, 206, 416):
+                return status, body, answered
+            if status in _MOVED and hops < _HOPS and answered.get("location"):
+                url, hops = urllib.parse.urljoin(url, answered["location"]), hops + 1
+                continue
+            if status in (404, 410):
+                return None
+            if status in (401, 403):
+                raise StoreError(f"No access to {self.root}/{path}: HTTP status {status}")
+            tries += 1
+            if status not in _BUSY or tries == TRIES:
+                raise StoreError(f"Failed to read {self.root}/{path}: HTTP status {status}")
+            time.sleep(PAUSE * 2 ** (tries - 1))
 
     def size(self, path: str) -> int | None:
         answer = self._ask(path, "HEAD")
-        return None if answer is None else int({k.lower(): v for k, v in answer[1].items()}.get("content-length") or 0)
+        return None if answer is None else int(answer[2].get("content-length") or 0)
 
-    def open(self, path: str) -> Blob | None:
-        n = self.size(path)
-        if n is None:
-            return None
+    def get(self, path: str) -> bytes | None:
+        answer = self._ask(path)
+        return None if answer is None else answer[1]
 
+    def _blob(self, path: str, n: int) -> Blob:
         def read(offset: int, length: int) -> bytes:
             if not length:
                 return b""
@@ -132,18 +193,40 @@ class HttpStore:
             answer = self._ask(path, headers=headers)
             if answer is None:
                 raise StoreError(f"{self.root}/{path} has gone while it was read")
-            data = answer[0]
             # A server that knows no ranges sends the whole file.
-            return data[offset : offset + length] if len(data) > length else data
+            return answer[1] if answer[0] == 206 else answer[1][offset : offset + length]
 
         return Blob(n, read)
 
+    def open(self, path: str) -> Blob | None:
+        n = self.size(path)
+        return None if n is None else self._blob(path, n)
+
+    def edge(self, path: str, length: int, at_start: bool) -> tuple[bytes, Blob] | None:
+        answer = self._ask(path, headers={"Range": f"bytes=0-{length - 1}" if at_start else f"bytes=-{length}"})
+        if answer is None:
+            return None
+        status, body, headers = answer
+        if status == 206:
+            total = headers.get("content-range", "").rpartition("/")[2]
+            return body, self._blob(path, int(total)) if total.isdigit() else self.open(path)
+        if status == 416:
+            return b"", Blob(0, lambda offset, n: b"")
+        whole = Blob(len(body), lambda offset, n: body[offset : offset + n])
+        return whole.edge(length, at_start), whole
+
     def folders(self, path: str) -> list[str]:
         raise StoreError("folders can't be listed over HTTP")
 
 
-class ArrowStore:
-    """A folder of a file system that pyarrow reaches."""
+class ArrowStore(_Opening):
+    """A folder of a file system that pyarrow reaches.
+
+    lists: whether groups and arrays are found by walking its folders. Chunk files are listed in any
+    case: an object store gives them by prefix and page by page, in proportion to the files.
+    """
+
+    pages = True
 
     def __init__(self, uri: str, lists: bool) -> None:
         self.uri, self.lists = uri, lists
@@ -156,7 +239,7 @@ class ArrowStore:
             try:
                 self._connected = fs.FileSystem.from_uri(self.uri)
             except Exception as e:
-                raise StoreError(f"Remote Zarr access requires a file system that pyarrow can open: {self.uri} ({e})") from None
+                raise StoreError(f"pyarrow can't open the file system of {self.uri}: {e}") from None
         return self._connected
 
     def __getstate__(self) -> dict:
@@ -171,11 +254,18 @@ class ArrowStore:
         return info.size if info.is_file else None
 
     def open(self, path: str) -> Blob | None:
-        info = self._info(path)
-        if not info.is_file:
+        files, root = self._fs()
+        try:
+            raw = files.open_input_file(f"{root}/{path}" if path else root)
+            size = raw.size()
+        except (FileNotFoundError, IsADirectoryError, NotADirectoryError):
+            return None
+        except OSError:
+            # Some file systems say of a folder only that it can't be opened.
+            if self._info(path).is_file:
+                raise
             return None
-        raw = self._fs()[0].open_input_file(info.path)
-        return Blob(info.size, lambda offset, length: raw.read_at(length, offset))
+        return Blob(size, lambda offset, length: raw.read_at(length, offset))
 
     def write(self, path: str, data: bytes) -> None:
         files, root = self._fs()

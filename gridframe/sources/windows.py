@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 from collections import OrderedDict
+from collections.abc import Iterator
 
 import numpy as np
 
@@ -36,30 +37,56 @@ class WindowReader:
             self.decoded.move_to_end(coords)
             return self.decoded[coords]
         values = self._decode(coords)
+        self._keep(coords, values)
+        return values
+
+    def _keep(self, coords: tuple[int, ...], values: np.ndarray | None) -> None:
         self.decoded[coords] = values
         room = max(1, CACHE_BYTES // max(1, math.prod(self.shape) * self.kind.stored.itemsize))
         while len(self.decoded) > room:
             self.decoded.popitem(last=False)
-        return values
+
+    def _shard(self, of: tuple[int, ...]) -> codecs.Shard | None:
+        if of not in self.shards:
+            path = layout.chunk_path(self.array, of)
+            self.shards[of] = codecs.Shard.open(self.store, path, f"{self.root}/{path}", self.array.sharding, self.array.chunks)
+            self.opened += 1
+            while len(self.shards) > CACHE_SHARDS:
+                self.shards.popitem(last=False)
+        return self.shards[of]
 
     def _decode(self, coords: tuple[int, ...]) -> np.ndarray | None:
         array = self.array
         if array.sharding is None:
-            blob = self.store.open(layout.chunk_path(array, coords))
+            raw = self.store.get(layout.chunk_path(array, coords))
             self.opened += 1
-            return None if blob is None else codecs.decoded(blob.whole(), self.kind.stored, array.chunks, array.order, array.compression)
+            return None if raw is None else codecs.decoded(raw, self.kind.stored, array.chunks, array.order, array.compression)
         per_shard = tuple(o // i for o, i in zip(array.chunks, self.shape, strict=True))
-        of = tuple(c // n for c, n in zip(coords, per_shard, strict=True))
-        if of not in self.shards:
-            path = layout.chunk_path(array, of)
-            blob = self.store.open(path)
-            self.opened += 1
-            self.shards[of] = None if blob is None else codecs.Shard(blob, f"{self.root}/{path}", array.sharding, array.chunks)
-            while len(self.shards) > CACHE_SHARDS:
-                self.shards.popitem(last=False)
-        shard = self.shards[of]
-        raw = None if shard is None else shard.inner(tuple(c % n for c, n in zip(coords, per_shard, strict=True)))
-        return None if raw is None else codecs.decoded(raw, self.kind.stored, self.shape, "C", array.sharding.compression)
+        shard = self._shard(tuple(c // n for c, n in zip(coords, per_shard, strict=True)))
+        return self._unpacked(None if shard is None else shard.inner(tuple(c % n for c, n in zip(coords, per_shard, strict=True))))
+
+    def _unpacked(self, raw: bytes | None) -> np.ndarray | None:
+        return None if raw is None else codecs.decoded(raw, self.kind.stored, self.shape, "C", self.array.sharding.compression)
+
+    def _chunks(self, wanted: list[tuple[int, ...]]) -> Iterator[tuple[tuple[int, ...], np.ndarray | None]]:
+        """Chunks with their values. Inner chunks that lie side by side in a shard are one read."""
+        if self.array.sharding is None:
+            yield from ((c, self.chunk(c)) for c in wanted)
+            return
+        per_shard = tuple(o // i for o, i in zip(self.array.chunks, self.shape, strict=True))
+        by_shard: dict[tuple[int, ...], list[tuple[int, ...]]] = {}
+        for c in wanted:
+            if c in self.decoded:
+                yield c, self.chunk(c)
+            else:
+                by_shard.setdefault(tuple(k // n for k, n in zip(c, per_shard, strict=True)), []).append(tuple(k % n for k, n in zip(c, per_shard, strict=True)))
+        for of, inner in by_shard.items():
+            shard = self._shard(of)
+            for c, raw in ((c, None) for c in inner) if shard is None else shard.inners(inner):
+                at = tuple(o * n + k for o, n, k in zip(of, per_shard, c, strict=True))
+                values = self._unpacked(raw)
+                self._keep(at, values)
+                yield at, values
 
     def read(self, origin: tuple[int, ...], size: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray | None]:
         """Values of a window, and which of them there are (None for all). The window may reach beyond the array."""
@@ -67,11 +94,11 @@ class WindowReader:
         high = [min(n, o + s) for n, o, s in zip(self.array.shape, origin, size, strict=True)]
         out, there = np.zeros(size, self.kind.stored), np.zeros(size, bool)
         if all(a < b for a, b in zip(low, high, strict=True)):
-            for coords in itertools.product(*(range(a // c, (b - 1) // c + 1) for a, b, c in zip(low, high, self.shape, strict=True))):
+            touched = itertools.product(*(range(a // c, (b - 1) // c + 1) for a, b, c in zip(low, high, self.shape, strict=True)))
+            for coords, values in self._chunks(list(touched)):
                 first = [max(a, k * c) for a, k, c in zip(low, coords, self.shape, strict=True)]
                 last = [min(b, k * c + c) for b, k, c in zip(high, coords, self.shape, strict=True)]
                 to = tuple(slice(a - o, b - o) for a, b, o in zip(first, last, origin, strict=True))
-                values = self.chunk(coords)
                 if values is not None:
                     out[to] = values[tuple(slice(a - k * c, b - k * c) for a, b, k, c in zip(first, last, coords, self.shape, strict=True))]
                 elif self.fill is not None:

@@ -93,7 +93,7 @@ def test_missing_chunks_and_empty_inner_chunks(tmp_path):
 def test_fill_values():
     f4, i1, u2, b1 = map(dtypes.parse, ("<f4", "|i1", "<u2", "|b1"))
     assert np.isnan(dtypes.fill_of("NaN", f4, "a")) and dtypes.fill_of(True, b1, "a") == 1 and dtypes.fill_of(-3, i1, "a") == -3
-    for value, kind, message in ((-1, u2, "cannot be negative"), (1.5, i1, "Unsupported signed integer fill_value"), ("x", f4, "Unsupported floating-point fill_value"), (None, b1, "Unsupported boolean fill_value")):
+    for value, kind, message in ((-1, u2, "unsigned integers, but fill_value -1"), (1.5, i1, "signed integers, but fill_value 1.5"), ("x", f4, "floating-point values, but fill_value"), (None, b1, "booleans, but fill_value None")):
         with pytest.raises(ValueError, match=message):
             dtypes.fill_of(value, kind, "a")
 
@@ -113,10 +113,10 @@ def test_blosc_variants():
     stored = struct.pack("<BBBBIII", 2, 1, codecs.MEMCPY, 4, len(raw), 128, 16 + len(raw)) + raw
     assert codecs.unblosc(stored, len(raw), c) == raw
     good = codecs.blosc(raw, c)
-    for bad, message in ((good[:10], "too small"), (good + b"x", "compressed byte count"), (good[:8] + bytes(4) + good[12:], "offsets table")):
+    for bad, message in ((good[:10], "no Blosc chunk"), (good + b"x", "says that it has"), (good[:8] + bytes(4) + good[12:], "ends before its blocks")):
         with pytest.raises(StoreError, match=message):
             codecs.unblosc(bad, len(raw), c)
-    with pytest.raises(StoreError, match="size mismatch"):
+    with pytest.raises(StoreError, match="instead of 5"):
         codecs.unblosc(good, 5, c)
 
 
@@ -132,7 +132,7 @@ def test_damaged_chunks(tmp_path):
     w.v2_array(path, "lz", (4,), (4,), "<i4", compressor={"id": "lz4"})
     for name in ("raw", "gz", "lz"):
         w.store_at(path).write(f"{name}/0", b"abc")
-    for name, message in (("raw", "Uncompressed Zarr chunk size mismatch"), ("gz", "gzip"), ("lz", "Unsupported Zarr compressor for zarr_cells: lz4")):
+    for name, message in (("raw", "without compression has 3 bytes instead of 16"), ("gz", "gzip"), ("lz", "compressor lz4")):
         with pytest.raises(StoreError, match=message):
             table(cells(path, name))
 

@@ -95,9 +95,9 @@ def test_sql_functions(spark, v2, v3):
     assert spark.sql(f"SELECT sum(value) FROM zarr('{v3}', 'temperature_v3', 'v3')").first()[0] == 21.0
     assert spark.sql(f"SELECT count(*) FROM zarr_chunks('{v2}', '2')").first()[0] == 9
     assert spark.sql(f"SELECT value FROM zarr_cells('{v2}', 'stations/elevation') WHERE dim_0 = 1").first()[0] == 200
-    with pytest.raises(Exception, match="version override must be one of auto, v2, or v3"):
+    with pytest.raises(Exception, match="takes the versions auto, v2 and v3"):
         spark.sql(f"SELECT * FROM zarr_groups('{v2}', 'v4')").collect()
-    with pytest.raises(Exception, match="requires a non-NULL store path and array path"):
+    with pytest.raises(Exception, match="needs the paths of a store and of an array"):
         spark.sql(f"SELECT * FROM zarr_cells('{v2}', NULL)").collect()
 
 
