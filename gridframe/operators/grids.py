@@ -10,6 +10,7 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import replace
 from decimal import Decimal
 
 import numpy as np
@@ -409,3 +410,78 @@ def cells_at(spark: SparkSession, path: str, array: str, keys: DataFrame, how: s
             yield found if how == "left" else found.filter(pa.array(known))
 
     return sorted_.mapInArrow(look, schema)
+
+
+def stacked_cells(spark: SparkSession, arrays: Mapping[str, tuple[str, str]], where: str | Column | None = None, name: str = "level") -> DataFrame:
+    """Cells of several arrays of one rank and type, such as the levels of a pyramid, as one relation: `name`, dim_0, ..., value.
+
+    All arrays' chunk files are one row of positions that tasks share evenly, whichever array is
+    the largest. where: a condition on coordinates, values and the name; coordinates prune each array.
+    """
+    scans = {key: _scan(*place) for key, place in arrays.items()}
+    schemas = {key: scan.cells_schema(c.array) for key, c in scans.items()}
+    first = next(iter(schemas.values()))
+    if unlike := [key for key, s in schemas.items() if s != first]:
+        raise StoreError(f"arrays of different rank or type can't be stacked: {', '.join([next(iter(schemas)), *unlike])}")
+    schema = T.StructType([T.StructField(name, T.StringType(), False), *first.fields])
+    if where is not None:
+        scans = {key: replace(c, region=c.region & conditions.region_of(spark, schema, c.array.shape, where)) for key, c in scans.items()}
+    ends = list(itertools.accumulate(len(c.parts) for c in scans.values()))
+    kept = list(scans.items())
+
+    def read(start: int, stop: int) -> Batches:
+        for (key, c), end in zip(kept, ends, strict=True):
+            begin = end - len(c.parts)
+            if start < end and stop > begin:
+                for b in c.read(max(start, begin) - begin, min(stop, end) - begin):
+                    yield pa.RecordBatch.from_arrays([pa.array([key] * b.num_rows, pa.string()), *b.columns], names=schema.names)
+
+    return _tested(over_runs(spark, ends[-1] if ends else 0, read, schema), where, schema.names)
+
+
+def changed_cells(spark: SparkSession, old: tuple[str, str], new: tuple[str, str], where: str | Column | None = None) -> DataFrame:
+    """Cells that differ between two arrays of one rank: dim_0, ..., old, new; null where an array has no such cell.
+
+    Where both arrays are laid out alike, chunks of equal bytes are passed over before anything is
+    decoded, inner chunks of shards too. NaN is equal to NaN. where: a condition on coordinates, old and new.
+    """
+    a, b = _scan(*old), _scan(*new)
+    if len(a.array.shape) != len(b.array.shape):
+        raise StoreError(f"arrays of different rank can't be compared: {old[1]}, {new[1]}")
+    shape = tuple(map(max, a.array.shape, b.array.shape))
+    kinds = [dtypes.parse(c.array.dtype) for c in (a, b)]
+    schema = T.StructType([*(T.StructField(f"dim_{d}", _LONG) for d in range(len(shape))), *(T.StructField(n, k.spark) for n, k in zip(("old", "new"), kinds, strict=True))])
+    region = Region.whole(shape) if where is None else conditions.region_of(spark, schema, shape, where)
+    block = max((layout.cell_chunks(c.array) for c in (a, b)), key=math.prod)
+    n, origin_of = _blocks(region, block)
+    places = [(c.root, c.array) for c in (a, b)]
+
+    def read(start: int, stop: int) -> Batches:
+        readers = [WindowReader(*p) for p in places]
+        for k in range(start, stop):
+            origin = origin_of(k)
+            yield from _differing(readers, kinds, schema, region, origin, tuple(min(x, s - o) for x, s, o in zip(block, shape, origin, strict=True)))
+
+    return _tested(over_runs(spark, n, read, schema), where, schema.names)
+
+
+def _alike(a: WindowReader, b: WindowReader) -> bool:
+    """Whether equal bytes mean equal cells in all chunks of both arrays."""
+    x, y = a.array, b.array
+    same = (x.shape, x.chunks, x.dtype, x.order, x.compression, x.sharding) == (y.shape, y.chunks, y.dtype, y.order, y.compression, y.sharding)
+    return same and (a.fill is None) == (b.fill is None) and (a.fill is None or a.fill.tobytes() == b.fill.tobytes())
+
+
+def _differing(readers: list[WindowReader], kinds: list[dtypes.ValueType], schema: T.StructType, region: Region, origin: tuple[int, ...], size: tuple[int, ...]) -> Batches:
+    if _alike(*readers):
+        coords = tuple(o // c for o, c in zip(origin, readers[0].shape, strict=True))
+        if readers[0].raw(coords) == readers[1].raw(coords):
+            return
+    (x, in_x), (y, in_y) = (r.read(origin, size) for r in readers)
+    differ = (x != y) & ~((x != x) & (y != y))
+    if in_x is not None or in_y is not None:
+        here, there = (np.ones(size, bool) if m is None else m for m in (in_x, in_y))
+        differ = (differ & here & there) | (here != there)
+    if differ.any():
+        axes = [np.arange(o, o + s) for o, s in zip(origin, size, strict=True)]
+        yield from _flat(schema, axes, [(x, kinds[0], in_x), (y, kinds[1], in_y)], _both(_kept(region, origin, size), differ))

@@ -502,6 +502,7 @@ def _balances(s: Stores) -> str:
     return s.v3("balances", (s.size("customer", "c_custkey"),), (128,), "float64", cells, codecs_=[w.BYTES, GZIP_V3])
 
 
+_WHOLE = f"(SELECT dim_0, dim_1, CAST(value AS BIGINT) AS value FROM ({QUANTITIES}))"
 BALANCES = "SELECT c_custkey AS dim_0, c_acctbal AS value FROM customer"
 
 
@@ -529,6 +530,46 @@ def aligned_pruned(s: Stores) -> DataFrame:
     return grids.joined_cells(s.spark, {"total": (totals, "a"), "customer": (customers, "a")}, where="dim_0 < 100 OR dim_0 > 5000 AND customer < 30")
 
 
+def _corrected(s: Stores) -> str:
+    """The quantities with those of one supplier in sixteen doubled."""
+    cells = s.quantities().withColumn("value", F.when(F.col("dim_0") % 16 == 5, F.col("value") * 2).otherwise(F.col("value")))
+    return s.v2("quantity_corrected", s.quantity_shape(), (16, 4), "<i8", cells)
+
+
+@query(f"SELECT dim_0, dim_1, value AS old, 2 * value AS new FROM {_WHOLE} WHERE dim_0 % 16 = 5 AND value <> 0")
+def diff_of_versions(s: Stores) -> DataFrame:
+    """Cells that differ between two versions of an array; chunks of equal bytes aren't decoded."""
+    return grids.changed_cells(s.spark, (_quantities_i8(s), "a"), (_corrected(s), "a"))
+
+
+@query(f"SELECT coalesce(a.dim_0, b.dim_0) AS dim_0, a.value AS old, b.value AS new FROM ({PRICES}) a FULL JOIN ({BALANCES}) b ON a.dim_0 = b.dim_0 WHERE a.value IS DISTINCT FROM b.value")
+def diff_of_unlike_arrays(s: Stores) -> DataFrame:
+    return grids.changed_cells(s.spark, (s.prices(), "a"), (_balances(s), "a"))
+
+
+def _coarse(s: Stores, width: int) -> str:
+    cells = s.quantities().groupBy(F.floor(F.col("dim_0") / width).alias("dim_0"), "dim_1").agg(F.sum("value").alias("value"))
+    return s.v2(f"quantity_coarse_{width}", (-(-s.quantity_shape()[0] // width), 7), (16, 7), "<i8", cells)
+
+
+_COARSE = "SELECT '{0}' AS level, dim_0 // {0} AS dim_0, dim_1, CAST(sum(value) AS BIGINT) AS value FROM {1} GROUP BY ALL"
+
+
+def _levels(s: Stores) -> dict[str, tuple[str, str]]:
+    return {"1": (_quantities_i8(s), "a")} | {str(n): (_coarse(s, n), "a") for n in (2, 10)}
+
+
+@query(" UNION ALL ".join(_COARSE.format(n, _WHOLE) for n in (1, 2, 10)))
+def stacked_levels(s: Stores) -> DataFrame:
+    """Three resolutions of an array as one relation, in one job."""
+    return grids.stacked_cells(s.spark, _levels(s))
+
+
+@query("SELECT * FROM (" + " UNION ALL ".join(_COARSE.format(n, _WHOLE) for n in (1, 2, 10)) + ") WHERE dim_1 = 3 OR dim_0 = 4 AND level <> '2'")
+def stacked_levels_pruned(s: Stores) -> DataFrame:
+    return grids.stacked_cells(s.spark, _levels(s), "dim_1 = 3 OR dim_0 = 4 AND level <> '2'")
+
+
 @query("SELECT l_orderkey, l_linenumber, l_suppkey AS dim_0, l_linenumber - 1 AS dim_1, CAST(q AS BIGINT) AS quantity FROM lineitem JOIN (SELECT l_suppkey, l_linenumber, sum(l_quantity) AS q FROM lineitem GROUP BY ALL) USING (l_suppkey, l_linenumber)")
 def lookup_of_lines(s: Stores) -> DataFrame:
     """Every line item with its supplier's cell: the keys go to the chunks, no cell is exchanged."""
@@ -557,9 +598,6 @@ def _quantity_cells(s: Stores) -> DataFrame:
     return s.cells(_quantities_i8(s))
 
 
-_WHOLE = f"(SELECT dim_0, dim_1, CAST(value AS BIGINT) AS value FROM ({QUANTITIES}))"
-
-
 @query(f"SELECT dim_1, CAST(sum(value) AS BIGINT) AS total, min(value) AS low, max(value) AS high, count(*) AS n FROM {_WHOLE} GROUP BY dim_1")
 def agg_by_dimension(s: Stores) -> DataFrame:
     return _quantity_cells(s).groupBy("dim_1").agg(F.sum("value").alias("total"), F.min("value").alias("low"), F.max("value").alias("high"), F.count("*").alias("n"))

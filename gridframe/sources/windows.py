@@ -29,14 +29,15 @@ class WindowReader:
         self.fill = None if array.fill is None else dtypes.fill_of(array.fill, self.kind, array.path)
         self.decoded: OrderedDict[tuple[int, ...], np.ndarray | None] = OrderedDict()
         self.shards: OrderedDict[tuple[int, ...], codecs.Shard | None] = OrderedDict()
-        self.opened = 0
+        self.last: tuple[tuple[int, ...] | None, bytes | None] = (None, None)
+        self.opened = self.unpacked = 0
 
     def chunk(self, coords: tuple[int, ...]) -> np.ndarray | None:
         """A chunk's values (an inner chunk's, of a sharded array), or None where there is none."""
         if coords in self.decoded:
             self.decoded.move_to_end(coords)
             return self.decoded[coords]
-        values = self._decode(coords)
+        values = self._unpacked(self.raw(coords))
         self._keep(coords, values)
         return values
 
@@ -55,18 +56,27 @@ class WindowReader:
                 self.shards.popitem(last=False)
         return self.shards[of]
 
-    def _decode(self, coords: tuple[int, ...]) -> np.ndarray | None:
-        array = self.array
-        if array.sharding is None:
-            raw = self.store.get(layout.chunk_path(array, coords))
+    def raw(self, coords: tuple[int, ...]) -> bytes | None:
+        """A chunk's bytes as they are stored."""
+        if coords == self.last[0]:
+            return self.last[1]
+        if self.array.sharding is None:
+            found = self.store.get(layout.chunk_path(self.array, coords))
             self.opened += 1
-            return None if raw is None else codecs.decoded(raw, self.kind.stored, array.chunks, array.order, array.compression)
-        per_shard = tuple(o // i for o, i in zip(array.chunks, self.shape, strict=True))
-        shard = self._shard(tuple(c // n for c, n in zip(coords, per_shard, strict=True)))
-        return self._unpacked(None if shard is None else shard.inner(tuple(c % n for c, n in zip(coords, per_shard, strict=True))))
+        else:
+            per_shard = tuple(o // i for o, i in zip(self.array.chunks, self.shape, strict=True))
+            shard = self._shard(tuple(c // n for c, n in zip(coords, per_shard, strict=True)))
+            found = None if shard is None else shard.inner(tuple(c % n for c, n in zip(coords, per_shard, strict=True)))
+        self.last = coords, found
+        return found
 
     def _unpacked(self, raw: bytes | None) -> np.ndarray | None:
-        return None if raw is None else codecs.decoded(raw, self.kind.stored, self.shape, "C", self.array.sharding.compression)
+        if raw is None:
+            return None
+        self.unpacked += 1
+        array = self.array
+        order, compression = (array.order, array.compression) if array.sharding is None else ("C", array.sharding.compression)
+        return codecs.decoded(raw, self.kind.stored, self.shape, order, compression)
 
     def _chunks(self, wanted: list[tuple[int, ...]]) -> Iterator[tuple[tuple[int, ...], np.ndarray | None]]:
         """Chunks with their values. Inner chunks that lie side by side in a shard are one read."""

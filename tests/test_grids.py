@@ -356,3 +356,63 @@ def test_packed_cells_send_values_alone(spark, store):
     sent = python_bytes(grids.packed_cells(spark, path, "w").agg(F.sum("value")))
     assert 4 * wide.size <= sent < 1.1 * 4 * wide.size
     assert rows(spark.sql("SELECT dim_1, max(value) FROM packed WHERE dim_0 = 3 GROUP BY dim_1")) == rows(z.zarr_cells(spark, store, "a").where("dim_0 = 3").groupBy("dim_1").agg(F.max("value")))
+
+
+# Stacks and differences.
+
+
+def test_stacks(spark, store, tmp_path):
+    path = str(tmp_path / "p.zarr")
+    w.v2_group(path)
+    for k, n in enumerate((16, 8, 4)):
+        w.v2_array(path, str(k), (n, n), (4, 3), "<i4")
+        w.write_values(path, str(k), np.arange(n * n, dtype="<i4").reshape(n, n))
+    places = {f"L{k}": (path, str(k)) for k in range(3)}
+    frames = [z.zarr_cells(spark, *p).select(F.lit(k).alias("level"), "*") for k, p in places.items()]
+    wanted = frames[0].unionByName(frames[1]).unionByName(frames[2])
+    assert rows(grids.stacked_cells(spark, places)) == rows(wanted) and exchanges(grids.stacked_cells(spark, places)) == 0
+    condition = "dim_0 = 15 OR level = 'L2' AND dim_1 < 2"
+    assert rows(grids.stacked_cells(spark, places, condition)) == rows(wanted.where(condition))
+    assert grids.stacked_cells(spark, places, "dim_0 > 90").count() == 0
+    with pytest.raises(StoreError, match="stacked: a, b"):
+        grids.stacked_cells(spark, {"a": (store, "a"), "b": (store, "b")})
+
+
+def test_differences_decode_changed_chunks_alone(tmp_path):
+    paths, values = [], np.arange(600, dtype="<i8").reshape(20, 30)
+    for kind in ("plain", "shard"):
+        for k in range(2):
+            path = str(tmp_path / f"{kind}{k}.zarr")
+            w.v3_group(path)
+            w.v3_array(path, "a", (20, 30), (8, 12), "int64", [w.sharding((4, 4), [w.BYTES])] if kind == "shard" else [w.BYTES], fill=0)
+            changed = values.copy()
+            changed[9, 17] += k
+            w.write_values(path, "a", changed)
+            paths.append(path)
+    for pair in (paths[:2], paths[2:]):
+        readers = [WindowReader(p, discovery.discover(p).array("a")) for p in pair]
+        kinds, block = [r.kind for r in readers], readers[0].shape
+        schema = scan.T.StructType([scan.T.StructField(c, scan._L) for c in ("dim_0", "dim_1", "old", "new")])
+        found = []
+        n, origin_of = grids._blocks(Region.whole((20, 30)), block)
+        for k in range(n):
+            o = origin_of(k)
+            for b in grids._differing(readers, kinds, schema, Region.whole((20, 30)), o, tuple(min(x, s - y) for x, s, y in zip(block, (20, 30), o, strict=True))):
+                found += b.to_pylist()
+        assert found == [{"dim_0": 9, "dim_1": 17, "old": 287, "new": 288}]
+        assert [r.unpacked for r in readers] == [1, 1]
+
+
+def test_differences(spark, store, shards, tmp_path):
+    for x, y in (((store, "a"), (store, "b")), ((store, "b"), (shards, "a")), ((shards, "a"), (store, "a"))):
+        a, b = z.zarr_cells(spark, *x).withColumnRenamed("value", "old"), z.zarr_cells(spark, *y).withColumnRenamed("value", "new")
+        wanted = a.join(b, ["dim_0", "dim_1"], "full").where("old IS DISTINCT FROM new").select("dim_0", "dim_1", "old", "new")
+        found = grids.changed_cells(spark, x, y)
+        assert rows(found) == rows(wanted) and exchanges(found) == 0
+        assert rows(grids.changed_cells(spark, x, y, "dim_0 = 3 OR new > 0.5 AND dim_1 = 6")) == rows(wanted.where("dim_0 = 3 OR new > 0.5 AND dim_1 = 6"))
+    assert grids.changed_cells(spark, (store, "a"), (store, "a")).count() == 0
+    path = str(tmp_path / "nan.zarr")
+    for name, fill in (("x", 1), ("y", 2)):
+        w.v2_array(path, name, (6,), (2,), "<f8", fill=fill)
+        w.write_values(path, name, np.array([np.nan, 1, 0, 0, 5, 5.0]), skip={(1,)})
+    assert rows(grids.changed_cells(spark, (f"{path}/x", ""), (f"{path}/y", ""))) == ["(2, 1.0, 2.0)", "(3, 1.0, 2.0)"]
