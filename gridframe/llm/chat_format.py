@@ -12,7 +12,8 @@ with a lower id.
 All of that runs on hashes of role and text. Texts themselves are read again for the
 conversations that stay, and move once: to the task that renders their block. Each turn
 is rendered as <|role|>, a line end, the text and a line end, in order; a conversation
-is one row for every block of `BLOCK` turn numbers that it has turns in.
+is one row for every block of `BLOCK` turn numbers that it has turns in (`formatted`), or
+one row, or one for so many turns (`whole`), for which texts move twice.
 
 Turns are ordered by `turn`, then role and text; a conversation's turns are numbered by
 that order, so that gaps in `turn` don't matter to what is a prefix. Rows that repeat a
@@ -23,7 +24,7 @@ Only DataFrame functions are used.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridframe.llm.common import small
@@ -85,13 +86,38 @@ def maximal(conversations: DataFrame) -> DataFrame:
     return _maximal(written(_prefixes(conversations), "prefixes"))
 
 
+def _line(x: Column) -> Column:
+    return F.concat(F.lit("<|"), x["role"], F.lit("|>\n"), x["text"], F.lit("\n"))
+
+
 def formatted(conversations: DataFrame) -> DataFrame:
-    """One row per part of a maximal conversation: conv_id, part, n_turns (of the whole), text."""
+    """One row per part of a maximal conversation: conv_id, part, n_turns (of the whole), text.
+
+    A part holds `BLOCK` turn numbers, so that turns that are numbered by time stamps make many; see `whole`.
+    """
     prefixes = written(_prefixes(conversations), "prefixes")
     kept = written(prefixes.select(*_BLOCK).distinct().join(_maximal(prefixes), "conv_id"), "kept-blocks")
     blocks = _rows(conversations).join(small(kept), _BLOCK).groupBy(*_BLOCK, "n_turns").agg(F.array_sort(F.collect_set(F.struct("turn", "role", "text"))).alias("lines"))
-    line = lambda x: F.concat(F.lit("<|"), x["role"], F.lit("|>\n"), x["text"], F.lit("\n"))
-    return blocks.select("conv_id", F.col("block").alias("part"), "n_turns", F.array_join(F.transform("lines", line), "").alias("text"))
+    return blocks.select("conv_id", F.col("block").alias("part"), "n_turns", F.array_join(F.transform("lines", _line), "").alias("text"))
+
+
+def whole(conversations: DataFrame, part_turns: int | None = None) -> DataFrame:
+    """Maximal conversations by the places of their turns, whatever numbers these have: conv_id, part, n_turns, text.
+
+    part_turns: turns of a part, all parts but the last having that many; None for one row a
+    conversation, whose text then has to fit in one value.
+    """
+    prefixes = written(_prefixes(conversations), "prefixes")
+    before = prefixes.groupBy(*_BLOCK).agg((F.min("n") - 1).alias("before"))
+    kept = written(before.join(_maximal(prefixes), "conv_id"), "kept-blocks")
+    blocks = _rows(conversations).join(small(kept), _BLOCK).groupBy(*_BLOCK, "n_turns", "before").agg(F.array_sort(F.collect_set(F.struct("turn", "role", "text"))).alias("lines"))
+    if part_turns is None:
+        texts = blocks.select("conv_id", "n_turns", F.lit(0).cast("long").alias("part"), F.col("before").alias("n"), F.array_join(F.transform("lines", _line), "").alias("text"))
+    else:
+        turns = blocks.select("conv_id", "n_turns", "before", F.posexplode("lines").alias("k", "x")).withColumn("n", F.col("before") + F.col("k"))
+        texts = turns.select("conv_id", "n_turns", F.floor(F.col("n") / part_turns).alias("part"), "n", _line(F.col("x")).alias("text"))
+    parts = texts.groupBy("conv_id", "part", "n_turns").agg(F.array_sort(F.collect_list(F.struct("n", "text"))).alias("parts"))
+    return parts.select("conv_id", "part", "n_turns", F.array_join(F.transform("parts", lambda x: x["text"]), "").alias("text"))
 
 
 #: The same by SQL, with whole prefixes as lists.

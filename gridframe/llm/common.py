@@ -77,17 +77,9 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
 
 
-#: Bytes of an Arrow batch of texts. Spark's own bound is in rows, and ten thousand texts may be hundreds of MB.
-BATCH_BYTES = 4 << 20
-_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
 def mapped(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
-    """`mapInArrow` with the package on the executors, and with batches bounded by bytes where the session sets no bound."""
-    spark = df.sparkSession
-    ship(spark)
-    if spark.conf.get(_BATCH_CONF).rstrip("b") == str(2**31 - 1):
-        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+    """`mapInArrow` with the package on the executors. Batches are as large as the session's settings say: functions take `slices` of them."""
+    ship(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 

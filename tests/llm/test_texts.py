@@ -320,3 +320,17 @@ def test_rules_are_bounded(spark, bad, monkeypatch):
     monkeypatch.setattr(url_filter, "MAX_RULES", 1)
     with pytest.raises(ValueError, match="at most 1 rules"):
         url_filter.judge(spark.createDataFrame([(1, "x")], "page_id long, url string"))
+
+
+@pytest.mark.parametrize("step", [1, 60, 5000])
+def test_whole_conversations_whatever_numbers_their_turns_have(spark, step):
+    schema = "conv_id long, turn long, role string, text string"
+    turns = [(("user", "bot")[k % 2], f"text {k % 7}" if k else None) for k in range(60)]
+    rows = [(c, k * step - 40, *turns[k]) for c, n in ((1, 60), (2, 60), (3, 12)) for k in range(n)] + [(4, 5, None, "alone"), (4, 5, None, "alone")]
+    frame = spark.createDataFrame(rows, schema)
+    line = lambda role, text: f"<|{role or ''}|>\n{text or ''}\n"
+    wanted = "".join(line(*t) for t in turns)
+    assert sorted(map(tuple, chat_format.whole(frame).collect())) == [(1, 0, 60, wanted), (4, 0, 1, line(None, "alone"))]
+    parts = sorted(map(tuple, chat_format.whole(frame, 25).where("conv_id = 1").collect()))
+    assert parts == [(1, p, 60, "".join(line(*t) for t in turns[25 * p : 25 * p + 25])) for p in range(3)]
+    assert chat_format.whole(frame.limit(0)).count() == 0
