@@ -12,9 +12,12 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from gridframe.llm import chat_format, language_id, secret_scan, url_filter
 from tests.llm.conftest import ODD, prose
+from tests.oracle import TABLES
 
 EN = ["the", "there", "with", "and", "other", "thing", "ing", "whether", "they"]
 FR = ["le", "les", "eau", "que", "quel", "été", "mènent", "aux", "vous"]
@@ -315,11 +318,52 @@ def test_long_chats_come_in_parts(spark, monkeypatch):
     assert next(r.text for r in found if (r.conv_id, r.part) == (1, 2)) == "".join(f"<|user|>\nt{k}\n" for k in (8, 9, 10))
 
 
-@pytest.mark.parametrize("bad", [10**9])
-def test_rules_are_bounded(spark, bad, monkeypatch):
-    monkeypatch.setattr(url_filter, "MAX_RULES", 1)
-    with pytest.raises(ValueError, match="at most 1 rules"):
-        url_filter.judge(spark.createDataFrame([(1, "x")], "page_id long, url string"))
+def test_more_rules_than_are_broadcast_are_tried_in_blocks(spark, monkeypatch):
+    frame = spark.createDataFrame([(k, u) for k, u in enumerate(URLS * 2)], "page_id long, url string")
+    at_once = sorted(map(repr, url_filter.judge(frame).collect()))
+    for most in (1, 3, 7):
+        monkeypatch.setattr(url_filter, "MAX_RULES", most)
+        assert sorted(map(repr, url_filter.judge(frame).collect())) == at_once
+    assert url_filter.judge(frame.limit(0)).count() == 0
+
+
+def test_literals_of_patterns():
+    literals = {
+        "Ads.example.com/*": ("ads", "example", "com"), "*.track{er,ing,}.net/x": ("net", "x"), "*ads.com": ("com",), "a?.b/c[12]/d": ("b", "d"), "shop-*.io/promo*/2024": ("shop", "io", "2024"), "*": (), "x\\*y.org/{a,b}/img": ("x", "y", "org", "img"), "a.b/Foo/ba": ("a", "b", "oo", "ba"),
+    }
+    assert {p: url_filter.glob_rule(p).literals for p in literals} == literals
+    for bad in ("a[b", "a{b", "a[]", "a\\"):
+        with pytest.raises(ValueError):
+            url_filter.glob_rule(bad)
+
+
+PIECES = ["a", "b1", "ads", "-", ".", "/", "*", "?", "[ab]", "[-.]", "{a,b1}", "{ads,}", "{.,-}", "\\*", "A"]
+
+
+@settings(max_examples=400, deadline=None)
+@given(pattern=st.lists(st.sampled_from(PIECES), max_size=7).map("".join), url=st.lists(st.sampled_from(["a", "b1", "ads", "-", ".", "/", "*", "A", "x"]), max_size=7).map("".join))
+def test_no_match_is_lost_by_literals(pattern, url):
+    rule = url_filter.glob_rule(pattern)
+    host, path = url_filter.parts("http://" + url)
+    if re.fullmatch(rule.pattern, host + path, re.DOTALL):
+        assert set(rule.literals) <= url_filter.url_tokens(host, path)
+
+
+@pytest.mark.skipif(not TABLES.exists(), reason="the tables aren't here")
+def test_hundreds_of_patterns_on_all_pages(spark):
+    """Rules whose parts are those of the pages' own addresses, with wildcards and options: the index against all rules on all URLs."""
+    pages = spark.read.parquet(f"{TABLES}/pages.parquet").select("page_id", "url")
+    urls = {r.page_id: url_filter.parts(r.url or "") for r in pages.collect()}
+    rules = []
+    for k, (host, path) in enumerate(sorted(set(urls.values()))[:150]):
+        labels, steps = host.split("."), [s for s in path.split("/") if s]
+        rules += [f"*.{labels[-1]}/{steps[0] if steps else ''}*", f"{{www.,}}{host}/*", f"*{labels[0][1:]}*/{{{steps[-1][:2] if steps else 'x'},zz}}*", f"{host}{path[:-1]}?"]
+    made = tuple({p: url_filter.glob_rule(p, ("block", "allow")[len(p) % 2]) for p in rules}.values())
+    assert len(made) > 200
+    compiled = [(r, re.compile(r.pattern, re.DOTALL)) for r in made]
+    wanted = {p: ",".join(r.name for r, c in compiled if c.fullmatch(h + path)) for p, (h, path) in urls.items()}
+    found = {r.page_id: r.pattern_rules for r in url_filter.judge(pages, made).collect()}
+    assert found == wanted and sum(map(bool, wanted.values())) > 50
 
 
 @pytest.mark.parametrize("step", [1, 60, 5000])
