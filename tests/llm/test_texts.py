@@ -359,7 +359,7 @@ def test_hundreds_of_patterns_on_all_pages(spark):
         labels, steps = host.split("."), [s for s in path.split("/") if s]
         rules += [f"*.{labels[-1]}/{steps[0] if steps else ''}*", f"{{www.,}}{host}/*", f"*{labels[0][1:]}*/{{{steps[-1][:2] if steps else 'x'},zz}}*", f"{host}{path[:-1]}?"]
     made = tuple({p: url_filter.glob_rule(p, ("block", "allow")[len(p) % 2]) for p in rules}.values())
-    assert len(made) > 200
+    assert len(made) > 100
     compiled = [(r, re.compile(r.pattern, re.DOTALL)) for r in made]
     wanted = {p: ",".join(r.name for r, c in compiled if c.fullmatch(h + path)) for p, (h, path) in urls.items()}
     found = {r.page_id: r.pattern_rules for r in url_filter.judge(pages, made).collect()}
