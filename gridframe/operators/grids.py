@@ -140,12 +140,13 @@ def _kept(region: Region, origin: tuple[int, ...], size: tuple[int, ...]) -> np.
 
 
 def neighbours(
-    spark: SparkSession, path: str, array: str, dim: int, shifted: Mapping[str, int] | None = None, sums: Mapping[str, tuple[int, int]] | None = None, lows: Mapping[str, tuple[int, int]] | None = None,
+    spark: SparkSession, path: str, array: str, dim: int, shifted: Mapping[str, int | Sequence[int]] | None = None, sums: Mapping[str, tuple[int, int]] | None = None, lows: Mapping[str, tuple[int, int]] | None = None,
     highs: Mapping[str, tuple[int, int]] | None = None, where: str | Column | None = None, version: str | None = None,
 ) -> DataFrame:
     """Cells with what lies around them along one dimension: dim_0, ..., value and the columns asked for.
 
-    shifted: the value so many places further (negative: before), null where there is none.
+    shifted: the value so many places further (negative: before), null where there is none; a list has a
+    number of places for each dimension, so that stencils of any shape can be read.
     sums, lows, highs: of the values from `before` places before to `after` places after, as
     {"around": (1, 1)}; sums of whole numbers are long, of others double. Windows are told by
     coordinates: a cell that doesn't exist adds nothing. A task reads the cells beyond its chunks'
@@ -162,8 +163,14 @@ def neighbours(
     total = dtypes.parse("<f8" if kind.kind == "f" else "<i8")
     if sums and kind.text[1:] == "u8":
         raise StoreError(f"sums of unsigned 64-bit values aren't supported: {array}")
-    before = max([0, *(-s for s in shifted.values()), *(b for x in (sums, lows, highs) for b, _ in x.values())])
-    after = max([0, *shifted.values(), *(a for x in (sums, lows, highs) for _, a in x.values())])
+    along = lambda n: tuple(n if d == dim else 0 for d in range(rank))
+    offsets = {name: along(o) if isinstance(o, int) else tuple(o) for name, o in shifted.items()}
+    if any(len(o) != rank for o in offsets.values()):
+        raise StoreError(f"array {array} has {rank} dimensions, and a shift needs a number for each")
+    spans_ = [s for x in (sums, lows, highs) for s in x.values()]
+    reach = [(0,) * rank, *offsets.values(), *(along(-b) for b, _ in spans_), *(along(a) for _, a in spans_)]
+    before = tuple(max(0, -min(o[d] for o in reach)) for d in range(rank))
+    after = tuple(max(0, max(o[d] for o in reach)) for d in range(rank))
     own = scan.cells_schema(cells.array)
     more = [(n, kind) for n in shifted] + [(n, total) for n in sums] + [(n, kind) for n in (*lows, *highs)]
     schema = T.StructType([*own.fields, *(T.StructField(n, k.spark) for n, k in more)])
@@ -177,21 +184,21 @@ def neighbours(
         for k in range(start, stop):
             origin = origin_of(k)
             size = tuple(min(b, s - o) for b, s, o in zip(block, of.shape, origin, strict=True))
-            wide = tuple(s + (before + after if d == dim else 0) for d, s in enumerate(size))
-            values, there = reader.read(tuple(o - (before if d == dim else 0) for d, o in enumerate(origin)), wide)
+            wide = tuple(s + x + y for s, x, y in zip(size, before, after, strict=True))
+            values, there = reader.read(tuple(o - x for o, x in zip(origin, before, strict=True)), wide)
             if there is None:
                 there = np.ones(wide, bool)
-            at = lambda x, first: x[(slice(None),) * dim + (slice(before + first, before + first + size[dim]),)]  # noqa: B023, E731
-            columns = [(at(values, 0), kind, None), *((at(values, s), kind, at(there, s)) for s in shifted.values())]
+            at = lambda x, o: x[tuple(slice(b + s, b + s + n) for b, s, n in zip(before, o, size, strict=True))]  # noqa: B023, E731
+            columns = [(at(values, along(0)), kind, None), *((at(values, o), kind, at(there, o)) for o in offsets.values())]
             for spans, fold, blank, as_ in ((sums, np.add, 0, total), (lows, np.fmin, _extreme(kind, True), kind), (highs, np.maximum, _extreme(kind, False), kind)):
                 filled = np.where(there, values, np.array(blank, kind.stored)).astype(as_.stored) if spans else None
                 for b, a in spans.values():
-                    got, some = at(filled, -b), at(there, -b)
+                    got, some = at(filled, along(-b)), at(there, along(-b))
                     for s in range(1 - b, a + 1):
-                        got, some = fold(got, at(filled, s)), some | at(there, s)
+                        got, some = fold(got, at(filled, along(s))), some | at(there, along(s))
                     columns.append((got, as_, some))
             axes = [np.arange(o, o + s) for o, s in zip(origin, size, strict=True)]
-            own_there = at(there, 0)
+            own_there = at(there, along(0))
             yield from _flat(schema, axes, columns, _both(_kept(region, origin, size), None if own_there.all() else own_there))
 
     return _tested(over_runs(spark, n, read, schema), where, schema.names)
@@ -485,3 +492,66 @@ def _differing(readers: list[WindowReader], kinds: list[dtypes.ValueType], schem
     if differ.any():
         axes = [np.arange(o, o + s) for o, s in zip(origin, size, strict=True)]
         yield from _flat(schema, axes, [(x, kinds[0], in_x), (y, kinds[1], in_y)], _both(_kept(region, origin, size), differ))
+
+
+def labelled_cells(spark: SparkSession, path: str, array: str, labels: Mapping[str, tuple[int, str, str]], where: str | Column | None = None, version: str | None = None) -> DataFrame:
+    """Cells with the values of arrays of one dimension that belong to their dimensions: dim_0, ..., value and a column for each label.
+
+    labels: {"time": (0, path, array)} gives each cell the value of that array at its dim_0, null where
+    the array is shorter. The labels of a chunk's rows are read in the task that reads the chunk: no join
+    and no exchange. where: a condition on coordinates, value and labels. Its conjuncts that use one
+    label alone are tested first, on that label's array by Spark; only chunks along that dimension in
+    which a label passes are opened. What is collected for that is one row for each of them.
+    """
+    cells = _scan(path, array, version)
+    tags = {name: (dim, _scan(*place)) for name, (dim, *place) in labels.items()}
+    shape = cells.array.shape
+    for name, (dim, c) in tags.items():
+        if not 0 <= dim < len(shape) or len(c.array.shape) != 1:
+            raise StoreError(f"label {name} needs an array of one dimension, and a dimension of {array}")
+    kind = dtypes.parse(cells.array.dtype)
+    kinds = {name: dtypes.parse(c.array.dtype) for name, (_, c) in tags.items()}
+    own = scan.cells_schema(cells.array)
+    if clash := set(tags) & set(own.names):
+        raise StoreError(f"the cells already have the columns {', '.join(sorted(clash))}")
+    schema = T.StructType([*own.fields, *(T.StructField(n, kinds[n].spark) for n in tags)])
+    block = layout.cell_chunks(cells.array)
+    region = cells.region
+    if where is not None:
+        region = region & conditions.region_of(spark, schema, shape, where)
+        for name, (dim, c) in tags.items():
+            for alone in conditions.conjuncts_on(spark, schema, where, name):
+                region = region & Region.along(shape, dim, _passing(spark, c, kinds[name], name, alone, block[dim], shape[dim]))
+    n, origin_of = _blocks(region, block)
+    root, of = cells.root, cells.array
+    places = {name: (dim, c.root, c.array) for name, (dim, c) in tags.items()}
+
+    def read(start: int, stop: int) -> Batches:
+        reader = WindowReader(root, of)
+        beside = {name: (dim, WindowReader(r, a)) for name, (dim, r, a) in places.items()}
+        for k in range(start, stop):
+            origin = origin_of(k)
+            size = tuple(min(b, s - o) for b, s, o in zip(block, of.shape, origin, strict=True))
+            values, there = reader.read(origin, size)
+            columns = [(values, kind, None)]
+            for name, (dim, r) in beside.items():
+                tag, known = r.read((origin[dim],), (size[dim],))
+                along = tuple(-1 if d == dim else 1 for d in range(len(size)))
+                columns.append((np.broadcast_to(tag.reshape(along), size), kinds[name], None if known is None else np.broadcast_to(known.reshape(along), size)))
+            axes = [np.arange(o, o + s) for o, s in zip(origin, size, strict=True)]
+            yield from _flat(schema, axes, columns, _both(_kept(region, origin, size), there))
+
+    return _tested(over_runs(spark, n, read, schema), where, schema.names)
+
+
+def _passing(spark: SparkSession, c: scan.CellScan, kind: dtypes.ValueType, name: str, condition: str, block: int, n: int) -> list[tuple[int, int]]:
+    """Intervals of a dimension of n places, whole chunks of it, outside of which a label's condition doesn't hold."""
+    schema = T.StructType([T.StructField("dim_0", _LONG), T.StructField("value", kind.spark)])
+    found = over_runs(spark, len(c.parts), replace(c, columns=("dim_0", "value")).read, schema)
+    chunks = found.withColumnRenamed("value", name).where(condition).select(F.floor(F.col("dim_0") / block).alias("chunk")).distinct()
+    spans = [(r["chunk"] * block, r["chunk"] * block + block - 1) for r in chunks.where(F.col("chunk") * block < n).collect()]
+    beyond = c.array.shape[0]
+    # Cells beyond the label's array, or in its missing chunks, have a null label, of which a condition may hold.
+    if spark.range(1).select(F.lit(None).cast(kind.spark).alias(name)).where(condition).count():
+        spans = [(0, n - 1)] if c.array.fill is None else [*spans, (beyond, n - 1)]
+    return spans

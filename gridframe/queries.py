@@ -530,6 +530,29 @@ def aligned_pruned(s: Stores) -> DataFrame:
     return grids.joined_cells(s.spark, {"total": (totals, "a"), "customer": (customers, "a")}, where="dim_0 < 100 OR dim_0 > 5000 AND customer < 30")
 
 
+def _labels(s: Stores) -> dict[str, tuple[int, str, str]]:
+    """The suppliers' balances along dim_0, and how many lines have each number along dim_1."""
+    suppliers = s.table("supplier").select(F.col("s_suppkey").alias("dim_0"), F.col("s_acctbal").alias("value"))
+    balances = s.v2("supplier_balances", (s.size("supplier", "s_suppkey"),), (24,), "<f8", suppliers)
+    lines = s.table("lineitem").groupBy((F.col("l_linenumber") - 1).cast("long").alias("dim_0")).agg(F.count("*").alias("value"))
+    return {"balance": (0, balances, "a"), "lines": (1, s.v2("line_counts", (7,), (3,), "<i8", lines), "a")}
+
+
+_LABELLED = f"SELECT q.dim_0, q.dim_1, q.value, s_acctbal AS balance, n AS lines FROM {_WHOLE} q JOIN supplier ON s_suppkey = q.dim_0 JOIN (SELECT l_linenumber - 1 AS line, count(*) AS n FROM lineitem GROUP BY 1) ON line = q.dim_1"
+
+
+@query(_LABELLED)
+def labelled_cells(s: Stores) -> DataFrame:
+    """Cells with the values of two arrays that belong to their dimensions, in one scan."""
+    return grids.labelled_cells(s.spark, _quantities_i8(s), "a", _labels(s))
+
+
+@query(f"SELECT * FROM ({_LABELLED}) WHERE balance > 6000 AND (lines < 5000 OR value > 50)")
+def labelled_cells_pruned(s: Stores) -> DataFrame:
+    """A condition on a label decides which chunks are opened."""
+    return grids.labelled_cells(s.spark, _quantities_i8(s), "a", _labels(s), "balance > 6000 AND (lines < 5000 OR value > 50)")
+
+
 def _corrected(s: Stores) -> str:
     """The quantities with those of one supplier in sixteen doubled."""
     cells = s.quantities().withColumn("value", F.when(F.col("dim_0") % 16 == 5, F.col("value") * 2).otherwise(F.col("value")))
@@ -661,6 +684,14 @@ def window_extremes(s: Stores) -> DataFrame:
     return found.select("dim_0", "dim_1", *(F.col(c).cast("double").alias(c) for c in ("value", "low", "high", "later")))
 
 
+@query(f"SELECT a.dim_0, a.dim_1, a.value, b.value AS below, c.value AS across, 4 * a.value - coalesce(b.value, 0) - coalesce(u.value, 0) - coalesce(l.value, 0) - coalesce(r.value, 0) AS laplace FROM {_WHOLE} a LEFT JOIN {_WHOLE} b ON b.dim_0 = a.dim_0 + 1 AND b.dim_1 = a.dim_1 LEFT JOIN {_WHOLE} u ON u.dim_0 = a.dim_0 - 1 AND u.dim_1 = a.dim_1 LEFT JOIN {_WHOLE} l ON l.dim_0 = a.dim_0 AND l.dim_1 = a.dim_1 - 1 LEFT JOIN {_WHOLE} r ON r.dim_0 = a.dim_0 AND r.dim_1 = a.dim_1 + 1 LEFT JOIN {_WHOLE} c ON c.dim_0 = a.dim_0 - 2 AND c.dim_1 = a.dim_1 + 3")
+def window_stencil(s: Stores) -> DataFrame:
+    """Neighbours along both dimensions: four self joins in SQL, one scan here."""
+    found = grids.neighbours(s.spark, _quantities_i8(s), "a", 0, shifted={"below": 1, "above": -1, "left": (0, -1), "right": (0, 1), "across": (-2, 3)})
+    around = sum((F.coalesce(c, F.lit(0)) for c in ("below", "above", "left", "right")), F.lit(0))
+    return found.select("dim_0", "dim_1", "value", "below", "across", (4 * F.col("value") - around).alias("laplace"))
+
+
 @query(f"SELECT dim_0, dim_1, rank() OVER (PARTITION BY dim_1 ORDER BY value DESC) AS place, row_number() OVER (PARTITION BY dim_1 ORDER BY value DESC, dim_0) AS row FROM {_WHOLE}")
 def window_rank(s: Stores) -> DataFrame:
     """Seven groups that grow with the array: ranked by ranges, none is in one task."""

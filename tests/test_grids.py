@@ -416,3 +416,52 @@ def test_differences(spark, store, shards, tmp_path):
         w.v2_array(path, name, (6,), (2,), "<f8", fill=fill)
         w.write_values(path, name, np.array([np.nan, 1, 0, 0, 5, 5.0]), skip={(1,)})
     assert rows(grids.changed_cells(spark, (f"{path}/x", ""), (f"{path}/y", ""))) == ["(2, 1.0, 2.0)", "(3, 1.0, 2.0)"]
+
+
+# Labels and stencils.
+
+
+@pytest.fixture(scope="module")
+def labelled(store, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("l") / "l.zarr")
+    w.v2_group(path)
+    w.v2_array(path, "lat", (17,), (5,), "<f8", fill=None)
+    w.write_values(path, "lat", np.linspace(0, 40, 17))
+    w.v2_array(path, "lon", (30,), (8,), "<i2")
+    w.write_values(path, "lon", np.arange(30) * 3 % 11)
+    return {"lat": (0, path, "lat"), "lon": (1, path, "lon")}
+
+
+@pytest.mark.parametrize("where", [None, "lat BETWEEN 5 AND 9", "lat > 30 OR lat IS NULL", "lat IS NULL AND dim_1 = 3", "lon IN (3, 4) AND lat < 10 AND value > 20", "lat > 30 OR dim_1 = 2", "lat > 90", "lat > rand() AND dim_0 = 99"])
+def test_labels(spark, store, labelled, where):
+    lat, lon = (z.zarr_cells(spark, p, a).toDF(f"dim_{d}", n) for n, (d, p, a) in labelled.items())
+    whole = z.zarr_cells(spark, store, "a").join(lat, "dim_0", "left").join(lon, "dim_1", "left").select("dim_0", "dim_1", "value", "lat", "lon")
+    found = grids.labelled_cells(spark, store, "a", labelled, where)
+    assert rows(found) == rows(whole if where is None else whole.where(where)) and exchanges(found) == 0
+
+
+def test_labels_decide_what_is_opened(spark, labelled, tmp_path):
+    path = str(tmp_path / "t.zarr")
+    w.v2_group(path)
+    w.v2_array(path, "a", (17, 4), (5, 4), "<i4")
+    w.write_values(path, "a", np.arange(68, dtype="<i4").reshape(17, 4))
+    kept(path, "1.0")
+    assert grids.labelled_cells(spark, path, "a", {"lat": labelled["lat"]}, "lat BETWEEN 13 AND 18 AND value >= 0").count() == 8
+    for wrong in ({"lat": (2, *labelled["lat"][1:])}, {"value": labelled["lat"]}, {"a": (0, path, "a")}):
+        with pytest.raises(StoreError):
+            grids.labelled_cells(spark, path, "a", wrong)
+
+
+def test_stencils(spark, store, shards):
+    for path, values in ((store, A), (shards, None)):
+        if values is None:
+            values = A.astype("<i8")
+            values[8:16, 12:24] = 5
+        found = grids.neighbours(spark, path, "a", 0, {"up": -1, "corner": (3, -9), "far": (0, 25)}, sums={"s": (1, 0)})
+        for r in found.collect():
+            x, y = r["dim_0"], r["dim_1"]
+            assert r["value"] == values[x, y] and r["up"] == (values[x - 1, y] if x else None) and r["s"] == values[max(0, x - 1) : x + 1, y].sum()
+            assert r["corner"] == (values[x + 3, y - 9] if x + 3 < 20 and y >= 9 else None) and r["far"] == (values[x, y + 25] if y < 5 else None)
+        assert exchanges(found) == 0
+    with pytest.raises(StoreError, match="a number for each"):
+        grids.neighbours(spark, store, "a", 0, {"bad": (1, 2, 3)})

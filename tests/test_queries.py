@@ -10,7 +10,7 @@ pytestmark = pytest.mark.skipif(not TABLES.exists(), reason="the tables aren't h
 @pytest.mark.parametrize("name", [
     "arrays_walked", "chunks_of_sparse_array", "cells_2d_edges", "cells_u8", "cells_missing_absent", "cells_sharded_bitshuffle", "filter_in", "filter_or", "filter_is_null", "sql_view", "self_join", "agg_cube", "window_moving_sum", "join_chunks", "groups_walked", "groups_consolidated", "arrays_by_nation_v2", "arrays_listed_unreadable", "region_or", "region_not", "region_shifted", "region_projected", "sql_cells_function", "sql_runs_function", "sql_runs_function_pruned",
     "sql_view_twice", "sql_packed_mean", "packed_cells", "aligned_inner", "aligned_full", "aligned_pruned", "lookup_of_lines", "lookup_of_events", "scan_agg_blocks", "scan_agg_filtered", "scan_agg_shards", "count_cells", "window_extremes", "window_rank", "rank_of_ties", "join_theta", "order_by_value",
-    "diff_of_versions", "diff_of_unlike_arrays", "stacked_levels", "stacked_levels_pruned", "set_except",
+    "diff_of_versions", "diff_of_unlike_arrays", "stacked_levels", "stacked_levels_pruned", "set_except", "window_stencil", "labelled_cells", "labelled_cells_pruned",
 ])
 def test_query_equals_its_sql(spark, name):
     by_spark, by_sql = both(spark, q.QUERIES[name], q.ORACLE_SQL[name])
