@@ -20,13 +20,18 @@ very long. So there are three independent walks, a fingerprint has a part for ea
 
 `compare` looks at two given pairs a document, its edited text and the next document,
 with the whole method: shared band keys make them candidates, which are verified.
-`near_pairs` finds like texts of the whole corpus by bit-sampled bands: a band key is a few digits at
-shared places of the last two whole octaves (blocks of digits in short texts). Equal
-texts are one; texts that share a key are paired with the key's least id (as many
-pairs as rows), then verified by likeness, and by edit distance, as unlike texts may
-have like fingerprints. Where a key's texts are then in several components, those of
-different ones are paired and verified too, so no near pair that shares a key is
-left unjoined; such pairs can be as many as the square of the key's unlike texts.
+
+`near_pairs` finds the near texts of the whole corpus. A walk over a whole text is driven apart by
+scattered edits, so here many short walks begin at places that the text itself tells (a hash
+of the four characters before): what lies between two edits keeps its places and its walks. A key
+is a few sampled characters of a walk's first steps; a text has its least keys by hash. Texts are candidates
+if they share an eighth of them and are of like length, and are verified by edit distance alone. Keys
+of a text that are too frequent to decide are left aside, which loses no candidate: texts that
+share t of their keys share one that isn't among either's t - 1 most frequent. A key's texts
+(of about one length) are first paired with the least id among them. Where they are then in several
+components, those of different ones are paired as well, so that no candidate is left unjoined; what shared keys
+and lengths exclude is dropped inside that join, but in it a key of many unlike texts still has work in the square of
+their number.
 
 Null text counts as empty: its fingerprint is empty, like that of other empty texts,
 and unlike all others. Rows that repeat an id are ordered by text. Other columns are
@@ -42,12 +47,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridframe.llm.common import batch, keyed, mapped, slices, small, texts
+from gridframe.llm.common import batch, digest, keyed, mapped, slices, small, texts
 from gridframe.llm.near_dedup import components
 from gridframe.shared import written
 from gridframe.shipping import ship
@@ -307,74 +311,156 @@ def near_texts(a: str, b: str, least: float) -> bool:
     return a == b or edit_distance(a, b, most) <= most
 
 
-def _digest(text: str) -> bytes:
-    return xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+#: Places at which short walks begin: those where a hash of the WINDOW characters before is divisible by one of these, by the text's length.
+WINDOW = 4
+EVERY = ((0, 80, 1), (51, 640, 4), (410, 1 << 62, 16))
+#: A walk's steps, how many of them are sampled, walks from each place, and keys that a text has of each density.
+STEPS, SAMPLED, PIECE_WALKS, KEPT = 24, 10, 2, 32
+#: Texts are candidates if they share one in so many of their keys.
+SHARE = 8
+_MOVES = _random.integers(0, 2, (PIECE_WALKS, STEPS, 256))
+_SAMPLED = [np.sort(_random.choice(STEPS, SAMPLED, replace=False)) for _ in range(PIECE_WALKS)]
 
 
-def _verified(pairs: DataFrame, copies: DataFrame, docs: DataFrame, least: float) -> DataFrame:
-    """(a, b, near) of those pairs (a, b) whose fingerprints are so like, and whose texts are. Only texts of like fingerprints are read again."""
-    kind = pairs.schema["a"].dataType
-    fields = [T.StructField("a", kind), T.StructField("b", kind), T.StructField("near", T.DoubleType())]
-    like = T.StructType([*fields, T.StructField("copy_a", T.BinaryType()), T.StructField("copy_b", T.BinaryType())])
-    for side in "ab":
-        pairs = pairs.join(copies.select(F.col("rep").alias(side), F.col("copy").alias(f"copy_{side}"), F.col("fingerprint").alias(f"f{side}")), side)
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32))
 
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            near = [likeness(x, y) for x, y in zip(b.column(4).to_pylist(), b.column(5).to_pylist(), strict=True)]
-            yield batch(like, b.column(0), b.column(1), near, b.column(2), b.column(3)).filter(pa.array([x >= least for x in near], pa.bool_()))
 
-    pairs = written(mapped(pairs.select("a", "b", "copy_a", "copy_b", "fa", "fb"), compared, like), "like")
-    needed = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "like-ids")
-    held = written(docs.join(small(needed), "doc_id", "left_semi").distinct(), "like-texts")
-    for side in "ab":
-        pairs = pairs.join(held.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")), side)
+def piece_keys(values: list[str]) -> list[np.ndarray]:
+    """Keys of each text's short walks, as signed 64-bit numbers; none for an empty text."""
+    parts = [np.frombuffer(v.encode("utf-32-le", "surrogatepass"), "<u4") for v in values]
+    lengths = np.array([len(p) for p in parts], np.int64)
+    ends = np.cumsum(lengths)
+    starts = ends - lengths
+    points = np.concatenate(parts) if parts else np.zeros(0, "<u4")
+    classes = ((points * np.uint32(2654435761)) >> np.uint32(24)).astype(np.uint8)
+    out = [np.zeros(0, np.uint64)] * len(values)
+    if not len(points):
+        return [x.view(np.int64) for x in out]
+    window = np.zeros(len(points) + 1, np.uint64)  # at each place, of the characters before it
+    for k in range(WINDOW, 0, -1):
+        window[WINDOW:] = window[WINDOW:] * np.uint64(0x9E3779B97F4A7C15) ^ points[WINDOW - k : len(points) + 1 - k].astype(np.uint64)
+    window = _mixed(window)
+    for low, high, every in EVERY:
+        chosen = np.flatnonzero((lengths >= max(1, low)) & (lengths < high))
+        if not len(chosen):
+            continue
+        places = [np.concatenate([[starts[i]], np.arange(starts[i] + WINDOW, ends[i])[window[starts[i] + WINDOW : ends[i]] % np.uint64(every) == 0]]).astype(np.int64) if lengths[i] > WINDOW else starts[i : i + 1] for i in chosen]
+        counts = [len(p) for p in places]
+        begin, stop = np.concatenate(places), np.repeat(ends[chosen], counts)
+        keys = np.zeros((PIECE_WALKS, len(begin)), np.uint64)
+        for walk in range(PIECE_WALKS):
+            at, key, sampled = begin.copy(), np.full(len(begin), walk + 1, np.uint64), set(_SAMPLED[walk].tolist())
+            for step in range(STEPS):
+                here = np.where(at < stop, classes[np.minimum(at, len(classes) - 1)], 0)
+                if step in sampled:
+                    key = (key ^ here) * np.uint64(0x9E3779B97F4A7C15)
+                at += _MOVES[walk, step, here]
+            keys[walk] = _mixed(key)
+        at = 0
+        for i, n in zip(chosen, counts, strict=True):
+            out[i] = np.union1d(out[i], np.unique(keys[:, at : at + n])[:KEPT])
+            at += n
+    return [x.view(np.int64) for x in out]
+
+
+#: Characters by class, of which a difference in number bounds an edit distance from below.
+_BAG = 64
+
+
+def _bag(text: str) -> np.ndarray:
+    return np.bincount(char_classes(text) % _BAG, minlength=_BAG)
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> int:
+    """A lower bound of the edit distance of two texts with these bags."""
+    more = a - b
+    return max(int(more[more > 0].sum()), int(-more[more < 0].sum()))
+
+
+_COPY = [T.StructField("copy", T.BinaryType()), T.StructField("n_chars", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))]
+
+
+def _shared_enough() -> Column:
+    """Whether the lengths and marks of texts x and y allow a candidate. The marks' common bits, and what bits can't tell, bound the number of shared keys from above."""
+    bits = F.bit_count(F.col("low_x").bitwiseAND(F.col("low_y"))) + F.bit_count(F.col("high_x").bitwiseAND(F.col("high_y")))
+    return bits + F.least("over_x", "over_y") >= F.greatest("least_x", "least_y")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
+    """(a, b, near) of those pairs (copy_x, copy_y, a, b) whose texts are so near; near is the share of the longer text that stays."""
+    kind = pairs.schema["a"].dataType
+    fields = [T.StructField("a", kind), T.StructField("b", kind), T.StructField("near", T.DoubleType())]
+    pairs = written(pairs, "candidates")
+    needed = written(pairs.select(F.explode(F.array("copy_x", "copy_y")).alias("copy")).distinct(), "candidate-copies")
+    held = docs.select(digest("text").alias("copy"), "text").join(small(needed), "copy", "left_semi").dropDuplicates(["copy"])
+    held = written(held, "candidate-texts")
+    for side in "xy":
+        pairs = pairs.join(held.select(F.col("copy").alias(f"copy_{side}"), F.col("text").alias(f"text_{side}")), f"copy_{side}")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text_a"):
-            rows = zip(b.column(3).to_pylist(), b.column(4).to_pylist(), texts(b.column(5)), texts(b.column(6)), strict=True)
-            good = [_digest(x) == p and _digest(y) == q and near_texts(x, y, least) for p, q, x, y in rows]
-            yield batch(T.StructType(fields), b.column(0), b.column(1), b.column(2)).filter(pa.array(good, pa.bool_()))
-
-    found = mapped(pairs.select("a", "b", "near", "copy_a", "copy_b", "text_a", "text_b"), verify, T.StructType(fields))
+        for b in slices(batches, "text_x"):
+            near = []
+            for x, y in zip(texts(b.column(2)), texts(b.column(3)), strict=True):
+                n = max(len(x), len(y))
+                most = int((1 - least) * n + 1e-9)
+                far = _apart(_bag(x), _bag(y)) > most
+                d = most + 1 if far else edit_distance(x, y, most)
+                near.append(1 - d / n if d <= most else -1.0)
+            yield batch(T.StructType(fields), b.column(0), b.column(1), near).filter(pa.array([x >= 0 for x in near], pa.bool_()))
+
+    found = mapped(pairs.select("a", "b", "text_x", "text_y"), verify, T.StructType(fields))
     return written(found.groupBy("a", "b").agg(F.max("near").alias("near")), "near")
 
 
 def near_pairs(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(a, b, near), a < b: pairs of near documents, that join all near documents in chains.
+    """(a, b, near), a < b: pairs of near documents, that join all candidates that are near in chains.
 
-    Documents are near if they share a band key, their fingerprints are so like and so
-    are their texts, or if they have the same text. Rows that repeat an id are one
-    document, near another one if any of its texts is.
+    Documents are near if an edit of at most a share of 1 - `least` of the longer text makes one of
+    the other, and candidates if they share keys (see above), or have the same text. Near is the
+    share that stays. Rows that repeat an id are one document, near another one if any of its texts is.
     """
     docs = keyed(docs, id_col, text_col).where(F.col("doc_id").isNotNull())
-    fields = [T.StructField("copy", T.BinaryType()), T.StructField("fingerprint", T.StringType()), T.StructField("keys", T.ArrayType(T.LongType()))]
-    schema = T.StructType([docs.schema["doc_id"], *fields])
+    schema = T.StructType([docs.schema["doc_id"], *_COPY])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, size=GROUP):
+        for b in slices(batches):
             values = texts(b.column(1))
-            found = fingerprints(values)
-            # Keys that clash by their hashes only make more pairs to verify.
-            keys = [np.array([xxhash.xxh3_64_intdigest(k) for k in band_keys(x)], np.uint64).view(np.int64) for x in found]
-            yield batch(schema, b.column(0), [_digest(x) for x in values], found, keys)
-
-    marked = written(mapped(docs, mark, schema), "fingerprints")
-    first = marked.groupBy("copy").agg(F.min(F.struct("doc_id", "fingerprint", "keys")).alias("first"))
-    copies = written(first.select("copy", F.col("first.doc_id").alias("rep"), "first.fingerprint", "first.keys"), "copies")
+            yield batch(schema, b.column(0), [hashlib.md5(v.encode("utf-8", "surrogatepass")).digest() for v in values], [len(v) for v in values], piece_keys(values))
+
+    marked = written(mapped(docs, mark, schema), "marked")
+    first = marked.groupBy("copy").agg(F.min(F.struct("doc_id", "n_chars", "keys")).alias("first"))
+    bit = lambda part: F.aggregate(F.filter("keys", lambda k: k.bitwiseAND(F.lit(64)) == (64 * part)), F.lit(0).cast("long"), lambda m, k: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
+    copies = first.select("copy", F.col("first.doc_id").alias("rep"), "first.n_chars", "first.keys").select("copy", "rep", "n_chars", "keys", bit(0).alias("low"), bit(1).alias("high"))
+    n_keys = F.size("keys")
+    copies = copies.withColumns({"least": F.greatest(F.lit(1), F.floor(n_keys / SHARE)).cast("int"), "over": n_keys - F.bit_count("low") - F.bit_count("high")})
+    copies = written(copies, "copies")
     equal = marked.join(copies.select("copy", "rep"), "copy").where("rep < doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"), F.lit(1.0).alias("near"))
-    banded = copies.select("rep", F.explode("keys").alias("key")).distinct()
-    leaders = banded.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last")).where("leader < last").select("key", "leader")
-    members = written(banded.join(leaders, "key"), "members")
-    stars = written(members.where("leader < rep").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct(), "stars")
-    links = _verified(stars, copies, docs, least)
-    # Rows that a key's leader leaves in other components are paired with each of those there: chains need no more pairs.
-    groups = components(links.unionByName(equal).select("a", "b"))
-    labelled = members.join(groups, members["rep"] == groups["v"], "left").select("key", "rep", F.coalesce("c", "rep").alias("c"))
-    sizes = labelled.groupBy("key", "c").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("top"), F.count("*").alias("k")).where("k > 1").select("key", F.col("top.c").alias("main"))
-    mixed = written(labelled.join(largest, "key"), "mixed")
-    others = mixed.where("c != main").select("key", F.col("rep").alias("x"), F.col("c").alias("cx"))
-    rest = mixed.join(others, "key").where("c != cx").select(F.least("rep", "x").alias("a"), F.greatest("rep", "x").alias("b")).distinct()
-    more = _verified(rest.join(stars, ["a", "b"], "left_anti"), copies, docs, least)
+    # An id with several texts is led by one of them in each group of copies: its texts are told apart by their digest.
+    own = ["copy", "rep"]
+    keys = copies.select(*own, "n_chars", "least", F.explode("keys").alias("key"))
+    often = keys.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
+    placed = keys.join(often, "key").withColumn("place", F.row_number().over(Window.partitionBy(*own).orderBy(F.desc("times"), "key")))
+    # By length as well, each text in its own class and the next: near texts have one in common.
+    size = F.floor(F.log(F.col("n_chars") + 1) / F.log(F.lit(1 / least)))
+    groups = placed.where(F.col("place") >= F.col("least")).select("copy", "rep", F.explode(F.array(F.xxhash64("key", size), F.xxhash64("key", size + 1))).alias("group")).distinct()
+    small_copies = copies.select("copy", "rep", "n_chars", "least", "low", "high", "over")
+    members = written(groups, "groups")
+    leaders = members.groupBy("group").agg(F.min(F.struct(*own)).alias("leader"), F.count("*").alias("n")).where("n > 1").select("group", F.col("leader.copy").alias("copy_x"), F.col("leader.rep").alias("x"))
+    stars = members.join(leaders, "group").where(F.col("copy") != F.col("copy_x")).select("copy_x", F.col("copy").alias("copy_y")).distinct()
+    side = lambda s: small_copies.select(*(F.col(c).alias(f"{c}_{s}") for c in small_copies.columns))
+    like = F.least("n_chars_x", "n_chars_y") + 1e-9 >= F.greatest("n_chars_x", "n_chars_y") * least
+    tested = stars.join(small(side("x"), 200_000), "copy_x").join(small(side("y"), 200_000), "copy_y").where(like & _shared_enough())
+    ends = [F.least("copy_x", "copy_y").alias("copy_x"), F.greatest("copy_x", "copy_y").alias("copy_y"), F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")]
+    pair = written(tested.where("rep_x != rep_y").select(*ends).distinct(), "stars")
+    links = _verified(pair, docs, least)
+    # What a leader leaves in other components is paired with the rest there: chains need no more pairs.
+    joined = components(links.unionByName(equal).select("a", "b"))
+    labelled = members.join(joined, members["rep"] == joined["v"], "left").select("group", *own, F.coalesce("c", "rep").alias("c"))
+    mixed = labelled.groupBy("group").agg(F.min("c").alias("low_c"), F.max("c").alias("high_c")).where("low_c < high_c").select("group")
+    held = written(labelled.join(mixed, "group", "left_semi").join(small(small_copies, 200_000), own), "mixed")
+    two = lambda s: held.select("group", *(F.col(c).alias(f"{c}_{s}") for c in held.columns if c != "group"))
+    rest = two("x").join(two("y"), "group").where((F.col("c_x") != F.col("c_y")) & (F.col("rep_x") < F.col("rep_y")) & like & _shared_enough())
+    more = _verified(rest.select(*ends).distinct().join(pair, ["copy_x", "copy_y"], "left_anti"), docs, least)
     return links.unionByName(more).unionByName(equal).groupBy("a", "b").agg(F.max("near").alias("near"))

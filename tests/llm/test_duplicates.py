@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridframe.llm import decontaminate, fingerprints, near_dedup
 from tests.llm.conftest import ODD, prose
+from tests.oracle import TABLES
 
 
 def changed(text, every, seed=0):
@@ -235,14 +236,20 @@ def joined(pairs, n):
 
 
 def brute_pairs(texts, least=0.8):
-    marks = fingerprints.fingerprints([t or "" for t in texts])
-    keys = [set(fingerprints.band_keys(m)) for m in marks]
+    """All pairs that are near by edit distance, whatever keys they share."""
     for a, b in combinations(range(len(texts)), 2):
         x, y = texts[a] or "", texts[b] or ""
-        if x == y or keys[a] & keys[b] and fingerprints.likeness(marks[a], marks[b]) >= least and slow_distance(x, y) <= (1 - least) * max(len(x), len(y)) + 1e-9:
+        most = int((1 - least) * max(len(x), len(y)) + 1e-9)
+        if x == y or (abs(len(x) - len(y)) <= most and fingerprints.edit_distance(x, y, most) <= most):
             yield a, b
 
 
+def recall(found, wanted, n):
+    """The share of the wanted pairs that the found ones join in chains."""
+    label = joined(found, n)
+    return sum(label[a] == label[b] for a, b in wanted) / len(wanted)
+
+
 def slow_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a):
@@ -254,8 +261,8 @@ def slow_distance(a, b):
 
 def test_near_pairs_of_a_hot_key_and_of_short_texts(make, monkeypatch):
     # All texts share a key, whose least id is unlike the rest.
-    plain = fingerprints.band_keys
-    monkeypatch.setattr(fingerprints, "band_keys", lambda mark: [*plain(mark), "hot"])
+    plain = fingerprints.piece_keys
+    monkeypatch.setattr(fingerprints, "piece_keys", lambda values: [np.append(k, 7) for k in plain(values)])
     texts = ["unlike all the others, and first", None, "", *(prose(k, 40, WORDS) for k in range(5))]
     texts += [t[:60] + "x" + t[61:] for t in texts[3:]] + [texts[4]]
     short = ["call me at noon tomorrow", "see you", "abcdefghij klm"]
@@ -264,6 +271,46 @@ def test_near_pairs_of_a_hot_key_and_of_short_texts(make, monkeypatch):
     wanted = set(brute_pairs(texts))
     assert set(found) <= wanted and joined(found, len(texts)) == joined(wanted, len(texts))
     assert {(k, k + 5) for k in range(3, 8)} <= wanted and (4, 13) in wanted
+    for (a, b), near in found.items():
+        x, y = texts[a] or "", texts[b] or ""
+        assert near == (1 - slow_distance(x, y) / max(len(x), len(y)) if x != y else 1.0)
+
+
+def scattered(text, share, seed):
+    """The text with so large a share of its characters replaced, dropped or doubled, anywhere."""
+    rng, out = random.Random(seed), list(text)
+    for k in rng.sample(range(len(out)), max(1, int(share * len(out)))):
+        out[k] = rng.choice(["", "q", out[k] + rng.choice("aeiou")])
+    return "".join(out)
+
+
+@pytest.mark.parametrize("share", [0.01, 0.02, 0.05])
+def test_recall_of_scattered_edits(make, share):
+    texts = [prose(300 + k, 15 + 25 * k, WORDS) for k in range(30)]
+    texts += [scattered(t, share, k) for k, t in enumerate(texts)]
+    found = {(r.a, r.b) for r in fingerprints.near_pairs(make(texts)).collect()}
+    wanted = set(brute_pairs(texts))
+    assert {(k, k + 30) for k in range(30)} <= wanted and found <= wanted
+    assert recall(found, wanted, len(texts)) >= 0.9
+
+
+@pytest.mark.skipif(not TABLES.exists(), reason="the tables aren't here")
+def test_recall_on_given_documents(spark):
+    """All pairs by edit distance among the documents of up to 2,500 characters."""
+    texts = sorted({r.text for r in spark.read.parquet(f"{TABLES}/documents.parquet").collect() if r.text and 20 <= len(r.text) <= 2500})
+    found = {(r.a, r.b) for r in fingerprints.near_pairs(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    wanted = set(brute_pairs(texts))
+    assert found <= wanted and len(wanted) >= 3 and recall(found, wanted, len(texts)) >= 0.9
+
+
+def test_keys_of_all_densities():
+    """Texts of about one length have keys in common wherever the densities change; keys don't depend on the other texts."""
+    for n in (60, 79, 80, 410, 512, 640, 700):
+        text = prose(n, n, WORDS)[:n]
+        a, b = fingerprints.piece_keys([text, "other " * 20, text[: n - 3] + "zz"])[::2]
+        assert len(set(a.tolist()) & set(b.tolist())) * 2 > min(len(a), len(b))
+        assert fingerprints.piece_keys([text])[0].tolist() == a.tolist()
+    assert [len(k) for k in fingerprints.piece_keys(["", "a", "", "日本"])] == [0, 2, 0, 2] and fingerprints.piece_keys([]) == []
 
 
 def test_short_texts_share_keys_if_near():
