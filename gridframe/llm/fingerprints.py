@@ -25,7 +25,7 @@ with the whole method: shared band keys make them candidates, which are verified
 scattered edits, so here many short walks begin at places that the text itself tells (a hash
 of the four characters before): what lies between two edits keeps its places and its walks. A key
 is a few sampled characters of a walk's first steps; a text has its least keys by hash. Texts are candidates
-if they share an eighth of them and are of like length, and are verified by edit distance alone. Keys
+if they share a sixth of them and are of like length, and are verified by edit distance alone. Keys
 of a text that are too frequent to decide are left aside, which loses no candidate: texts that
 share t of their keys share one that isn't among either's t - 1 most frequent. A key's texts
 (of about one length) are first paired with the least id among them. Where they are then in several
@@ -274,10 +274,68 @@ def band_keys(mark: str) -> list[str]:
     return out
 
 
+#: Characters by class, of which a difference in number bounds an edit distance from below.
+_BAG = 64
+
+
+def _bag(text: str) -> np.ndarray:
+    return np.bincount(char_classes(text) % _BAG, minlength=_BAG)
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> int:
+    """A lower bound of the edit distance of two texts with these bags."""
+    more = a - b
+    return max(int(more[more > 0].sum()), int(-more[more < 0].sum()))
+
+
+#: Edits up to which texts are compared along diagonals.
+FEW_EDITS = 48
+
+
+def _alike(a: str, b: str, i: int, j: int) -> int:
+    """How many characters a from i and b from j on have in common."""
+    n, at, step = min(len(a) - i, len(b) - j), 0, 16
+    while at < n and a[i + at : i + at + step] == b[j + at : j + at + step]:
+        at, step = at + step, step * 2
+    if at >= n:
+        return n
+    while step > 1:
+        step //= 2
+        if a[i + at : i + at + step] == b[j + at : j + at + step]:
+            at += step
+    return min(at, n)
+
+
+def _few_edits(a: str, b: str, most: int, give_up: bool = False) -> int | None:
+    """The edit distance if it is at most `most`, in the square of `most` comparisons of stretches; else None.
+
+    give_up: None too where the first eight edits don't lead half as far as `most` edits would have to.
+    """
+    # For each diagonal i - j the furthest i that so many edits reach.
+    end, reached = len(a) - len(b), {0: _alike(a, b, 0, 0)}
+    for edits in range(most + 1):
+        if reached.get(end, -1) >= len(a):
+            return edits
+        if give_up and edits == 8 and 2 * most * max(reached.values()) < 8 * len(a):
+            return None
+        after = {}
+        for d in range(-edits - 1, edits + 2):
+            # A replacement, a character of a left out, one of b put in.
+            i = max(reached.get(d, -2) + 1, reached.get(d - 1, -2) + 1, reached.get(d + 1, -2))
+            i = min(i, len(a), len(b) + d)
+            if i >= max(0, d):
+                after[d] = i + _alike(a, b, i, i - d)
+        reached = after
+    return None
+
+
 def edit_distance(a: str, b: str, most: int) -> int:
     """Insertions, deletions and replacements between the texts; some number over `most` if there are more than that.
 
-    Bit-parallel: a whole column of the table of distances is a few long integers.
+    Texts whose characters differ too much in number are told at once, and texts a few edits apart by
+    comparing stretches along diagonals, both in about the texts' length. Others take its square: the
+    table of distances is filled bit-parallel, a whole column being a few long integers, so two unlike
+    texts of the same characters take some 14 s at 200,000 characters.
     """
     n = min(len(a), len(b))
     if abs(len(a) - len(b)) > most:
@@ -287,6 +345,13 @@ def edit_distance(a: str, b: str, most: int) -> int:
     a, b = sorted((a[start : len(a) - end], b[start : len(b) - end]), key=len)
     if not a:
         return len(b)
+    if len(a) >= 64:
+        if _apart(_bag(a), _bag(b)) > most:
+            return most + 1
+        if (few := _few_edits(a, b, min(most, FEW_EDITS), most > FEW_EDITS)) is not None:
+            return few
+        if most <= FEW_EDITS:
+            return most + 1
     at: dict[str, int] = {}
     for c in set(a):
         at[c] = int("".join("1" if x == c else "0" for x in reversed(a)), 2) if len(a) < 64 else int.from_bytes(np.packbits(np.frombuffer(a.encode("utf-32-le", "surrogatepass"), "<u4") == ord(c), bitorder="little").tobytes(), "little")
@@ -317,7 +382,7 @@ EVERY = ((0, 80, 1), (51, 640, 4), (410, 1 << 62, 16))
 #: A walk's steps, how many of them are sampled, walks from each place, and keys that a text has of each density.
 STEPS, SAMPLED, PIECE_WALKS, KEPT = 24, 10, 2, 32
 #: Texts are candidates if they share one in so many of their keys.
-SHARE = 8
+SHARE = 6
 _MOVES = _random.integers(0, 2, (PIECE_WALKS, STEPS, 256))
 _SAMPLED = [np.sort(_random.choice(STEPS, SAMPLED, replace=False)) for _ in range(PIECE_WALKS)]
 
@@ -365,27 +430,14 @@ def piece_keys(values: list[str]) -> list[np.ndarray]:
     return [x.view(np.int64) for x in out]
 
 
-#: Characters by class, of which a difference in number bounds an edit distance from below.
-_BAG = 64
-
-
-def _bag(text: str) -> np.ndarray:
-    return np.bincount(char_classes(text) % _BAG, minlength=_BAG)
-
-
-def _apart(a: np.ndarray, b: np.ndarray) -> int:
-    """A lower bound of the edit distance of two texts with these bags."""
-    more = a - b
-    return max(int(more[more > 0].sum()), int(-more[more < 0].sum()))
-
-
 _COPY = [T.StructField("copy", T.BinaryType()), T.StructField("n_chars", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))]
+#: Texts whose lengths and short keys (some 200 bytes) are broadcast at most.
+MAX_SHORT = 500_000
 
 
 def _shared_enough() -> Column:
-    """Whether the lengths and marks of texts x and y allow a candidate. The marks' common bits, and what bits can't tell, bound the number of shared keys from above."""
-    bits = F.bit_count(F.col("low_x").bitwiseAND(F.col("low_y"))) + F.bit_count(F.col("high_x").bitwiseAND(F.col("high_y")))
-    return bits + F.least("over_x", "over_y") >= F.greatest("least_x", "least_y")
+    """Whether the short keys of texts x and y allow a candidate: those in common, and those that short ones can't tell, bound the shared keys from above."""
+    return F.size(F.array_intersect("short_x", "short_y")) + F.least("over_x", "over_y") >= F.greatest("least_x", "least_y")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
@@ -405,8 +457,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
             for x, y in zip(texts(b.column(2)), texts(b.column(3)), strict=True):
                 n = max(len(x), len(y))
                 most = int((1 - least) * n + 1e-9)
-                far = _apart(_bag(x), _bag(y)) > most
-                d = most + 1 if far else edit_distance(x, y, most)
+                d = edit_distance(x, y, most)
                 near.append(1 - d / n if d <= most else -1.0)
             yield batch(T.StructType(fields), b.column(0), b.column(1), near).filter(pa.array([x >= 0 for x in near], pa.bool_()))
 
@@ -431,36 +482,33 @@ def near_pairs(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text
 
     marked = written(mapped(docs, mark, schema), "marked")
     first = marked.groupBy("copy").agg(F.min(F.struct("doc_id", "n_chars", "keys")).alias("first"))
-    bit = lambda part: F.aggregate(F.filter("keys", lambda k: k.bitwiseAND(F.lit(64)) == (64 * part)), F.lit(0).cast("long"), lambda m, k: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(F.lit(63)).cast("int"))))
-    copies = first.select("copy", F.col("first.doc_id").alias("rep"), "first.n_chars", "first.keys").select("copy", "rep", "n_chars", "keys", bit(0).alias("low"), bit(1).alias("high"))
-    n_keys = F.size("keys")
-    copies = copies.withColumns({"least": F.greatest(F.lit(1), F.floor(n_keys / SHARE)).cast("int"), "over": n_keys - F.bit_count("low") - F.bit_count("high")})
+    copies = first.select(F.monotonically_increasing_id().alias("text_no"), "copy", F.col("first.doc_id").alias("rep"), F.col("first.n_chars").cast("int").alias("n_chars"), "first.keys")
+    short = F.array_distinct(F.transform("keys", lambda k: (k.bitwiseAND(F.lit(0xFFFF)) - 0x8000).cast("short")))
+    copies = copies.withColumns({"least": F.greatest(F.lit(1), F.floor(F.size("keys") / SHARE)).cast("int"), "short": short}).withColumn("over", F.size("keys") - F.size("short"))
     copies = written(copies, "copies")
     equal = marked.join(copies.select("copy", "rep"), "copy").where("rep < doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"), F.lit(1.0).alias("near"))
-    # An id with several texts is led by one of them in each group of copies: its texts are told apart by their digest.
-    own = ["copy", "rep"]
-    keys = copies.select(*own, "n_chars", "least", F.explode("keys").alias("key"))
+    keys = copies.select("text_no", "n_chars", "least", F.explode("keys").alias("key"))
     often = keys.groupBy("key").agg(F.count("*").alias("times")).where("times > 1")
-    placed = keys.join(often, "key").withColumn("place", F.row_number().over(Window.partitionBy(*own).orderBy(F.desc("times"), "key")))
+    placed = keys.join(often, "key").withColumn("place", F.row_number().over(Window.partitionBy("text_no").orderBy(F.desc("times"), "key")))
     # By length as well, each text in its own class and the next: near texts have one in common.
     size = F.floor(F.log(F.col("n_chars") + 1) / F.log(F.lit(1 / least)))
-    groups = placed.where(F.col("place") >= F.col("least")).select("copy", "rep", F.explode(F.array(F.xxhash64("key", size), F.xxhash64("key", size + 1))).alias("group")).distinct()
-    small_copies = copies.select("copy", "rep", "n_chars", "least", "low", "high", "over")
-    members = written(groups, "groups")
-    leaders = members.groupBy("group").agg(F.min(F.struct(*own)).alias("leader"), F.count("*").alias("n")).where("n > 1").select("group", F.col("leader.copy").alias("copy_x"), F.col("leader.rep").alias("x"))
-    stars = members.join(leaders, "group").where(F.col("copy") != F.col("copy_x")).select("copy_x", F.col("copy").alias("copy_y")).distinct()
-    side = lambda s: small_copies.select(*(F.col(c).alias(f"{c}_{s}") for c in small_copies.columns))
+    members = written(placed.where(F.col("place") >= F.col("least")).select("text_no", F.explode(F.array(F.xxhash64("key", size), F.xxhash64("key", size + 1))).alias("group")), "groups")
+    leaders = members.groupBy("group").agg(F.min("text_no").alias("no_x"), F.count("*").alias("n")).where("n > 1").select("group", "no_x")
+    stars = members.join(leaders, "group").where("text_no != no_x").select("no_x", F.col("text_no").alias("no_y")).distinct()
+    traits = copies.select("text_no", "copy", "rep", "n_chars", "least", "short", "over")
+    side = lambda s: small(traits, MAX_SHORT).select(*(F.col(c).alias(f"no_{s}" if c == "text_no" else f"{c}_{s}") for c in traits.columns))
     like = F.least("n_chars_x", "n_chars_y") + 1e-9 >= F.greatest("n_chars_x", "n_chars_y") * least
-    tested = stars.join(small(side("x"), 200_000), "copy_x").join(small(side("y"), 200_000), "copy_y").where(like & _shared_enough())
+    tested = stars.join(side("x"), "no_x").join(side("y"), "no_y").where(like & _shared_enough())
     ends = [F.least("copy_x", "copy_y").alias("copy_x"), F.greatest("copy_x", "copy_y").alias("copy_y"), F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")]
     pair = written(tested.where("rep_x != rep_y").select(*ends).distinct(), "stars")
     links = _verified(pair, docs, least)
     # What a leader leaves in other components is paired with the rest there: chains need no more pairs.
     joined = components(links.unionByName(equal).select("a", "b"))
-    labelled = members.join(joined, members["rep"] == joined["v"], "left").select("group", *own, F.coalesce("c", "rep").alias("c"))
-    mixed = labelled.groupBy("group").agg(F.min("c").alias("low_c"), F.max("c").alias("high_c")).where("low_c < high_c").select("group")
-    held = written(labelled.join(mixed, "group", "left_semi").join(small(small_copies, 200_000), own), "mixed")
+    owned = traits.join(joined, traits["rep"] == joined["v"], "left").select("*", F.coalesce("c", "rep").alias("label")).drop("v", "c")
+    labelled = written(members.join(owned.select("text_no", "label"), "text_no"), "labelled")
+    mixed = labelled.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("group")
+    held = written(labelled.join(mixed, "group", "left_semi").join(traits, "text_no"), "mixed")
     two = lambda s: held.select("group", *(F.col(c).alias(f"{c}_{s}") for c in held.columns if c != "group"))
-    rest = two("x").join(two("y"), "group").where((F.col("c_x") != F.col("c_y")) & (F.col("rep_x") < F.col("rep_y")) & like & _shared_enough())
+    rest = two("x").join(two("y"), "group").where((F.col("label_x") != F.col("label_y")) & (F.col("rep_x") < F.col("rep_y")) & like & _shared_enough())
     more = _verified(rest.select(*ends).distinct().join(pair, ["copy_x", "copy_y"], "left_anti"), docs, least)
     return links.unionByName(more).unionByName(equal).groupBy("a", "b").agg(F.max("near").alias("near"))

@@ -2,10 +2,13 @@
 
 import hashlib
 import random
+import time
 from itertools import combinations
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gridframe.llm import decontaminate, fingerprints, near_dedup
@@ -336,6 +339,32 @@ def test_edit_distance():
         assert want == 0 or fingerprints.edit_distance(a, b, want - 1) > want - 1
 
 
+@settings(max_examples=300, deadline=None)
+@given(a=st.text("abc", max_size=40), b=st.text("abc", max_size=40), most=st.integers(0, 12))
+def test_few_edits(a, b, most):
+    want = slow_distance(a, b)
+    assert fingerprints._few_edits(a, b, most) == (want if want <= most else None)
+
+
+def test_edit_distance_of_long_texts():
+    rng = random.Random(5)
+    long = prose(9, 160_000, WORDS)[:1_000_000]
+    few = list(long)
+    for k in rng.sample(range(len(few)), 30):
+        few[k] = rng.choice(["", "q", few[k] + "z"])
+    few = "".join(few)
+    began = time.time()
+    d = fingerprints.edit_distance(long, few, 200_000)
+    assert 1 <= d <= 40 and fingerprints.edit_distance(few, long, d) == d and fingerprints.edit_distance(long, few, d - 1) > d - 1
+    assert fingerprints.edit_distance(long, "zq" * 500_000, 200_000) > 200_000
+    assert time.time() - began < 20
+    for n in (100, 300, 700):
+        a = "".join(rng.choice("abcd") for _ in range(n))
+        b = "".join(rng.choice([c, c, c, "", "z"]) for c in a)
+        want = slow_distance(a, b)
+        assert fingerprints.edit_distance(a, b, n) == want and fingerprints.edit_distance(b, a, want - 1) > want - 1
+
+
 def test_equal_fingerprints_of_unlike_texts_are_no_pair(make):
     a = "the same digits"
     other = {}
