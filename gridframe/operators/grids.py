@@ -272,7 +272,9 @@ def _partial(values: np.ndarray, origin: tuple[int, ...], size: tuple[int, ...],
         starts.append(first)
     rest = tuple(d for d in range(values.ndim) if d not in {g for g, _ in groups})
     n_rest = math.prod(values.shape[d] for d in rest)
-    exact_sums = kind.kind != "f" and (kind.text[1:] == "u8" or (values.dtype.itemsize == 8 and values.size and int(np.abs(values.astype(object)).max()) * values.size >= 2**63))
+    # Sums that 64 bits may not hold are Python's: Spark then says that they overflow.
+    widest = max(abs(int(values.min())), abs(int(values.max()))) if values.size and kind.kind != "f" else 0
+    exact_sums = kind.text[1:] == "u8" or widest * values.size >= 2**63
     sums = values.astype(object if exact_sums else np.float64 if kind.kind == "f" else np.int64).sum(axis=rest)
     low, high = np.fmin.reduce(values, axis=rest) if rest else values, np.maximum.reduce(values, axis=rest) if rest else values
     order = sorted(range(len(groups)), key=lambda g: groups[g][0])
