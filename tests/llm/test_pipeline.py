@@ -54,3 +54,22 @@ def test_names_and_queries():
     known = __spark_entry__.queries()
     assert "pipeline" in known and [n for n in range(1, 11) if sum(q.startswith(f"op{n}_") for q in known) != 1] == []
     assert set(__spark_entry__.oracle_sql()) <= set(known)
+
+
+def test_odd_tables(spark, tmp_path):
+    """Repeated rows, null ids, columns with operators' own names, and a benchmark without rows; then no documents at all."""
+    folder = f"{tmp_path}/odd"
+    texts = [prose(k, 60, EN if k % 2 else FR) for k in range(12)]
+    rows = [(k, t, "en" if k % 2 else "fr", "s", len(t)) for k, t in enumerate(texts)]
+    rows += [rows[3], rows[3], (None, texts[5] + " more", "en", "s", 1), (None, None, None, None, None), (90, "", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, DOCS).selectExpr("*", *(f"'clash' AS {n}" for n in ("score", "words", "piece", "length", "copy", "h")))
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, folder).collect(), docs.schema)
+    assert sorted(r.doc_id for r in docs.where("doc_id IS NOT NULL").collect()) == list(range(12)) and docs.where("text IS NULL OR text = ''").count() == 0
+    assert {r.doc_id for r in corpus_pipeline.run(spark, folder).collect()} >= set(range(12))
+    empty = f"{tmp_path}/empty"
+    spark.createDataFrame([], DOCS).write.parquet(f"{empty}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{empty}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, empty).count() == 0
