@@ -25,7 +25,7 @@ with the whole method: shared band keys make them candidates, which are verified
 scattered edits, so here many short walks begin at places that the text itself tells (a hash
 of the four characters before): what lies between two edits keeps its places and its walks. A key
 is a few sampled characters of a walk's first steps; a text has its least keys by hash. Texts are candidates
-if they share a sixth of them and are of like length, and are verified by edit distance alone. Keys
+if they share a third of them and are of like length, and are verified by edit distance alone. Keys
 of a text that are too frequent to decide are left aside, which loses no candidate: texts that
 share t of their keys share one that isn't among either's t - 1 most frequent. A key's texts
 (of about one length) are first paired with the least id among them. Where they are then in several
@@ -381,8 +381,8 @@ WINDOW = 4
 EVERY = ((0, 80, 1), (51, 640, 4), (410, 1 << 62, 16))
 #: A walk's steps, how many of them are sampled, walks from each place, and keys that a text has of each density.
 STEPS, SAMPLED, PIECE_WALKS, KEPT = 24, 10, 2, 32
-#: Texts are candidates if they share one in so many of their keys.
-SHARE = 6
+#: Texts are candidates if they share one in so many of their keys; texts under so many characters, of which an edit changes most keys, one in so many.
+SHARE, SHORT, SHARE_OF_SHORT = 3, 80, 8
 _MOVES = _random.integers(0, 2, (PIECE_WALKS, STEPS, 256))
 _SAMPLED = [np.sort(_random.choice(STEPS, SAMPLED, replace=False)) for _ in range(PIECE_WALKS)]
 
@@ -484,7 +484,7 @@ def near_pairs(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text
     first = marked.groupBy("copy").agg(F.min(F.struct("doc_id", "n_chars", "keys")).alias("first"))
     copies = first.select(F.monotonically_increasing_id().alias("text_no"), "copy", F.col("first.doc_id").alias("rep"), F.col("first.n_chars").cast("int").alias("n_chars"), "first.keys")
     short = F.array_distinct(F.transform("keys", lambda k: (k.bitwiseAND(F.lit(0xFFFF)) - 0x8000).cast("short")))
-    copies = copies.withColumns({"least": F.greatest(F.lit(1), F.floor(F.size("keys") / SHARE)).cast("int"), "short": short}).withColumn("over", F.size("keys") - F.size("short"))
+    copies = copies.withColumns({"least": F.greatest(F.lit(1), F.floor(F.size("keys") / F.when(F.col("n_chars") < SHORT, SHARE_OF_SHORT).otherwise(SHARE))).cast("int"), "short": short}).withColumn("over", F.size("keys") - F.size("short"))
     copies = written(copies, "copies")
     equal = marked.join(copies.select("copy", "rep"), "copy").where("rep < doc_id").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"), F.lit(1.0).alias("near"))
     keys = copies.select("text_no", "n_chars", "least", F.explode("keys").alias("key"))
