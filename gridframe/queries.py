@@ -278,11 +278,33 @@ TYPED = {
 }
 
 
+#: Types whose values outgrow them with the tables (p_partkey from 967,296 and 2,147,984 on), and the least value of each.
+WORDS = {"<u4": 0, "<i4": -(2**31)}
+
+
+def _of_words(s: Stores, name: str, dtype: str, expression: str) -> DataFrame:
+    """64-bit values as two arrays of a 4-byte type, joined by coordinates: `low` has what the type holds, `high` how often 2^32 is added to it."""
+
+    def make(path: str) -> None:
+        w.v2_group(path)
+        values = s.part_values(expression)
+        high = F.shiftright(F.col("value") - WORDS[dtype], 32)
+        for word, value in (("high", high), ("low", F.col("value") - high * F.lit(2**32))):
+            w.v2_array(path, word, (s.size("part", "p_partkey"),), (700,), dtype)
+            w.write_cells(values.withColumn("value", value), path, word)
+
+    path = s.once(name, make)
+    cells = grids.joined_cells(s.spark, {"low": (path, "low"), "high": (path, "high")})
+    return cells.select("dim_0", (F.col("high").cast("long") * F.lit(2**32) + F.col("low")).alias("value"))
+
+
 def _typed(dtype: str, expression: str, kind: str) -> None:
     label = ("big_" if dtype[0] == ">" else "") + dtype[1:]
 
     @query(f"SELECT p_partkey AS dim_0, CAST({expression} AS {kind}) AS value FROM part", f"cells_{label}")
     def run(s: Stores) -> DataFrame:
+        if dtype in WORDS:
+            return _of_words(s, f"typed_{label}", dtype, expression)
         stored = "|" + dtype[1:] if dtype[2:] == "1" else dtype
         path = s.v2(f"typed_{label}", (s.size("part", "p_partkey"),), (700,), stored, s.part_values(expression))
         return s.cells(path).withColumn("value", F.col("value").cast(kind.lower()))

@@ -94,10 +94,20 @@ def write_values(path: str, name: str, values: np.ndarray, skip: set[tuple[int,
             write_chunk(path, array, coords, chunk)
 
 
+def stored(given: np.ndarray, kind: dtypes.ValueType, name: str) -> np.ndarray:
+    """Values as the array stores them; raises ValueError for integers that its type can't hold."""
+    whole = np.array([int(v) for v in given], object) if given.dtype == object and kind.kind != "b" else given
+    if kind.kind in "iu" and len(whole):
+        limits = np.iinfo(kind.stored)
+        if whole.min() < limits.min or whole.max() > limits.max:
+            raise ValueError(f"array {name} of type {kind.text} can't hold values from {whole.min()} to {whole.max()}")
+    return whole.astype(kind.stored)
+
+
 def write_cells(cells: DataFrame, path: str, name: str) -> int:
     """Writes rows (dim_0, ..., value) as the array's chunk files; chunks without rows stay absent. Gives the number of files.
 
-    Cells of a written chunk that no row has get the fill value, or zero.
+    Cells of a written chunk that no row has get the fill value, or zero. Integers beyond the array's type raise.
     """
     array = node(path, name)
     kind = dtypes.parse(array.dtype)
@@ -113,8 +123,7 @@ def write_cells(cells: DataFrame, path: str, name: str) -> int:
         coords = layout.coords_at(position, grid)
         values = np.full(array.chunks, empty, kind.stored)
         at = tuple(pdf[f"dim_{k}"].to_numpy() - coords[k] * array.chunks[k] for k in range(rank))
-        given = pdf["value"].to_numpy()
-        values[at] = np.array([int(v) for v in given], kind.stored) if given.dtype == object else given.astype(kind.stored)
+        values[at] = stored(pdf["value"].to_numpy(), kind, name)
         write_chunk(path, array, coords, values)
         return pd.DataFrame({"chunk": [position]})
 

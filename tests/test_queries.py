@@ -1,7 +1,9 @@
+import duckdb
 import pytest
 
 import __spark_entry__
 from gridframe import queries as q
+from gridframe.sources import writer as w
 from tests.oracle import TABLES, both
 
 pytestmark = pytest.mark.skipif(not TABLES.exists(), reason="the tables aren't here")
@@ -23,3 +25,19 @@ def test_every_array_query_has_sql():
 
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() == 64
+
+
+@pytest.mark.parametrize(("name", "first", "last"), [("cells_u4", 967_200, 967_400), ("cells_i4", 2_147_900, 2_148_100)])
+def test_values_beyond_four_bytes(spark, tmp_path, name, first, last):
+    # Keys around the first one whose value outgrows the type; cells between key 0 and the first aren't in the tables.
+    spark.range(first, last).withColumnRenamed("id", "p_partkey").write.parquet(f"{tmp_path}/part.parquet")
+    got = {r["dim_0"]: r["value"] for r in q.QUERIES[name](spark, str(tmp_path)).where(f"dim_0 >= {first}").collect()}
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW part AS SELECT * FROM '{tmp_path}/part.parquet/*.parquet'")
+    assert got == dict(con.sql(q.ORACLE_SQL[name]).fetchall())
+
+
+def test_written_integers_beyond_the_type_raise(spark, tmp_path):
+    w.v2_array(str(tmp_path), "a", (3,), (2,), "<u4")
+    with pytest.raises(Exception, match="can't hold values from 7 to 4294967296"):
+        w.write_cells(spark.createDataFrame([(0, 7), (1, 2**32)], "dim_0 long, value long"), str(tmp_path), "a")
