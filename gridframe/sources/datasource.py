@@ -72,10 +72,11 @@ class Run(InputPartition):
 
 @dataclass
 class Folders(InputPartition):
-    """Folders of chunk files of the array with this number; None for the array's own."""
+    """Folders of chunk files of the array with this number; None for the array's own. Of its files, this share (see `listed_chunks`)."""
 
     array: int
     folders: tuple[str, ...] | None
+    share: tuple[int, int] = (0, 1)
 
 
 def runs(source: object, n: int, parts: int) -> list[Run]:
@@ -164,12 +165,15 @@ class MetadataReader(DataSourceReader):
             top = layout.chunk_folder(a)
             names = [layout.joined(top, x) for x in store.folders(top)] if a.separator == "/" and len(a.shape) > 1 else []
             parts = min(len(names), self.parts or 8)
-            out += [Folders(k, tuple(names[i::parts])) for i in range(parts)] or [Folders(k, None)]
+            # Names in one folder come one after the other, and fast; what is asked of each file is shared out.
+            n = -(-math.prod(layout.counts(a.shape, a.chunks)) // PARTITION_FILES) if store.shares else 1
+            shares = max(1, min(n, self.parts or 8))
+            out += [Folders(k, tuple(names[i::parts])) for i in range(parts)] or [Folders(k, None, (i, shares)) for i in range(shares)]
         return out or [Run(None, 0, 0)]
 
     def read(self, partition: Run | Folders) -> Iterator[tuple]:
         if isinstance(partition, Folders):
-            yield from scan.listed_chunks(self.listing.path, self.listing.arrays[partition.array], partition.folders)
+            yield from scan.listed_chunks(self.listing.path, self.listing.arrays[partition.array], partition.folders, partition.share)
         elif self.kind == "groups":
             yield from scan.group_rows(self.listing)
         elif self.kind == "arrays":

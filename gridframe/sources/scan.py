@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -54,11 +55,14 @@ def chunk_rows(root: str, array: Array, start: int, stop: int) -> Iterator[tuple
             yield root, array.path, layout.chunk_key(array, coords), list(coords), f"{root}/{path}", size
 
 
-def listed_chunks(root: str, array: Array, folders: tuple[str, ...] | None = None) -> list[tuple]:
-    """The chunk files that a store's listing has, below some folders or below the array's own, by coordinates."""
-    store, found = open_store(root), []
+def listed_chunks(root: str, array: Array, folders: tuple[str, ...] | None = None, share: tuple[int, int] = (0, 1)) -> list[tuple]:
+    """The chunk files that a store's listing has, below some folders or below the array's own, by coordinates.
+
+    share: of so many like shares of the names (second) the one with this number (first).
+    """
+    store, found, mine = open_store(root), [], lambda path: zlib.crc32(path.encode()) % share[1] == share[0]
     for folder in (array.path,) if folders is None else folders:
-        for path, size in store.files(folder):
+        for path, size in store.files(folder) if share[1] == 1 else store.files(folder, mine):
             key = path[len(array.path) + 1 :] if array.path else path
             if (coords := layout.coords_of(array, key)) is not None:
                 found.append((root, array.path, key, list(coords), f"{root}/{path}", size))

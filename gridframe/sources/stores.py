@@ -34,7 +34,12 @@ class Blob:
 
 
 class _Opening:
-    """Ways of reading that every store has; one whose requests are dear does better."""
+    """Ways of reading that every store has; one whose requests are dear does better.
+
+    shares: names are so cheap to list that several tasks may list a folder, each for a share of its files.
+    """
+
+    shares = False
 
     def get(self, path: str) -> bytes | None:
         """A whole file; None for an absent one."""
@@ -50,7 +55,7 @@ class _Opening:
 class LocalStore(_Opening):
     """A folder of this machine, or one that all machines mount."""
 
-    lists = pages = True
+    lists = pages = shares = True
 
     def __init__(self, root: str) -> None:
         self.root = root
@@ -81,20 +86,34 @@ class LocalStore(_Opening):
         except (FileNotFoundError, NotADirectoryError):
             return []
 
-    def files(self, path: str) -> Iterator[tuple[str, int]]:
-        """All files below a folder, with their sizes."""
-        for folder, _, names in os.walk(self._at(path)):
-            for name in names:
-                at = os.path.join(folder, name)
+    def names(self, path: str) -> Iterator[str]:
+        """All files below a folder."""
+        todo, top = [self._at(path)], os.path.join(self.root, "")
+        while todo:
+            with contextlib.suppress(FileNotFoundError, NotADirectoryError), os.scandir(todo.pop()) as entries:
+                for e in entries:
+                    if not e.is_dir():
+                        yield e.path[len(top) :]
+                    elif not e.is_symlink():
+                        todo.append(e.path)
+
+    def files(self, path: str, chosen: Callable[[str], bool] = lambda path: True) -> Iterator[tuple[str, int]]:
+        """All files below a folder whose path is chosen, with their sizes; others are listed, but not looked at."""
+        for name in self.names(path):
+            if chosen(name):
                 with contextlib.suppress(FileNotFoundError):
-                    yield os.path.relpath(at, self.root), os.stat(at).st_size
+                    yield name, os.stat(self._at(name)).st_size
 
     def write(self, path: str, data: bytes) -> None:
         """Replaces a file at once: readers and repeated tasks never see a part of it."""
         at = self._at(path)
-        os.makedirs(os.path.dirname(at), exist_ok=True)
         part = f"{at}.{uuid.uuid4().hex}.part"
-        with open(part, "wb") as f:
+        try:
+            f = open(part, "wb")
+        except FileNotFoundError:
+            os.makedirs(os.path.dirname(at), exist_ok=True)
+            f = open(part, "wb")
+        with f:
             f.write(data)
         os.replace(part, at)
 

@@ -1,16 +1,18 @@
 """Writes array stores, for tests and for the registered queries. Not a sink for users.
 
-Metadata is written by the driver; an array's cells by Spark: rows are grouped by the
-chunk file that they belong to, and each group becomes one file, written whole and
-renamed. A group is at most one chunk, whatever the array's size.
+Metadata is written by the driver; an array's cells by Spark: rows are sorted by the
+chunk file that they belong to, and each chunk becomes one file, written whole and
+renamed. A task holds one chunk, whatever the array's size.
 """
 
 from __future__ import annotations
 
 import json
+import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -104,10 +106,15 @@ def stored(given: np.ndarray, kind: dtypes.ValueType, name: str) -> np.ndarray:
     return whole.astype(kind.stored)
 
 
+#: Chunk files, and cells, that are worth a task of their own.
+TASK_FILES, TASK_CELLS = 256, 1 << 18
+
+
 def write_cells(cells: DataFrame, path: str, name: str) -> int:
     """Writes rows (dim_0, ..., value) as the array's chunk files; chunks without rows stay absent. Gives the number of files.
 
-    Cells of a written chunk that no row has get the fill value, or zero. Integers beyond the array's type raise.
+    Cells of a written chunk that no row has, or one with a null value, get the fill value, or zero. Integers beyond the
+    array's type raise. Chunks are dealt out by hash, and sorted in each task, which fills one after the other.
     """
     array = node(path, name)
     kind = dtypes.parse(array.dtype)
@@ -118,14 +125,39 @@ def write_cells(cells: DataFrame, path: str, name: str) -> int:
         chunk = chunk * grid[k] + F.floor(F.col(f"dim_{k}") / array.chunks[k])
     empty = dtypes.fill_of(array.fill, kind, name) if array.fill is not None else np.zeros((), kind.stored)
 
-    def save(pdf: pd.DataFrame) -> pd.DataFrame:
-        position = int(pdf["__chunk"].iloc[0])
-        coords = layout.coords_at(position, grid)
-        values = np.full(array.chunks, empty, kind.stored)
-        at = tuple(pdf[f"dim_{k}"].to_numpy() - coords[k] * array.chunks[k] for k in range(rank))
-        values[at] = stored(pdf["value"].to_numpy(), kind, name)
-        write_chunk(path, array, coords, values)
-        return pd.DataFrame({"chunk": [position]})
-
-    ship(cells.sparkSession)
-    return cells.withColumn("__chunk", chunk.cast("long")).groupBy("__chunk").applyInPandas(save, "chunk long").count()
+    def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        position, values, files = -1, None, 0
+
+        def filled() -> int:
+            """Writes the chunk that is held, now that all its rows are in it."""
+            if values is None:
+                return 0
+            write_chunk(path, array, layout.coords_at(position, grid), values)
+            return 1
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            positions = b.column(0).to_numpy()
+            dims = [b.column(1 + k).to_numpy() % array.chunks[k] for k in range(rank)]
+            given = b.column(1 + rank)
+            there = np.asarray(given.is_valid())
+            new = np.zeros(b.num_rows, kind.stored)
+            new[there] = stored(given.drop_null().to_pandas().to_numpy(), kind, name)
+            edges = [0, *(np.flatnonzero(np.diff(positions)) + 1).tolist(), b.num_rows]
+            for start, stop in zip(edges, edges[1:], strict=False):
+                if positions[start] != position:
+                    files += filled()
+                    position, values = int(positions[start]), np.full(array.chunks, empty, kind.stored)
+                of = slice(start, stop) if there[start:stop].all() else start + np.flatnonzero(there[start:stop])
+                values[tuple(d[of] for d in dims)] = new[of]
+        files += filled()
+        yield pa.RecordBatch.from_pydict({"files": pa.array([files], pa.int64())})
+
+    spark = cells.sparkSession
+    ship(spark)
+    most = max(3 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tasks = max(1, min(most, max(math.prod(grid) // TASK_FILES, math.prod(array.shape) // TASK_CELLS)))
+    dims = [F.col(f"dim_{k}").cast("long").alias(f"dim_{k}") for k in range(rank)]
+    dealt = cells.select(chunk.cast("long").alias("__chunk"), *dims, "value").repartition(tasks, "__chunk").sortWithinPartitions("__chunk")
+    return dealt.mapInArrow(save, "files long").agg(F.sum("files")).first()[0] or 0

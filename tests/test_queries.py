@@ -1,9 +1,13 @@
 import duckdb
+import numpy as np
 import pytest
 
 import __spark_entry__
 from gridframe import queries as q
+from gridframe.operators import tables as z
+from gridframe.sources import datasource, scan
 from gridframe.sources import writer as w
+from gridframe.sources.discovery import discover
 from tests.oracle import TABLES, both
 
 pytestmark = pytest.mark.skipif(not TABLES.exists(), reason="the tables aren't here")
@@ -41,3 +45,29 @@ def test_written_integers_beyond_the_type_raise(spark, tmp_path):
     w.v2_array(str(tmp_path), "a", (3,), (2,), "<u4")
     with pytest.raises(Exception, match="can't hold values from 7 to 4294967296"):
         w.write_cells(spark.createDataFrame([(0, 7), (1, 2**32)], "dim_0 long, value long"), str(tmp_path), "a")
+
+
+def test_small_chunks_are_written_in_many_tasks_without_a_group_each(spark, tmp_path):
+    # 3,000 files took a Python call each, in a task that Spark had put all small partitions into.
+    n, before = 12_000, spark.sparkContext.statusTracker()
+    w.v2_array(str(tmp_path), "a", (n,), (4,), "|i1", fill=-1)
+    cells = spark.range(0, n, 1, 8).where("id % 8 < 4 OR id = 6").selectExpr("id AS dim_0", "CASE WHEN id % 3 > 0 THEN id % 100 END AS value")
+    spark.sparkContext.setJobGroup("written", "")
+    assert w.write_cells(cells, str(tmp_path), "a") == 1_501
+    spark.sparkContext.setJobGroup("", "")
+    stages = [before.getStageInfo(s) for j in before.getJobIdsForGroup("written") for s in before.getJobInfo(j).stageIds]
+    assert 11 in [s.numTasks for s in stages if s]
+    got = {r["dim_0"]: r["value"] for r in z.zarr_cells(spark, str(tmp_path), "a").collect()}
+    # A null value is a cell without a row.
+    assert got == {k: k % 100 if k % 3 and (k % 8 < 4 or k == 6) else -1 for k in range(n)}
+
+
+def test_listing_of_one_folder_is_shared_out(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(datasource, "PARTITION_FILES", 10)
+    w.v2_group(str(tmp_path))
+    w.v2_array(str(tmp_path), "a", (100,), (1,), "|i1")
+    w.write_values(str(tmp_path), "a", np.arange(100), skip={(k,) for k in range(0, 100, 3)})
+    reader = datasource.MetadataReader("chunks", discover(str(tmp_path)), 6)
+    shares = [[r[3][0] for r in reader.read(p)] for p in reader.partitions()]
+    assert len(shares) == 6 and max(map(len, shares)) < 30
+    assert sorted(k for s in shares for k in s) == [k for k in range(100) if k % 3]
