@@ -24,6 +24,8 @@ from gridframe.sources.stores import Store, open_store
 
 #: Rows of a batch at most.
 BATCH = 1 << 20
+#: Rows up to which batches of small chunks are put together.
+GATHERED = 1 << 15
 _LONGS = T.ArrayType(T.LongType(), False)
 
 
@@ -85,6 +87,20 @@ def cells_schema(array: Array) -> T.StructType:
     return T.StructType([T.StructField(n, t, True) for n, t in columns.items()])
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, with batches of small chunks put together: Spark takes each batch by itself, at a cost of its own."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for b in batches:
+        if held and rows + b.num_rows > GATHERED:
+            yield pa.concat_batches(held)
+            held, rows = [], 0
+        held.append(b)
+        rows += b.num_rows
+    if held:
+        yield pa.concat_batches(held)
+
+
 @dataclass(frozen=True)
 class CellScan:
     """What to read of an array. `parts`: chunk files, as a product of ranges."""
@@ -108,8 +124,7 @@ class CellScan:
     def read(self, start: int, stop: int) -> Iterator[pa.RecordBatch]:
         """Batches of the chunk files at flat positions start..stop - 1 of `parts`, in that order."""
         store, parts = open_store(self.root), self.parts
-        for position in range(start, stop):
-            yield from self._file(store, parts.coords(position))
+        yield from gathered(b for position in range(start, stop) for b in self._file(store, parts.coords(position)))
 
     def _file(self, store: Store, coords: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
         array, kind = self.array, dtypes.parse(self.array.dtype)

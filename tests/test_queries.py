@@ -71,3 +71,12 @@ def test_listing_of_one_folder_is_shared_out(spark, tmp_path, monkeypatch):
     shares = [[r[3][0] for r in reader.read(p)] for p in reader.partitions()]
     assert len(shares) == 6 and max(map(len, shares)) < 30
     assert sorted(k for s in shares for k in s) == [k for k in range(100) if k % 3]
+
+
+def test_batches_of_small_chunks_are_put_together(tmp_path):
+    w.v2_group(str(tmp_path))
+    w.v2_array(str(tmp_path), "a", (400,), (4,), "|i1")
+    w.write_values(str(tmp_path), "a", np.arange(400) % 100)
+    batches = list(scan.cell_scan(discover(str(tmp_path)), "a").read(0, 100))
+    assert [b.num_rows for b in batches] == [400]
+    assert batches[0].column(0).to_pylist() == list(range(400))
