@@ -28,14 +28,14 @@ def texts(column: pa.Array) -> list[str]:
 SLICE_BYTES, SLICE_ROWS = 2 << 20, 1000
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str | int = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str | int = "text", size: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches in parts of about `size` bytes of text, as Python strings of a whole batch may take much memory."""
     for b in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
         at = 0
         while at < b.num_rows:
             before = int(ends[at - 1]) if at else 0
-            stop = max(at + 1, min(at + SLICE_ROWS, int(np.searchsorted(ends, before + size, side="right"))))
+            stop = max(at + 1, min(at + rows, int(np.searchsorted(ends, before + size, side="right"))))
             yield b.slice(at, stop - at)
             at = stop
 

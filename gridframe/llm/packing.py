@@ -33,11 +33,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from gridframe.llm.common import batch, keyed, mapped, released, slices, texts
+from gridframe.llm.common import batch, keyed, mapped, released, slices
 from gridframe.llm.tokens import CACHE_BYTES, forget_encoders, forget_words, word_encoder
 
-#: Bytes of texts whose new words are learned together.
-LEARNED = 512 << 10
+#: Bytes, and rows, of texts that are encoded together.
+ENCODED, ENCODED_ROWS = 8 << 20, 10_000
 #: Costs of a cut, in tokens of padding.
 SENTENCE, INSIDE = 4, 64
 #: The shortest sequence without padding that the program asks for besides a partition's last.
@@ -110,9 +110,10 @@ class Packer:
         self.docs: list[tuple[object, int, int]] = []  # id, tokens of it before the buffer, all tokens of it
         self.held = 0
 
-    def add(self, doc_ids: list, texts: list[str]) -> Iterator[tuple]:
-        for doc_id, found in zip(doc_ids, self.encoder.encode_all(texts), strict=True):
-            ids = np.append(found, np.uint16(self.end_id))
+    def add(self, doc_ids: list, column: pa.Array) -> Iterator[tuple]:
+        found, ends = self.encoder.encode_column(column)
+        found = np.insert(found, ends, self.end_id)
+        for doc_id, ids in zip(doc_ids, np.split(found, ends[:-1] + np.arange(1, len(ends))), strict=True):
             self.ids.append(ids)
             self.docs.append((doc_id, 0, len(ids)))
             self.held += len(ids)
@@ -177,8 +178,8 @@ def pack(
         packer = Packer(path, end_id, window, horizon, cache_bytes)
 
         def pieces() -> Iterator[tuple]:
-            for b in slices(batches, size=LEARNED):
-                yield from packer.add(b.column(0).to_pylist(), texts(b.column(1)))
+            for b in slices(batches, size=ENCODED, rows=ENCODED_ROWS):
+                yield from packer.add(b.column(0).to_pylist(), b.column(1))
             yield from packer.flush(True)
 
         for doc_id, start, n, ids, total, seq, offset in pieces():

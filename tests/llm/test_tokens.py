@@ -5,6 +5,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import zstandard
@@ -44,6 +45,26 @@ def test_word_encoder(word, text):
     assert WORD_ENCODER.encode(text).tolist() == word.encode(text, add_special_tokens=False).ids
 
 
+def test_columns_are_encoded_in_three_calls(word):
+    """Of words, marks and other chunks, each distinct one once; nulls and slices of columns as well."""
+
+    class Counted:
+        calls = 0
+
+        def encode_batch_fast(self, *args, **kwargs):
+            self.calls += 1
+            return word.encode_batch_fast(*args, **kwargs)
+
+    encoder = WordEncoder(WORD)
+    encoder.tokenizer = Counted()
+    column = pa.array(["left out", *TEXTS, "Word! word, WORD?! 12 a1 \n b-c Straße. straße"]).slice(1)
+    ids, ends = encoder.encode_column(column)
+    assert encoder.tokenizer.calls == 3
+    found = np.split(ids, ends[:-1])
+    assert [x.tolist() for x in found] == [word.encode(t or "", add_special_tokens=False).ids for t in column.to_pylist()]
+    assert [x.tolist() for x in encoder.encode_column(pa.array([], pa.string()))] == [[], []]
+
+
 @settings(max_examples=150, deadline=None)
 @given(text=TEXT)
 def test_pretoken_counts(byte, text):
