@@ -43,6 +43,7 @@ from __future__ import annotations
 import hashlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -51,7 +52,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridframe.llm.common import batch, digest, keyed, mapped, slices, small, texts
+from gridframe.llm import edits
+from gridframe.llm.common import SLICE_BYTES, batch, digest, keyed, mapped, slices, small, texts
 from gridframe.llm.near_dedup import components
 from gridframe.shared import written
 from gridframe.shipping import ship
@@ -288,8 +290,9 @@ def _apart(a: np.ndarray, b: np.ndarray) -> int:
     return max(int(more[more > 0].sum()), int(-more[more < 0].sum()))
 
 
-#: Edits up to which texts are compared along diagonals.
-FEW_EDITS = 48
+def _few(n: int) -> int:
+    """Edits up to which texts of n characters are compared along diagonals: their square takes about half of what n columns do."""
+    return 4 + isqrt(n) // 2
 
 
 def _alike(a: str, b: str, i: int, j: int) -> int:
@@ -329,44 +332,117 @@ def _few_edits(a: str, b: str, most: int, give_up: bool = False) -> int | None:
     return None
 
 
+def trimmed(a: str, b: str) -> tuple[str, str]:
+    """The texts without what they have in common at both ends, the shorter first."""
+    start = _alike(a, b, 0, 0)
+    a, b = a[start:], b[start:]
+    end = _alike(a[::-1], b[::-1], 0, 0)
+    a, b = sorted((a[: len(a) - end], b[: len(b) - end]), key=len)
+    return a, b
+
+
+def edit_distances(pairs: list[tuple[str, str]], most: list[int]) -> list[int]:
+    """`edit_distance` of each pair; texts of about one length are compared side by side where there are many."""
+    found = [m + 1 for m in most]
+    classes: dict[int, list[int]] = {}
+    rest = []
+    cut = [trimmed(a, b) for a, b in pairs]
+    for k, (a, b) in enumerate(cut):
+        if len(b) - len(a) > most[k]:
+            continue
+        if not a:
+            found[k] = len(b)
+            continue
+        words = -(-len(a) // 64)
+        # Words of 1, 2, 3, 4, 6, 8, 12, ...: a column is at most half as long again as it need be.
+        size = next(s for p in range(words.bit_length() + 1) for s in (1 << p, 3 << p >> 1) if s >= words)
+        classes.setdefault(size, []).append(k)
+    for size, chosen in classes.items():
+        if len(chosen) >= edits.LANES_A_WORD * size and size <= edits.MOST_WORDS:
+            chosen = [k for k, far in zip(chosen, _far([cut[k] for k in chosen], [most[k] for k in chosen]), strict=True) if not far]
+            # Of long texts first those that few edits may part.
+            for reach in (4 * size, None) if size >= 8 else (None,):
+                limits = [most[k] if reach is None else min(most[k], reach) for k in chosen]
+                near = edits.distances([cut[k] for k in chosen], limits) if chosen else []
+                found_here = [d <= m for d, m in zip(near, limits, strict=True)]
+                for k, d, ok in zip(chosen, near, found_here, strict=True):
+                    if ok:
+                        found[k] = int(d)
+                chosen = [k for k, ok in zip(chosen, found_here, strict=True) if not ok]
+        else:
+            rest += chosen
+    for k in rest:
+        found[k] = edit_distance(*cut[k], most[k])
+    return found
+
+
+def _far(pairs: list[tuple[str, str]], most: list[int]) -> list[bool]:
+    """Whether each pair's characters differ in number by too much."""
+    bags = [np.zeros((len(pairs), _BAG), np.int64) for _ in "ab"]
+    for side, out in enumerate(bags):
+        own = np.repeat(np.arange(len(pairs)), [len(p[side]) for p in pairs])
+        out += np.bincount(own * _BAG + char_classes("".join(p[side] for p in pairs)) % _BAG, minlength=out.size).reshape(out.shape)
+    more = bags[0] - bags[1]
+    return (np.maximum(more.clip(min=0).sum(axis=1), -more.clip(max=0).sum(axis=1)) > np.array(most)).tolist()
+
+
 def edit_distance(a: str, b: str, most: int) -> int:
     """Insertions, deletions and replacements between the texts; some number over `most` if there are more than that.
 
     Texts whose characters differ too much in number are told at once, and texts a few edits apart by
-    comparing stretches along diagonals, both in about the texts' length. Others take its square: the
-    table of distances is filled bit-parallel, a whole column being a few long integers, so two unlike
-    texts of the same characters take some 14 s at 200,000 characters.
+    comparing stretches along diagonals, both in about the texts' length. Others take its product with
+    `most`, or less if they are nearer: the table of distances is filled bit-parallel along its diagonal, in bands that widen.
     """
-    n = min(len(a), len(b))
     if abs(len(a) - len(b)) > most:
         return most + 1
-    start = next((k for k in range(n) if a[k] != b[k]), n)
-    end = next((k for k in range(n - start) if a[-1 - k] != b[-1 - k]), n - start)
-    a, b = sorted((a[start : len(a) - end], b[start : len(b) - end]), key=len)
+    a, b = trimmed(a, b)
     if not a:
         return len(b)
     if len(a) >= 64:
         if _apart(_bag(a), _bag(b)) > most:
             return most + 1
-        if (few := _few_edits(a, b, min(most, FEW_EDITS), most > FEW_EDITS)) is not None:
+        limit = _few(len(a))
+        if (few := _few_edits(a, b, min(most, limit), most > limit)) is not None:
             return few
-        if most <= FEW_EDITS:
+        if most <= limit:
             return most + 1
     at: dict[str, int] = {}
     for c in set(a):
         at[c] = int("".join("1" if x == c else "0" for x in reversed(a)), 2) if len(a) < 64 else int.from_bytes(np.packbits(np.frombuffer(a.encode("utf-32-le", "surrogatepass"), "<u4") == ord(c), bitorder="little").tobytes(), "little")
-    full, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
-    up, down, found = full, 0, len(a)
-    for k, c in enumerate(b):
-        same = at.get(c, 0)
-        across = (((same & up) + up) ^ up) | same
-        rise, fall = down | (full & ~(across | up)), up & across
-        found += 1 if rise & top else -1 if fall & top else 0
-        if found - (len(b) - 1 - k) > most:
-            return most + 1
-        rise, fall = (rise << 1) | 1, fall << 1
-        upright = same | down
-        up, down = (fall | (full & ~(upright | rise))) & full, rise & upright & full
+    most = min(most, len(b))
+    for reach in sorted({min(most, max(64, len(a) // 32)), min(most, max(256, len(a) // 10)), most}):
+        if (found := _banded(at, len(a), b, reach)) is not None:
+            return found
+    return most + 1
+
+
+def _banded(at: dict[str, int], n: int, b: str, most: int) -> int | None:
+    """The edit distance of a text of n characters, whose places are given by character as bits, and one no shorter, if it is at most `most`.
+
+    Bits of long integers stand for the places i of column j that are at most `most` away from j,
+    the least first; the distance is followed along the diagonal that ends in the last place, where it never falls.
+    """
+    if (over := len(b) - n) > most:
+        return None
+    width = 2 * most + 1
+    full, end, found = (1 << width) - 1, 1 << (most - over), 0
+    up, down = full ^ ((1 << most) - 1), 0
+    for start in range(0, len(b), 512):
+        # Places of the characters that the next columns look at.
+        if start >= most:
+            near = {c: x >> (start - most) & ((1 << (width + 512)) - 1) for c, x in at.items()}
+        else:
+            near = {c: (x << (most - start)) & ((1 << (width + 512)) - 1) for c, x in at.items()}
+        for k, c in enumerate(b[start : start + 512]):
+            same = near.get(c, 0) >> k & full
+            across = (((same & up) + up) ^ up) & full | same | down
+            if not across & end:
+                found += 1
+                if found > most:
+                    return None
+            rise, fall = down | (full ^ (across | up)), across & up
+            across >>= 1
+            up, down = fall | (full ^ (across | rise)), across & rise
     return found
 
 
@@ -431,6 +507,8 @@ def piece_keys(values: list[str]) -> list[np.ndarray]:
 
 
 _COPY = [T.StructField("copy", T.BinaryType()), T.StructField("n_chars", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))]
+#: Pairs that are verified together at most.
+VERIFIED = 20_000
 #: Texts whose lengths and short keys (some 200 bytes) are broadcast at most.
 MAX_SHORT = 500_000
 
@@ -452,16 +530,16 @@ def _verified(pairs: DataFrame, docs: DataFrame, least: float) -> DataFrame:
         pairs = pairs.join(held.select(F.col("copy").alias(f"copy_{side}"), F.col("text").alias(f"text_{side}")), f"copy_{side}")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text_x"):
-            near = []
-            for x, y in zip(texts(b.column(2)), texts(b.column(3)), strict=True):
-                n = max(len(x), len(y))
-                most = int((1 - least) * n + 1e-9)
-                d = edit_distance(x, y, most)
-                near.append(1 - d / n if d <= most else -1.0)
+        for b in slices(batches, "text_x", 2 * SLICE_BYTES, VERIFIED):
+            both = list(zip(texts(b.column(2)), texts(b.column(3)), strict=True))
+            sizes = [max(len(x), len(y)) for x, y in both]
+            most = [int((1 - least) * n + 1e-9) for n in sizes]
+            near = [1 - d / n if d <= m else -1.0 for d, m, n in zip(edit_distances(both, most), most, sizes, strict=True)]
             yield batch(T.StructType(fields), b.column(0), b.column(1), near).filter(pa.array([x >= 0 for x in near], pa.bool_()))
 
-    found = mapped(pairs.select("a", "b", "text_x", "text_y"), verify, T.StructType(fields))
+    # Texts of about one length together, which are compared side by side.
+    pairs = pairs.select("a", "b", "text_x", "text_y").sortWithinPartitions(F.length("text_x"))
+    found = mapped(pairs, verify, T.StructType(fields))
     return written(found.groupBy("a", "b").agg(F.max("near").alias("near")), "near")
 
 

@@ -346,6 +346,30 @@ def test_few_edits(a, b, most):
     assert fingerprints._few_edits(a, b, most) == (want if want <= most else None)
 
 
+@pytest.mark.parametrize("size", [1, 2, 3, 9])
+def test_edit_distances_side_by_side(monkeypatch, size):
+    """Pairs of about one length are compared together, and as each alone; no few edits take the longest time of short texts."""
+    rng = random.Random(size)
+    pairs, most = [], []
+    for _ in range(12 * size + 40):
+        a = [rng.choice("abcdeé日𝒳 ") for _ in range(rng.randrange(64 * size - 40, 64 * size + 1))]
+        b = list(a)
+        for _ in range(rng.randrange(30 * size)):
+            at = rng.randrange(len(b))
+            b[at : at + rng.randrange(2)] = rng.choice(["", "a", "c", "日z"])
+        pairs.append(("".join(a), "".join(b)))
+        most.append(rng.choice([0, 3, 12 * size, 25 * size, 500]))
+    pairs += [("", ""), ("", "abc"), ("same", "same")]
+    most += [0, 3, 1]
+    together, real = [], fingerprints.edits.distances
+    monkeypatch.setattr(fingerprints.edits, "distances", lambda p, m: together.append(len(p)) or real(p, m))
+    found = fingerprints.edit_distances(pairs, most)
+    want = [fingerprints.edit_distance(a, b, 10**6) for a, b in pairs]
+    assert together
+    for d, m, w in zip(found, most, want, strict=True):
+        assert d == w if w <= m else d > m
+
+
 def test_edit_distance_of_long_texts():
     rng = random.Random(5)
     long = prose(9, 160_000, WORDS)[:1_000_000]
