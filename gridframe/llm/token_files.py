@@ -36,10 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridframe.llm import range_coder
-from gridframe.llm.common import batch, keyed, mapped, slices, texts
+from gridframe.llm.common import batch, keyed, mapped, slices
 from gridframe.llm.tokens import word_encoder
 
 MAGIC, VERSION = b"GFTB", 1
+#: Bytes, and rows, of texts that are encoded together.
+ENCODED, ENCODED_ROWS = 4 << 20, 10_000
 _HEADER = struct.Struct("<4sIIII")
 
 
@@ -74,9 +76,10 @@ def write(docs: DataFrame, tokenizer_path: str, out: str, end_id: int = 2, id_co
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[tuple]]]:
         encoder, parts, segments, held, doc = word_encoder(tokenizer_path), [], [], 0, 0
-        for b in slices(batches):
-            for doc_id, text in zip(b.column(0).to_pylist(), texts(b.column(1)), strict=True):
-                ids = np.append(encoder.encode(text), np.uint16(end_id))
+        for b in slices(batches, size=ENCODED, rows=ENCODED_ROWS):
+            found, ends = encoder.encode_column(b.column(1))
+            found = np.insert(found, ends, end_id)
+            for doc_id, ids in zip(b.column(0).to_pylist(), np.split(found, ends[:-1] + np.arange(1, len(ends))), strict=True):
                 at, n = 0, len(ids)
                 while at < n:
                     take = min(n - at, range_coder.BLOCK - held)
