@@ -42,7 +42,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # Workers serve all stages: what this one leaves in them would count for the next run's first.
-    return packing.pack(docs, tokenizer_file("word_bpe_49k.json"), cache_bytes=24 << 20, keep_cache=False)
+    return packing.pack(docs, tokenizer_file("word_bpe_49k.json"), cache_bytes=24 << 20, keep_cache=False, encoded=1 << 20)
 
 
 STAGES: list[tuple[str, Stage]] = [("language", language), ("near_dedup", near), ("decontaminate", leaks), ("secrets", secrets), ("pack", pack)]

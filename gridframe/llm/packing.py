@@ -161,13 +161,14 @@ class Packer:
 
 
 def pack(
-    docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, horizon: int = 2_000_000, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text", cache_bytes: int = CACHE_BYTES, keep_cache: bool = True
+    docs: DataFrame, path: str, end_id: int = 2, window: int = 4096, horizon: int = 2_000_000, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text", cache_bytes: int = CACHE_BYTES, keep_cache: bool = True, encoded: int = ENCODED
 ) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset and, if asked for, ids.
 
     Sequences are numbered within their partition; the partition is in the upper 32 bits.
     A worker's word cache takes `cache_bytes`; a task gives it back at its end, and without
-    `keep_cache` the tokenizer as well, for jobs whose other stages need the memory.
+    `keep_cache` the tokenizer as well, for jobs whose other stages need the memory. `encoded`
+    bytes of texts are encoded together; a worker takes many times that for it.
     """
     docs = keyed(docs, id_col, text_col)
     numbers = [T.StructField(n, T.LongType()) for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
@@ -178,7 +179,7 @@ def pack(
         packer = Packer(path, end_id, window, horizon, cache_bytes)
 
         def pieces() -> Iterator[tuple]:
-            for b in slices(batches, size=ENCODED, rows=ENCODED_ROWS):
+            for b in slices(batches, size=encoded, rows=ENCODED_ROWS):
                 yield from packer.add(b.column(0).to_pylist(), b.column(1))
             yield from packer.flush(True)
 

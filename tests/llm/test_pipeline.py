@@ -4,10 +4,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
+from gridframe.llm import packing
+from gridframe.llm.tokens import WordEncoder
 from tests.llm.conftest import DOCS, prose
 
 EN = [f"{a}{b}{c}" for a in ("th", "wh", "o", "in") for b in ("ea", "ou", "io") for c in ("nd", "st", "re", "ly", "sh", "ing")]
@@ -73,3 +76,17 @@ def test_odd_tables(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(f"{empty}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{empty}/benchmark.parquet")
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_pack_encodes_little_at_a_time(make, monkeypatch):
+    """The last stage's workers stand beside executors that the stages before have filled: a megabyte of texts, and one text more, is encoded together; the pieces don't depend on it."""
+    texts = [prose(k, 3000) for k in range(200)]
+    rows = pa.RecordBatch.from_pydict({"doc_id": range(len(texts)), "text": texts})
+    seen, encode = [], WordEncoder.encode_column
+    monkeypatch.setattr(WordEncoder, "encode_column", lambda self, column: seen.append(sum(map(len, column.to_pylist()))) or encode(self, column))
+    monkeypatch.setattr(packing, "mapped", lambda df, fn, schema: pa.Table.from_batches(fn(iter([rows]))))
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: type("Task", (), {"partitionId": lambda self: 0})())
+    small = corpus_pipeline.pack(None, make([]), "")
+    assert max(seen) <= (1 << 20) + max(map(len, texts)) and sum(seen) == sum(map(len, texts)) > 3 << 20
+    seen.clear()
+    assert small.equals(packing.pack(make([]), P.path("word_bpe_49k.json"))) and len(seen) == 1
