@@ -31,6 +31,9 @@ _FIRST_ROW = (0, 1, 17, 273)
 #: What a coded digit adds to its count, and the sum from which a row's counts are halved.
 _STEP, _MOST = 24, 980
 _ORDER0 = 1024
+_ROW = np.dtype("V32")
+#: What a digit adds to its row of sums: to its own and all above.
+_ADDED = np.triu(np.full((16, 16), _STEP, np.uint16)).view(_U)
 
 _p = np.arange(4096)
 #: ln(p / (1 - p)) and its inverse, both in steps of 1/256.
@@ -65,13 +68,13 @@ class _Coder:
         low, wide = self.low[:n], self.range[:n]
         move = np.flatnonzero(((low ^ (low + wide)) < _TOP) | (wide < _BOTTOM))
         while move.size:
-            a, w = low[move], wide[move]
+            a, w = low.take(move), wide.take(move)
             short = np.flatnonzero((a ^ (a + w)) >= _TOP)
             if short.size:
                 w[short] = (~a[short] + _U(1)) & (_BOTTOM - _U(1))
-            at = self.at[move]
+            at = self.at.take(move)
             if self.decodes:
-                self.code[move] = self.code[move] << _U(8) | self.bytes[move, np.minimum(at, self.bytes.shape[1] - 1)]
+                self.code[move] = self.code.take(move) << _U(8) | self.bytes[move, np.minimum(at, self.bytes.shape[1] - 1)]
             else:
                 if at.max() + 16 > self.bytes.shape[1]:
                     self.bytes = np.concatenate([self.bytes, np.zeros_like(self.bytes)], axis=1)
@@ -79,7 +82,7 @@ class _Coder:
             self.at[move] = at + 1
             a, w = a << _U(8), w << _U(8)
             low[move], wide[move] = a, w
-            move = move[((a ^ (a + w)) < _TOP) | (w < _BOTTOM)]
+            move = move.take(np.flatnonzero(((a ^ (a + w)) < _TOP) | (w < _BOTTOM)))
 
     def streams(self) -> list[bytes]:
         return [self.bytes[k, :n].tobytes() + int(self.low[k]).to_bytes(8, "big") for k, n in enumerate(self.at.tolist())]
@@ -90,17 +93,19 @@ def _place(code: np.ndarray, low: np.ndarray, part: np.ndarray, total: int | np.
     return np.minimum((code - low) // part, total - _U(1))
 
 
-def _digits(coder: _Coder, counts: np.ndarray, u: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
-    """Codes ids as four digits with order-0 counts."""
+def _digits(coder: _Coder, sums: np.ndarray, u: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
+    """Codes ids as four digits with order-0 counts, which are kept as running sums: a row is four words of four sums."""
     value = np.zeros(len(u), np.int64)
     base = u * _ROWS
     pick = np.arange(0, 16 * len(u), 16)
-    flat = counts.reshape(-1)
+    whole = sums.view(_ROW)
     low, wide = coder.low.take(u), coder.range.take(u)
     code = coder.code.take(u) if ids is None else None
     for level in range(4):
-        at = base + (value if level == 0 else value + _FIRST_ROW[level] if level < 3 else _FIRST_ROW[3] + ((value * 40503 >> 6) & (_LAST_ROWS - 1)))
-        upto = np.cumsum(counts.take(at, axis=0), axis=1, dtype=np.uint16)
+        at = base if level == 0 else base + (value + _FIRST_ROW[level] if level < 3 else _FIRST_ROW[3] + ((value * 40503 >> 6) & (_LAST_ROWS - 1)))
+        rows = sums.take(at, axis=0)
+        upto = rows.view(np.uint16)
+        flat = upto.reshape(-1)
         total = upto[:, 15].astype(_U)
         wide //= total
         if ids is None:
@@ -109,14 +114,18 @@ def _digits(coder: _Coder, counts: np.ndarray, u: np.ndarray, ids: np.ndarray |
             digit = (passed[:, 0] + passed[:, 1]).astype(np.int64)
         else:
             digit = ids >> (12 - 4 * level) & 15
-        place = at * 16 + digit
-        size = flat.take(place)
-        low += (upto.reshape(-1).take(pick + digit) - size) * wide
+        place = pick + digit
+        below = flat.take(place - 1) * (digit > 0)
+        size = flat.take(place) - below
+        low += below * wide
         wide *= size
-        flat[place] = size + np.uint16(_STEP)
+        rows += _ADDED.take(digit, axis=0)
         full = np.flatnonzero(total > _U(_MOST))
         if full.size:
-            counts[at[full]] = (counts[at[full]] >> 1) | 1
+            old = upto.take(full, axis=0)
+            old[:, 1:] -= old[:, :-1].copy()
+            upto[full] = np.cumsum((old >> 1) | 1, axis=1, dtype=np.uint16)
+        np.put(whole, at, rows.view(_ROW))
         value = value << 4 | digit
     coder.low[u], coder.range[u] = low, wide
     return value
@@ -128,31 +137,37 @@ def _run(lengths: np.ndarray, ids: np.ndarray | None, data: list[bytes] | None)
     steps = int(lengths[0]) if n else 0
     coder = _Coder(n, data, 2 * steps + 64)
     out = np.zeros((steps, n), np.int64) if ids is None else ids
-    counts = np.ones((n * _ROWS, 16), np.uint16)
-    # An entry of a table: the id that followed last plus one, and above it how often it was right on end.
-    table2, table1 = np.zeros(n * _SLOTS2, np.int32), np.zeros(n * _SLOTS1, np.int32)
-    p2, p1, p0 = (np.full(n * k, 2048, np.int32) for k in (16, 32, _ORDER0))
-    w2, w1, w0 = (np.full(n, 1 << 15, np.int32) for _ in range(3))
+    sums = np.tile(np.arange(1, 17, dtype=np.uint16).view(_U), (n * _ROWS, 1))
+    # An entry of a table: the id that followed last plus one, and above it how often it was right on end. Both orders' tables
+    # lie in one array, order 2 before order 1, as do the probabilities and weights of the three orders: one call takes all.
+    table = np.zeros(n * (_SLOTS2 + _SLOTS1), np.int32)
+    probs = np.full(n * (16 + 32 + _ORDER0), 2048, np.int32)
+    weights = np.full((3, n), 1 << 15, np.int32)
     before, last = np.zeros(n, np.int64), np.zeros(n, np.int64)
     lanes = np.arange(n)
-    base2, base1, base16, base32, base0 = (lanes * k for k in (_SLOTS2, _SLOTS1, 16, 32, _ORDER0))
+    slots = np.array([lanes * _SLOTS2, n * _SLOTS2 + lanes * _SLOTS1])
+    base2, base1, base0 = lanes * 16, n * 16 + lanes * 32, n * 48 + lanes * _ORDER0
     for t in range(steps):
-        while lengths[n - 1] <= t:
-            n -= 1
-        a, b = before[:n], last[:n]
-        s2 = base2[:n] + ((a * 40503 + b * 30011) >> 3 & (_SLOTS2 - 1))
-        s1 = base1[:n] + ((b * 40503) >> 4 & (_SLOTS1 - 1))
-        e2, e1 = table2.take(s2), table1.take(s1)
-        g2, g1 = (e2 & 0x1FFFF) - 1, (e1 & 0x1FFFF) - 1
-        known = g2 >= 0
-        guess = np.where(known, g2, g1)
-        x2 = base16[:n] + (e2 >> 17) + (known << 3)
-        x1 = base32[:n] + (e1 >> 17) + ((g1 == guess) << 3) + ((g1 >= 0) << 4)
-        x0 = base0[:n] + (guess & (_ORDER0 - 1))
-        q2, q1, q0 = p2.take(x2), p1.take(x1), p0.take(x0)
-        t2, t1, t0 = STRETCH.take(q2), STRETCH.take(q1), STRETCH.take(q0)
-        v2, v1, v0 = w2[:n], w1[:n], w0[:n]
-        mixed = ((v2 >> 4) * t2 + (v1 >> 4) * t1 + (v0 >> 4) * t0) >> 12
+        if lengths[n - 1] <= t:
+            while lengths[n - 1] <= t:
+                n -= 1
+            slots, weights = slots[:, :n], weights[:, :n]
+            base2, base1, base0, before, last = base2[:n], base1[:n], base0[:n], before[:n], last[:n]
+        s = slots.copy()
+        s[0] += (before * 40503 + last * 30011) >> 3 & (_SLOTS2 - 1)
+        s[1] += last * 40503 >> 4 & (_SLOTS1 - 1)
+        e = table.take(s)
+        g, sure = (e & 0x1FFFF) - 1, e >> 17
+        known = g >= 0
+        guess = np.where(known[0], g[0], g[1])
+        x = np.empty((3, n), np.int64)
+        np.add(base2, sure[0] + (known[0] << 3), out=x[0])
+        np.add(base1, sure[1] + ((g[1] == guess) << 3) + (known[1] << 4), out=x[1])
+        np.add(base0, guess & (_ORDER0 - 1), out=x[2])
+        q = probs.take(x)
+        far = STRETCH.take(q)
+        parts = (weights >> 4) * far
+        mixed = (parts[0] + parts[1] + parts[2]) >> 12
         p = SQUASH.take(np.maximum(np.minimum(mixed, 2047), -2047) + 2047)
         low, wide = coder.low[:n], coder.range[:n]
         wide >>= _U(12)
@@ -160,24 +175,22 @@ def _run(lengths: np.ndarray, ids: np.ndarray | None, data: list[bytes] | None)
         low += np.where(hit, 0, p).astype(_U) * wide
         wide *= np.where(hit, p, 4096 - p).astype(_U)
         aim = hit * np.int32(4095)
-        error = aim - p
-        for probs, x, q, v, s in ((p2, x2, q2, v2, t2), (p1, x1, q1, v1, t1), (p0, x0, q0, v0, t0)):
-            probs[x] = q + ((aim - q) >> 5)
-            v += (s * error) >> 10
-            np.maximum(np.minimum(v, 1 << 17, out=v), -(1 << 16), out=v)
+        far *= aim - p
+        far >>= 10
+        weights += far
+        np.maximum(np.minimum(weights, 1 << 17, out=weights), -(1 << 16), out=weights)
+        probs[x] = q + ((aim - q) >> 5)
         miss = np.flatnonzero(~hit)
         if ids is not None:
             new = out[t, :n]
-            _digits(coder, counts, miss, new[miss])
+            _digits(coder, sums, miss, new.take(miss))
         else:
             new = guess.astype(np.int64)
-            new[miss] = _digits(coder, counts, miss, None)
+            new[miss] = _digits(coder, sums, miss, None)
             out[t, :n] = new
         coder.settle(n)
-        for table, s, e, g in ((table2, s2, e2, g2), (table1, s1, e1, g1)):
-            sure = np.where(g == new, np.minimum((e >> 17) + 1, 7), 0)
-            table[s] = (new + 1) | sure << 17
-        before[:n], last[:n] = b, new
+        table[s] = (new + 1) | (np.minimum(sure + 1, 7) * (g == new)) << 17
+        before, last = last, new
     return coder, out
 
 
